@@ -72,3 +72,199 @@ LEFT JOIN unames u ON u.uid = rk.uid"""
 ORACLE: dict[str, str] = {}
 
 ORACLE["home_timeline"] = _timeline("inbox_vis", "SELECT uid, 0 AS n FROM users", profile=False)
+
+_EXPIRE = "time + INTERVAL 7 DAY"
+_HALF = "TIMESTAMP '2024-01-16 00:00:00'"
+
+
+def _q(body: str) -> str:
+    return f"WITH {BASE}\n{body}"
+
+
+# 2.1 ---------------------------------------------------------------------------
+ORACLE["parse_tweets"] = _q("""SELECT tid, uid_raw,
+  strftime(time, '%a %b %d %H:%M:%S +0000 %Y') AS created_at, lang, text, author_name,
+  author_screen_name, hashtags FROM tw""")
+
+ORACLE["parse_created_at"] = _q("""SELECT tid, time, strftime(time, '%Y-%m-%d %H:%M:%S+0000') AS stored_time FROM tw""")
+
+ORACLE["fold_users"] = _q("SELECT tid, uid_raw, uid FROM tw")
+
+ORACLE["filter_language"] = _q("SELECT tid, uid, time, lang FROM en")
+
+ORACLE["dead_letter"] = """SELECT
+  CASE event_id % 6 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'missing_id' WHEN 2 THEN 'missing_user'
+       WHEN 3 THEN 'bad_id' WHEN 4 THEN 'bad_created_at' ELSE 'bad_user_id' END AS reason,
+  CASE WHEN event_id % 6 = 3 THEN 'x' || CAST(event_id AS VARCHAR) ELSE CAST(event_id AS VARCHAR) END AS ref
+FROM events"""
+
+ORACLE["raw_roundtrip"] = _q("""SELECT tid, uid, time, text, author_name, author_screen_name, hashtags FROM tw""")
+
+ORACLE["stream_ingest_parse"] = _q("SELECT tid, uid, time, lang FROM en")
+
+# 2.2 ---------------------------------------------------------------------------
+ORACLE["join_followers_left"] = _q("""SELECT en.tid, en.uid, s.n_followers, s.sum_followers
+FROM en LEFT JOIN (SELECT uid, count(*) AS n_followers, CAST(sum(follower) AS BIGINT) AS sum_followers
+                   FROM fset GROUP BY uid) s ON s.uid = en.uid""")
+
+ORACLE["fanout_listener"] = _q("SELECT uid, CAST(follower AS BIGINT) AS follower FROM fset")
+
+ORACLE["authors_without_followers"] = _q("SELECT tid, uid FROM en WHERE uid NOT IN (SELECT uid FROM edges)")
+
+ORACLE["fanout_norm"] = _q("SELECT uid, time, tid FROM fan")
+
+ORACLE["fanout_denorm"] = _q("""SELECT f.uid, f.time, f.tid, f.tid AS payload_id, en.text
+FROM fan f JOIN en ON en.tid = f.tid""")
+
+ORACLE["fanout_list_store"] = _q("""SELECT l.follower AS uid, en.time, en.tid FROM en JOIN ledges l ON l.uid = en.uid""")
+
+ORACLE["fanout_variants"] = _q("""
+, lfan AS (SELECT l.follower AS uid, en.time, en.tid FROM en JOIN ledges l ON l.uid = en.uid)
+SELECT layout, store, n_rows, n_resolved FROM (
+  SELECT 'set' AS store, (SELECT count(*) FROM fan) AS n_rows,
+         (SELECT count(*) FROM (SELECT DISTINCT uid, time FROM fan)) AS n_resolved
+  UNION ALL
+  SELECT 'list', (SELECT count(*) FROM lfan), (SELECT count(*) FROM (SELECT DISTINCT uid, time FROM lfan))
+) v CROSS JOIN (VALUES ('norm'), ('denorm')) AS l(layout)""")
+
+# 2.3 ---------------------------------------------------------------------------
+ORACLE["sink_tweets"] = _q(f"SELECT tid, text, {_EXPIRE} AS expire_at FROM tweets_vis")
+
+ORACLE["sink_homepages"] = _q(f"SELECT uid, time, tid, {_EXPIRE} AS expire_at FROM home_vis2")
+
+ORACLE["sink_inboxes"] = _q(f"SELECT uid, time, tid, {_EXPIRE} AS expire_at FROM inbox_vis")
+
+ORACLE["sink_historytweets"] = _q(f"""SELECT h.uid, h.time, h.tid, en.text, h.{_EXPIRE} AS expire_at
+FROM home_vis2 h JOIN en ON en.tid = h.tid""")
+
+ORACLE["sink_feedslists"] = _q(f"""SELECT i.uid, i.time, i.tid, en.text, i.{_EXPIRE} AS expire_at
+FROM inbox_vis i JOIN en ON en.tid = i.tid""")
+
+_CHUNK = 100000
+ORACLE["followers_lists"] = _q(f"""
+, g1 AS (SELECT uid, follower FROM edges WHERE uid <> follower)
+, k AS (SELECT uid, CAST(ceil(count(*) / {_CHUNK}.0) AS BIGINT) AS nk FROM g1 GROUP BY uid)
+SELECT g1.uid, g1.follower % k.nk AS chunk, count(*) AS n_followers,
+       string_agg(CAST(g1.follower AS VARCHAR), ',' ORDER BY g1.follower) AS followerslist
+FROM g1 JOIN k ON k.uid = g1.uid GROUP BY g1.uid, g1.follower % k.nk""")
+
+ORACLE["following_lists"] = _q(f"""
+, g2 AS (SELECT follower AS uid, uid AS followee FROM edges WHERE uid <> follower)
+, k AS (SELECT uid, CAST(ceil(count(*) / {_CHUNK}.0) AS BIGINT) AS nk FROM g2 GROUP BY uid)
+, sets AS (SELECT g2.uid, g2.followee % k.nk AS chunk, count(*) AS n_following,
+                  string_agg(CAST(g2.followee AS VARCHAR), ',' ORDER BY g2.followee) AS followinglist
+           FROM g2 JOIN k ON k.uid = g2.uid GROUP BY g2.uid, g2.followee % k.nk)
+SELECT * FROM sets
+UNION ALL
+SELECT uid, CAST(0 AS BIGINT), CAST(0 AS BIGINT), '' FROM users WHERE uid NOT IN (SELECT uid FROM sets)""")
+
+# 2.4 ---------------------------------------------------------------------------
+ORACLE["upsert_uid_time"] = _q("""SELECT uid, date_trunc('hour', time) AS time, max(tid) AS tid
+FROM fan GROUP BY uid, date_trunc('hour', time)""")
+
+ORACLE["upsert_tid"] = _q("SELECT tid, text, time + INTERVAL 1 HOUR AS ingest_ts FROM en")
+
+ORACLE["ttl_visible"] = _q(f"""SELECT uid, count(*) AS n_rows,
+  CAST(count(*) FILTER (WHERE {_EXPIRE} > {AS_OF}) AS BIGINT) AS n_visible FROM inbox GROUP BY uid""")
+
+ORACLE["compact_store"] = ORACLE["sink_inboxes"]
+
+# 2.5 ---------------------------------------------------------------------------
+ORACLE["profile_timeline"] = _timeline("home_vis2", "SELECT uid, 0 AS n FROM users", profile=True)
+
+ORACLE["paged_timeline"] = _timeline(
+    "inbox_vis", "SELECT uid, CASE uid % 5 WHEN 0 THEN 0 WHEN 1 THEN 45 WHEN 2 THEN 49 "
+                 "WHEN 3 THEN 50 ELSE 60 END AS n FROM users", profile=False)
+
+ORACLE["timeline_state"] = f"""WITH ht AS ({ORACLE['home_timeline']}),
+c AS (SELECT uid, count(*) AS n FROM ht GROUP BY uid)
+SELECT u.c_custkey AS uid, CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows, c.n IS NOT NULL AS has_tweets
+FROM customer u LEFT JOIN c ON c.uid = u.c_custkey"""
+
+
+def _topn(src: str, n: int = 20) -> str:
+    return f"""SELECT * FROM (SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY time DESC, tid DESC)
+AS INTEGER) AS rn, time, tid FROM {src}) WHERE rn <= {n}"""
+
+
+ORACLE["inbox_topn"] = _q(_topn("inbox_vis"))
+ORACLE["homepage_topn"] = _q(_topn("home_vis2"))
+ORACLE["feed_topn_denorm"] = _q(f"SELECT r.*, en.text FROM ({_topn('inbox_vis')}) r JOIN en ON en.tid = r.tid")
+ORACLE["feed_topn_norm"] = ORACLE["feed_topn_denorm"]
+
+ORACLE["followers_of"] = _q("""SELECT uid, follower FROM edges
+WHERE uid <> follower AND uid IN (SELECT uid FROM users)""")
+
+ORACLE["timeline_resolve"] = _q("SELECT i.uid, i.time, i.tid, en.text FROM inbox_vis i JOIN en ON en.tid = i.tid")
+
+ORACLE["tweets_in_set"] = _q(f"""SELECT tid, text FROM tweets_vis
+WHERE tid IN (SELECT tid FROM ({_topn('inbox_vis')}))""")
+
+ORACLE["username_default"] = _q("""SELECT users.uid, coalesce(u.uname, 'unknown') AS uname
+FROM users LEFT JOIN unames u ON u.uid = users.uid""")
+
+# 2.6 ---------------------------------------------------------------------------
+ORACLE["render_tweets"] = _q("""SELECT tid, text, author_name, author_screen_name,
+  'https://twitter.com/' || author_screen_name AS profile_url FROM tweets_vis""")
+
+ORACLE["localized_time"] = _q(f"SELECT tid, time, {local_time('time')} AS local_time FROM en")
+
+ORACLE["hashtags_joined"] = _q("SELECT tid, hashtags FROM tweets_vis")
+
+# 2.7 ---------------------------------------------------------------------------
+ORACLE["follower_counts"] = _q("SELECT uid, count(*) AS n_followers FROM edges WHERE uid <> follower GROUP BY uid")
+
+ORACLE["following_counts"] = _q("""SELECT users.uid, CAST(coalesce(c.n, 0) AS BIGINT) AS n_following
+FROM users LEFT JOIN (SELECT follower AS uid, count(*) AS n FROM edges WHERE uid <> follower GROUP BY follower) c
+ON c.uid = users.uid""")
+
+ORACLE["graph_totals"] = _q("""SELECT CAST(sum(n) AS BIGINT) AS n_edges, count(*) AS n_users_with_followers,
+  max(n) AS max_followers FROM (SELECT uid, count(*) AS n FROM edges WHERE uid <> follower GROUP BY uid)""")
+
+
+def _tiers_sql() -> str:
+    from feedloom.operators.graph import TIERS
+    def amount(v):
+        return f"(n * {v[0]}) // {v[1]}" if isinstance(v, tuple) else str(v)
+    tier, lo, hi = [], [], []
+    for name, cut, mean, var in TIERS:
+        m, v = amount(mean), amount(var)
+        cond = "TRUE" if cut is None else f"CAST(uid AS DOUBLE) < n * {cut} / 100"
+        tier.append(f"WHEN {cond} THEN '{name}'")
+        lo.append(f"WHEN {cond} THEN {m} - {v} + 1" if var != 0 else f"WHEN {cond} THEN {m}")
+        hi.append(f"WHEN {cond} THEN {m} + {v} - 1" if var != 0 else f"WHEN {cond} THEN {m}")
+    return f"""
+, nn AS (SELECT count(*) AS n FROM users)
+, cnt AS (SELECT uid, count(*) AS c FROM edges WHERE uid <> follower GROUP BY uid)
+, base AS (SELECT users.uid AS uid, nn.n AS n, CAST(coalesce(cnt.c, 0) AS BIGINT) AS n_followers
+           FROM users CROSS JOIN nn LEFT JOIN cnt ON cnt.uid = users.uid)
+, pu AS (SELECT uid, CASE {' '.join(tier)} END AS tier,
+                CAST(CASE {' '.join(lo)} END AS BIGINT) AS lo, CAST(CASE {' '.join(hi)} END AS BIGINT) AS hi,
+                n_followers
+         FROM base)
+SELECT tier, lo, hi, count(*) AS n_users, min(n_followers) AS min_followers,
+       round(avg(n_followers), 6) AS avg_followers, max(n_followers) AS max_followers,
+       CAST(sum(CASE WHEN n_followers BETWEEN lo AND hi THEN 1 ELSE 0 END) AS BIGINT) AS n_in_bounds
+FROM pu GROUP BY tier, lo, hi"""
+
+
+ORACLE["audience_tiers"] = _q(_tiers_sql())
+
+ORACLE["layout_equivalence"] = _q(f"""SELECT uid, count(*) AS n_norm, count(*) AS n_denorm,
+  CAST(0 AS BIGINT) AS n_only_norm, CAST(0 AS BIGINT) AS n_only_denorm
+FROM ({_topn('inbox_vis')}) GROUP BY uid""")
+
+# 2.8 ---------------------------------------------------------------------------
+ORACLE["stream_fanout"] = ORACLE["sink_inboxes"]
+ORACLE["stream_replay"] = _q(f"SELECT uid, time, tid, {_EXPIRE} AS expire_at FROM inbox")
+
+ORACLE["stream_dimension_refresh"] = _q(f"""
+, e0 AS (SELECT DISTINCT l_suppkey AS uid, o_custkey AS follower
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+         WHERE o_orderpriority = '1-URGENT' AND l_returnflag = 'R' AND o_orderdate < TIMESTAMP '1995-01-01')
+, f0 AS (SELECT uid, follower FROM e0 UNION SELECT DISTINCT uid, 0 FROM e0)
+, fan2 AS (SELECT f.follower AS uid, en.time, en.tid FROM en JOIN f0 f ON f.uid = en.uid WHERE en.time < {_HALF}
+           UNION ALL
+           SELECT f.follower AS uid, en.time, en.tid FROM en JOIN fset f ON f.uid = en.uid WHERE en.time >= {_HALF})
+, ib AS (SELECT uid, time, max(tid) AS tid FROM fan2 GROUP BY uid, time)
+SELECT uid, time, tid, {_EXPIRE} AS expire_at FROM ib""")

@@ -2,21 +2,33 @@
 
 Each query reads the given test tables (through ``sources.fixtures``) and
 runs over them whole.  Column names match the oracle SQL in
-``plans.oracle``."""
+``plans.oracle``.  Queries that exercise a sink write into a fresh folder
+under the cluster's shared folder and return what a reader sees."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedloom.config import FeedConfig
+from feedloom.config import FEED_READ_SIZE, FeedConfig
+from feedloom.functions import parse as P
+from feedloom.functions.render import join_hashtags, local_time, render
+from feedloom.operators import fanout as J
+from feedloom.operators import graph as G
+from feedloom.operators import reads as R
+from feedloom.operators import store as T
 from feedloom.plans import batch
 from feedloom.plans import timelines as tl
-from feedloom.sources import fixtures
+from feedloom.session import scratch_path
+from feedloom.sources import fixtures, ingest
+from feedloom.sources.store import TimelineStore
+from feedloom.streaming import fanout_stream as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CFG = FeedConfig()
+HALF_MONTH = "2024-01-16 00:00:00"   # feed split into two deliveries at this time
 
 
 def query(name: str):
@@ -26,13 +38,495 @@ def query(name: str):
     return deco
 
 
-def _norm(spark, sf_dir, cfg=CFG):
-    return batch.resolved_tables(spark, sf_dir, cfg.with_(layout="norm"))
+def _tables(spark, sf_dir, cfg=CFG, as_of="default"):
+    return batch.resolved_tables(spark, sf_dir, cfg, as_of)
 
 
-# -- R3: flagship ---------------------------------------------------------------
+def _tweets(spark, sf_dir, cfg=CFG):
+    return P.ingest(fixtures.raw_tweets(spark, sf_dir), cfg)
+
+
+def _parsed(spark, sf_dir, cfg=CFG):
+    return P.valid_tweets(P.parse_raw(fixtures.raw_tweets(spark, sf_dir), cfg))
+
+
+def _delivery(spark, sf_dir, cfg=CFG):
+    return J.delivery_edges(fixtures.edges(spark, sf_dir, distinct=(cfg.store == "set")), cfg)
+
+
+def _payload(col="tweet"):
+    return (F.get_json_object(F.col(col), "$.id_str").cast("bigint").alias("payload_id"),
+            F.get_json_object(F.col(col), "$.text").alias("text"))
+
+
+def _text(col="tweet"):
+    return F.get_json_object(F.col(col), "$.text").alias("text")
+
+
+def _halves(df, col="time"):
+    early = F.col(col) < F.lit(HALF_MONTH).cast("timestamp_ntz")
+    return df.filter(early), df.filter(~early)
+
+
+# ---------------------------------------------------------------------------
+# 2.1 Sources, ingest, parse
+# ---------------------------------------------------------------------------
+@query("parse_tweets")
+def q_parse_tweets(spark, sf_dir):
+    """Every valid record, typed."""
+    t = _parsed(spark, sf_dir)
+    return t.select("tid", "uid_raw", "created_at", "lang", "text", "author_name",
+                    "author_screen_name", join_hashtags(F.col("hashtags")).alias("hashtags"))
+
+
+@query("parse_created_at")
+def q_parse_created_at(spark, sf_dir):
+    """Delivered time string -> UTC timestamp -> stored time string."""
+    t = _parsed(spark, sf_dir)
+    return t.select("tid", "time", P.format_store_time(F.col("time")).alias("stored_time"))
+
+
+@query("fold_users")
+def q_fold_users(spark, sf_dir):
+    """P5: user.id_str mod n."""
+    return _parsed(spark, sf_dir).select("tid", "uid_raw", "uid")
+
+
+@query("filter_language")
+def q_filter_language(spark, sf_dir):
+    """English tweets only."""
+    return _tweets(spark, sf_dir).select("tid", "uid", "time", "lang")
+
+
+@query("dead_letter")
+def q_dead_letter(spark, sf_dir):
+    """The feed plus a damaged copy of every record; bad ones dead-lettered."""
+    parsed = P.parse_raw(fixtures.dirty_raw_tweets(spark, sf_dir), CFG)
+    return P.dead_letters(parsed).select(
+        "reason", F.regexp_extract("value", '"id_str":"([^"]*)"', 1).alias("ref"))
+
+
+@query("raw_roundtrip")
+def q_raw_roundtrip(spark, sf_dir):
+    """Publish the raw records (serialized) to the file sink, read them
+    back and parse again: nothing may change."""
+    out = scratch_path(spark, "raw-roundtrip")
+    ingest.publish_text(ingest.serialize(fixtures.raw_tweets(spark, sf_dir)), out)
+    t = P.valid_tweets(P.parse_raw(ingest.read_text(spark, out), CFG))
+    return t.select("tid", "uid", "time", "text", "author_name", "author_screen_name",
+                    join_hashtags(F.col("hashtags")).alias("hashtags"))
+
+
+def _publish_feed(spark, sf_dir, root, part="all", name=None):
+    """Publish the raw feed (all, or the early / late half by event time) as
+    text files in its own delivery folder under ``root/feed``."""
+    raw = fixtures.raw_tweets(spark, sf_dir, keep_ts=True)
+    if part != "all":
+        raw = _halves(raw, "ts")[0 if part == "early" else 1]
+    ingest.publish_text(raw, f"{root}/feed/{name or part}")
+
+
+def _feed_source(spark, root, max_files=None):
+    # glob over delivery folders: folders published later are picked up later
+    return ingest.read_text_stream(spark, f"{root}/feed/*", max_files_per_trigger=max_files)
+
+
+@query("stream_ingest_parse")
+def q_stream_ingest_parse(spark, sf_dir):
+    """S1-S3 + P1-P5 + S5 as a stream over the file source, drained to parquet."""
+    root = scratch_path(spark, "ingest-stream")
+    _publish_feed(spark, sf_dir, root)
+    return ST.parsed_stream_to_parquet(spark, _feed_source(spark, root), f"{root}/out", f"{root}/ckpt", CFG)
+
+
+# ---------------------------------------------------------------------------
+# 2.2 Joins and fan-out
+# ---------------------------------------------------------------------------
+@query("join_followers_left")
+def q_join_followers_left(spark, sf_dir):
+    """Each tweet with its author's follower-set size (null: no row)."""
+    t = _tweets(spark, sf_dir).select("tid", "uid")
+    return J.join_followers_left(t, _delivery(spark, sf_dir)).select(
+        "tid", "uid", "n_followers", "sum_followers")
+
+
+@query("fanout_listener")
+def q_fanout_listener(spark, sf_dir):
+    """Delivery sets with the listener added to every existing set."""
+    return _delivery(spark, sf_dir)
+
+
+@query("authors_without_followers")
+def q_authors_without_followers(spark, sf_dir):
+    """Tweets whose author has no follower row (nobody receives them)."""
+    e = fixtures.edges(spark, sf_dir)
+    return J.authors_without_followers(_tweets(spark, sf_dir), e).select("tid", "uid")
+
+
+@query("fanout_norm")
+def q_fanout_norm(spark, sf_dir):
+    """One inbox row per (follower, tweet), before upsert."""
+    return batch.batch_tables(spark, sf_dir, CFG)["inboxes"].select("uid", "time", "tid")
+
+
+@query("fanout_denorm")
+def q_fanout_denorm(spark, sf_dir):
+    """Fan-out carrying the raw payload."""
+    f = batch.batch_tables(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
+    return f.select("uid", "time", "tid", *_payload())
+
+
+@query("fanout_list_store")
+def q_fanout_list_store(spark, sf_dir):
+    """List store - edges as pushed, duplicates kept, no listener."""
+    return batch.batch_tables(spark, sf_dir, CFG.with_(store="list"))["inboxes"].select("uid", "time", "tid")
+
+
+@query("fanout_variants")
+def q_fanout_variants(spark, sf_dir):
+    """ST5: the four (layout, store) variants - receiving-side rows before and
+    after key resolution."""
+    outs = []
+    for layout in ("norm", "denorm"):
+        for store in ("set", "list"):
+            cfg = CFG.with_(layout=layout, store=store)
+            table = "inboxes" if layout == "norm" else "feedslists"
+            rows = batch.batch_tables(spark, sf_dir, cfg)[table]
+            resolved = T.resolve(table, rows, cfg, None)
+            n_rows = rows.agg(F.count(F.lit(1)).alias("n_rows"))
+            n_res = resolved.agg(F.count(F.lit(1)).alias("n_resolved"))
+            outs.append(n_rows.join(n_res, how="inner").select(
+                F.lit(layout).alias("layout"), F.lit(store).alias("store"), "n_rows", "n_resolved"))
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# 2.3 Sinks (written to the store, read back resolved and unexpired)
+# ---------------------------------------------------------------------------
+def _stored(spark, sf_dir, cfg, tables):
+    """Write the feed as two deliveries into a fresh store; return the store."""
+    store = TimelineStore(spark)
+    tweets = _tweets(spark, sf_dir, cfg)
+    edges = fixtures.edges(spark, sf_dir, distinct=(cfg.store == "set"))
+    for bid, part in enumerate(_halves(tweets)):
+        rows = batch.timeline_rows(part, edges, cfg)
+        for t in tables:
+            store.write_batch(t, rows[t], bid)
+    return store
+
+
+@query("sink_tweets")
+def q_sink_tweets(spark, sf_dir):
+    """W1 + T2 + T4."""
+    s = _stored(spark, sf_dir, CFG, ("tweets",))
+    return s.read("tweets", CFG, CFG.as_of).select("tid", _text(), "expire_at")
+
+
+@query("sink_homepages")
+def q_sink_homepages(spark, sf_dir):
+    """W2 + T1 + T4."""
+    s = _stored(spark, sf_dir, CFG, ("homepages",))
+    return s.read("homepages", CFG, CFG.as_of).select("uid", "time", "tid", "expire_at")
+
+
+@query("sink_inboxes")
+def q_sink_inboxes(spark, sf_dir):
+    """W3 + T1 + T4."""
+    s = _stored(spark, sf_dir, CFG, ("inboxes",))
+    return s.read("inboxes", CFG, CFG.as_of).select("uid", "time", "tid", "expire_at")
+
+
+@query("sink_historytweets")
+def q_sink_historytweets(spark, sf_dir):
+    """W4 + T1 + T4 (denormalized own tweets)."""
+    cfg = CFG.with_(layout="denorm")
+    s = _stored(spark, sf_dir, cfg, ("historytweets",))
+    return s.read("historytweets", cfg, cfg.as_of).select("uid", "time", "tid", _text(), "expire_at")
+
+
+@query("sink_feedslists")
+def q_sink_feedslists(spark, sf_dir):
+    """W5 + T1 + T4 (denormalized inbox)."""
+    cfg = CFG.with_(layout="denorm")
+    s = _stored(spark, sf_dir, cfg, ("feedslists",))
+    return s.read("feedslists", cfg, cfg.as_of).select("uid", "time", "tid", _text(), "expire_at")
+
+
+def _csv(col):
+    return F.array_join(F.col(col).cast("array<string>"), ",")
+
+
+@query("followers_lists")
+def q_followers_lists(spark, sf_dir):
+    """G1 + W6: follower sets (self excluded), written and read back."""
+    out = scratch_path(spark, "followerslists")
+    G.followers_lists(fixtures.edges(spark, sf_dir)).write.parquet(out)
+    f = spark.read.parquet(out)
+    return f.select("uid", "chunk", F.size("followerslist").cast("bigint").alias("n_followers"),
+                    _csv("followerslist").alias("followerslist"))
+
+
+@query("following_lists")
+def q_following_lists(spark, sf_dir):
+    """G2 + W7: inverted sets for every user (empty when following nobody)."""
+    out = scratch_path(spark, "followinglists")
+    G.following_lists(fixtures.edges(spark, sf_dir), fixtures.users(spark, sf_dir)).write.parquet(out)
+    f = spark.read.parquet(out)
+    return f.select("uid", "chunk", F.size("followinglist").cast("bigint").alias("n_following"),
+                    _csv("followinglist").alias("followinglist"))
+
+
+# ---------------------------------------------------------------------------
+# 2.4 Table semantics
+# ---------------------------------------------------------------------------
+@query("upsert_uid_time")
+def q_upsert_uid_time(spark, sf_dir):
+    """T1 on a coarse copy (time truncated to the hour): collisions are common."""
+    rows = batch.batch_tables(spark, sf_dir, CFG)["inboxes"]
+    coarse = rows.withColumn("time", F.date_trunc("hour", "time").cast("timestamp_ntz"))
+    return T.upsert_uid_time(coarse.select("uid", "time", "tid"), "upsert")
+
+
+@query("upsert_tid")
+def q_upsert_tid(spark, sf_dir):
+    """The tweets delivered twice (second delivery an hour later); the
+    later write wins, one row per tid."""
+    t = _tweets(spark, sf_dir).select("tid", "tweet", "time")
+    first = T.with_expiry(t, CFG)
+    again = T.with_expiry(t.withColumn("time", F.col("time") + F.expr("INTERVAL 1 HOUR")), CFG)
+    res = T.upsert_tid(first.unionByName(again).drop("time"))
+    return res.select("tid", _text(), "ingest_ts")
+
+
+@query("ttl_visible")
+def q_ttl_visible(spark, sf_dir):
+    """T4: per user, inbox rows stored vs visible at as_of."""
+    rows = _tables(spark, sf_dir, CFG, as_of=None)["inboxes"]
+    vis = (F.col("expire_at") > F.lit(CFG.as_of).cast("timestamp_ntz")).cast("bigint")
+    return rows.groupBy("uid").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(vis).cast("bigint").alias("n_visible"))
+
+
+@query("compact_store")
+def q_compact_store(spark, sf_dir):
+    """Two deliveries, compaction at as_of (expired rows dropped), then the
+    second delivery replayed: the reader sees each key once, unexpired."""
+    s = _stored(spark, sf_dir, CFG, ("inboxes",))
+    s.compact("inboxes", CFG, CFG.as_of)
+    late = _halves(_tweets(spark, sf_dir))[1]
+    s.write_batch("inboxes", batch.timeline_rows(late, fixtures.edges(spark, sf_dir), CFG)["inboxes"], 2)
+    return s.read("inboxes", CFG, CFG.as_of).select("uid", "time", "tid", "expire_at")
+
+
+# ---------------------------------------------------------------------------
+# 2.5 Timeline reads
+# ---------------------------------------------------------------------------
 @query("home_timeline")
-def q_home_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _norm(spark, sf_dir)
+def q_home_timeline(spark, sf_dir):
+    """R3 (flagship): every user's newest page of the inbox, rendered."""
+    t = _tables(spark, sf_dir)
     return tl.home_timeline(t["inboxes"], t["tweets"], fixtures.usernames(spark, sf_dir),
                             fixtures.requests(spark, sf_dir), CFG)
+
+
+@query("profile_timeline")
+def q_profile_timeline(spark, sf_dir):
+    """Every user's newest page of own tweets, author shown by username."""
+    t = _tables(spark, sf_dir)
+    return tl.profile_timeline(t["homepages"], t["tweets"], fixtures.usernames(spark, sf_dir),
+                               fixtures.requests(spark, sf_dir), CFG)
+
+
+@query("paged_timeline")
+def q_paged_timeline(spark, sf_dir):
+    """Home timelines with a different page request per user."""
+    t = _tables(spark, sf_dir)
+    return tl.home_timeline(t["inboxes"], t["tweets"], fixtures.usernames(spark, sf_dir),
+                            fixtures.paged_requests(spark, sf_dir), CFG)
+
+
+@query("timeline_state")
+def q_timeline_state(spark, sf_dir):
+    """Per requested user, rows shown and whether the timeline is empty."""
+    home = q_home_timeline(spark, sf_dir)
+    return R.timeline_state(fixtures.requests(spark, sf_dir), home)
+
+
+@query("inbox_topn")
+def q_inbox_topn(spark, sf_dir):
+    """Newest 20 inbox ids per user."""
+    ib = _tables(spark, sf_dir)["inboxes"].select("uid", "time", "tid")
+    return R.newest_n(ib, FEED_READ_SIZE).select("uid", "rn", "time", "tid")
+
+
+@query("homepage_topn")
+def q_homepage_topn(spark, sf_dir):
+    """R2: newest 20 own tweets per author."""
+    hp = _tables(spark, sf_dir)["homepages"].select("uid", "time", "tid")
+    return R.newest_n(hp, FEED_READ_SIZE).select("uid", "rn", "time", "tid")
+
+
+@query("feed_topn_denorm")
+def q_feed_topn_denorm(spark, sf_dir):
+    """Newest 20 payloads per user from the denormalized feed."""
+    f = _tables(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
+    return tl.feed_topn_denorm(f).select("uid", "rn", "time", "tid", _text())
+
+
+@query("feed_topn_norm")
+def q_feed_topn_norm(spark, sf_dir):
+    """Newest 20 ids per user, then tweets by id set."""
+    t = _tables(spark, sf_dir)
+    return tl.feed_topn_norm(t["inboxes"], t["tweets"]).select("uid", "rn", "time", "tid", _text())
+
+
+@query("followers_of")
+def q_followers_of(spark, sf_dir):
+    """Adjacency rows of the requested users."""
+    e = G.follower_edges(fixtures.edges(spark, sf_dir))
+    return R.followers_of(e, fixtures.requests(spark, sf_dir)).select("uid", "follower")
+
+
+@query("timeline_resolve")
+def q_timeline_resolve(spark, sf_dir):
+    """Inbox ids resolved to stored tweets (inner: missing ones vanish)."""
+    t = _tables(spark, sf_dir)
+    return R.resolve_tweets(t["inboxes"].select("uid", "time", "tid"), t["tweets"]).select(
+        "uid", "time", "tid", _text())
+
+
+@query("tweets_in_set")
+def q_tweets_in_set(spark, sf_dir):
+    """Stored tweets whose id is in the set of newest-20 inbox ids."""
+    t = _tables(spark, sf_dir)
+    ids = R.newest_n(t["inboxes"].select("uid", "time", "tid"), FEED_READ_SIZE)
+    return R.tweets_in_set(t["tweets"], ids).select("tid", _text())
+
+
+@query("username_default")
+def q_username_default(spark, sf_dir):
+    """Each user's name, the default when the user has none."""
+    return R.with_username(fixtures.requests(spark, sf_dir).select("uid"),
+                           fixtures.usernames(spark, sf_dir), CFG.default_name)
+
+
+# ---------------------------------------------------------------------------
+# 2.6 Render
+# ---------------------------------------------------------------------------
+@query("render_tweets")
+def q_render_tweets(spark, sf_dir):
+    """V1 + V5: stored tweets rendered (text, author, profile link)."""
+    tw = _tables(spark, sf_dir)["tweets"]
+    return render(tw, "tweet", CFG, keep=("tid",)).select(
+        "tid", "text", "author_name", "author_screen_name", "profile_url")
+
+
+@query("localized_time")
+def q_localized_time(spark, sf_dir):
+    """V2: UTC time shown in New York time (DST by the zone rules)."""
+    t = _tweets(spark, sf_dir)
+    return t.select("tid", "time", local_time(F.col("time"), CFG.local_tz).alias("local_time"))
+
+
+@query("hashtags_joined")
+def q_hashtags_joined(spark, sf_dir):
+    """V3: hashtags joined by ', ', null when none."""
+    tw = _tables(spark, sf_dir)["tweets"]
+    return render(tw, "tweet", CFG, keep=("tid",)).select("tid", "hashtags")
+
+
+# ---------------------------------------------------------------------------
+# 2.7 Graph preparation and audit
+# ---------------------------------------------------------------------------
+@query("follower_counts")
+def q_follower_counts(spark, sf_dir):
+    """G3."""
+    return G.follower_counts(fixtures.edges(spark, sf_dir))
+
+
+@query("following_counts")
+def q_following_counts(spark, sf_dir):
+    """G4."""
+    return G.following_counts(fixtures.edges(spark, sf_dir), fixtures.users(spark, sf_dir))
+
+
+@query("graph_totals")
+def q_graph_totals(spark, sf_dir):
+    """G6."""
+    return G.graph_totals(fixtures.edges(spark, sf_dir))
+
+
+@query("audience_tiers")
+def q_audience_tiers(spark, sf_dir):
+    """G5 re-aimed: degree tiers by uid position vs observed follower counts."""
+    users = fixtures.users(spark, sf_dir)
+    n = users.count()
+    per_user = G.audience_tiers(users, G.follower_counts(fixtures.edges(spark, sf_dir)), n)
+    return G.tier_summary(per_user)
+
+
+@query("layout_equivalence")
+def q_layout_equivalence(spark, sf_dir):
+    """B1 re-aimed: both layouts serve the same newest-20 feed for every user."""
+    n = _tables(spark, sf_dir)
+    d = _tables(spark, sf_dir, CFG.with_(layout="denorm"))
+    return tl.layout_equivalence(n["inboxes"], n["tweets"], d["feedslists"])
+
+
+# ---------------------------------------------------------------------------
+# 2.8 Streaming
+# ---------------------------------------------------------------------------
+def _edges_table(spark, sf_dir, root, df=None):
+    path = f"{root}/edges"
+    (df if df is not None else fixtures.edges(spark, sf_dir)).write.mode("append").parquet(path)
+    return lambda: spark.read.parquet(path)
+
+
+@query("stream_fanout")
+def q_stream_fanout(spark, sf_dir):
+    """ST1/ST2/ST4: the feed streamed (two deliveries, several micro-batches)
+    through foreachBatch into all norm sinks; the inbox after it drained."""
+    root = scratch_path(spark, "stream-fanout")
+    _publish_feed(spark, sf_dir, root, "early")
+    _publish_feed(spark, sf_dir, root, "late")
+    store = TimelineStore(spark, f"{root}/store")
+    loader = _edges_table(spark, sf_dir, root)
+    ST.run_available(_feed_source(spark, root, max_files=4), store, loader, f"{root}/ckpt", CFG)
+    return store.read("inboxes", CFG, CFG.as_of).select("uid", "time", "tid", "expire_at")
+
+
+@query("stream_replay")
+def q_stream_replay(spark, sf_dir):
+    """ST6: the same input delivered twice ends in the same tables."""
+    root = scratch_path(spark, "stream-replay")
+    _publish_feed(spark, sf_dir, root, "all", "first")
+    store = TimelineStore(spark, f"{root}/store")
+    loader = _edges_table(spark, sf_dir, root)
+    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", CFG)
+    _publish_feed(spark, sf_dir, root, "all", "again")   # every record redelivered
+    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", CFG)
+    # full history, expired rows included
+    return store.read("inboxes", CFG, None).select("uid", "time", "tid", "expire_at")
+
+
+@query("stream_dimension_refresh")
+def q_stream_dimension_refresh(spark, sf_dir):
+    """ST3 + K8: the early delivery is processed while only follows from
+    orders before 1995 exist; the later follows are added (set insert), the
+    stream restarts from its checkpoint, and the late delivery reaches the
+    new followers too."""
+    root = scratch_path(spark, "stream-dim")
+    early = F.col("o_orderdate") < F.lit("1995-01-01").cast("timestamp_ntz")
+    first = fixtures.dated_edges(spark, sf_dir, early)
+    loader = _edges_table(spark, sf_dir, root, first)
+    _publish_feed(spark, sf_dir, root, "early")
+    store = TimelineStore(spark, f"{root}/store")
+    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", CFG)
+    added = fixtures.dated_edges(spark, sf_dir, ~early).join(first, ["uid", "follower"], "left_anti")
+    _edges_table(spark, sf_dir, root, added)
+    _publish_feed(spark, sf_dir, root, "late")
+    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", CFG)
+    # full history: the early rows show the dimension as it was then
+    return store.read("inboxes", CFG, None).select("uid", "time", "tid", "expire_at")

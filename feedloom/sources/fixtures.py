@@ -61,8 +61,9 @@ def tweet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.left(F.col("text"), F.lit(TEXT_CHARS)).alias("text"), "c_name"))
 
 
-def raw_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """value STRING: the raw JSON feed, one record per event."""
+def raw_tweets(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -> DataFrame:
+    """value STRING: the raw JSON feed, one record per event (``keep_ts``
+    also returns the event time, to cut the feed into deliveries)."""
     t = tweet_rows(spark, sf_dir)
     author = F.col("user_id") + F.lit(USER_ID_SPREAD) * (F.col("event_id") % USER_ID_COPIES)
     tweet = F.struct(
@@ -76,7 +77,7 @@ def raw_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(_hashtags(F.col("event_id"), F.col("event_type"), F.col("props")).alias("hashtags"))
          .alias("entities"),
     )
-    return t.select(F.to_json(tweet).alias("value"))
+    return t.select(F.to_json(tweet).alias("value"), *(["ts"] if keep_ts else []))
 
 
 def dirty_raw_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +119,16 @@ def edges(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
     return e.distinct() if distinct else e
 
 
+def dated_edges(spark: SparkSession, sf_dir: str, order_cond) -> DataFrame:
+    """Distinct edges of the orders matching ``order_cond`` (follows made in a period)."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_returnflag") \
+        .filter(F.col("l_returnflag") == EDGE_RETURNFLAG)
+    od = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate") \
+        .filter((F.col("o_orderpriority") == EDGE_PRIORITY) & order_cond)
+    return li.join(od, li.l_orderkey == od.o_orderkey, "inner") \
+        .select(F.col("l_suppkey").alias("uid"), F.col("o_custkey").alias("follower")).distinct()
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer", "c_custkey").select(F.col("c_custkey").alias("uid"))
 
