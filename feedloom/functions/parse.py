@@ -57,8 +57,10 @@ def fold_user(uid_raw: Column, n_users: int) -> Column:
 def parse_raw(raw: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
     """P1-P6 in one projection over ``value``: typed fields plus ``reason``
     (null for a valid record).  Parse happens once; callers split on reason."""
-    j = parse_json(F.col("value")).alias("j")
-    p = raw.select("value", j)
+    # Parse through a one-row Generate: filters on parsed fields (reason,
+    # lang) then stay above it, instead of being pushed below the projection
+    # with from_json inlined once per referenced field.
+    p = raw.select("value", F.explode(F.array(parse_json(F.col("value")))).alias("j"))
     tid = to_long(F.col("j.id_str"))
     time = parse_created_at(F.col("j.created_at"))
     uid_raw = to_long(F.col("j.user.id_str"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.config import TWITTER_TIME_FORMAT
-from feedloom.sources.tables import read_table
+from feedloom.sources.tables import read_table, spread
 
 # Fixed values of the fixture rules.
 USER_ID_SPREAD = 100_000      # user.id_str = user_id + USER_ID_SPREAD * (event_id mod 7)
@@ -50,15 +50,16 @@ def _hashtags(event_id: Column, event_type: Column, props: Column) -> Column:
 
 def tweet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events joined to their document and author name (one row per event)."""
-    events = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
-    docs = read_table(spark, sf_dir, "documents", "doc_id", "lang", "text")
-    n_docs = docs.select(F.count(F.lit(1))).scalar()        # scalar subquery, no cross join
+    events = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props"))
+    docs_scan = read_table(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    n_docs = docs_scan.select(F.count(F.lit(1))).scalar()   # scalar subquery, no cross join
+    # cut the text before anything moves: only 140 chars per document travel
+    docs = spread(docs_scan.select("doc_id", "lang", F.left(F.col("text"), F.lit(TEXT_CHARS)).alias("text")))
     names = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
     ev = events.withColumn("doc_key", F.col("event_id") % n_docs)
     return (ev.join(docs, ev.doc_key == docs.doc_id, "inner")
               .join(names, ev.user_id == names.c_custkey, "left")
-              .select("event_id", "ts", "user_id", "event_type", "props", "lang",
-                      F.left(F.col("text"), F.lit(TEXT_CHARS)).alias("text"), "c_name"))
+              .select("event_id", "ts", "user_id", "event_type", "props", "lang", "text", "c_name"))
 
 
 def raw_tweets(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -> DataFrame:
