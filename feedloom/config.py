@@ -41,6 +41,9 @@ class FeedConfig:
     # Fan-out skew guard: an author whose follower count exceeds this many
     # edges has its edge rows split over ceil(count / split) salted tasks.
     skew_split_rows: int = 2_000_000
+    # Largest side (in estimated bytes) broadcast when its size is measured or
+    # bounded (a cached micro-batch, the ids of the requested pages).
+    broadcast_bytes: int = 64 * 1024 * 1024
 
     def with_(self, **kw) -> "FeedConfig":
         return replace(self, **kw)

@@ -24,25 +24,57 @@ def list_store_edges(edges: DataFrame) -> DataFrame:
                 .filter(F.col("follower").isNotNull())
 
 
-def with_listener(edges: DataFrame, listener: int | None) -> DataFrame:
+def author_stats(edges: DataFrame, listener: int | None) -> DataFrame:
+    """One row per author with a follower row: edge count and whether the
+    listener already follows (one partial aggregation, shared by the listener
+    injection and the hot-key detection)."""
+    has = (F.col("follower") == listener).cast("int") if listener is not None else F.lit(0)
+    return edges.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"), F.max(has).alias("_has"))
+
+
+def with_listener(edges: DataFrame, listener: int | None, stats: DataFrame | None = None) -> DataFrame:
     """J3. ``listener`` joins every EXISTING follower set (authors without a
     row stay without one).  Set semantics: the pair is added only where it is
     missing, found by one per-uid aggregation (no distinct over all edges)."""
     if listener is None:
         return edges
-    missing = (edges.groupBy("uid")
-                    .agg(F.max((F.col("follower") == listener).cast("int")).alias("_has"))
-                    .filter(F.col("_has") == 0)
-                    .select("uid", F.lit(listener).cast("bigint").alias("follower")))
+    stats = stats if stats is not None else author_stats(edges, listener)
+    missing = stats.filter(F.col("_has") == 0).select(
+        "uid", F.lit(listener).cast("bigint").alias("follower"))
     return edges.unionByName(missing)
 
 
 def delivery_edges(edges: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
     """Who receives an author's tweets: set store = distinct follower sets
     plus the listener; list store = the edges as stored."""
+    return delivery_plan(edges, cfg)[0]
+
+
+def delivery_plan(edges: DataFrame, cfg: FeedConfig = FeedConfig()) -> tuple[DataFrame, DataFrame]:
+    """(delivery edges, hot authors) from one per-author aggregation.
+
+    Hot authors (more than ``cfg.skew_split_rows`` receivers) come with the
+    number of salt values their edges are split over."""
     if cfg.store == "list":
-        return list_store_edges(edges)
-    return with_listener(edges.select("uid", "follower"), cfg.listener)
+        e = list_store_edges(edges)
+        stats = author_stats(e, None)
+        followers = e
+        n = F.col("_n")
+    else:
+        e = edges.select("uid", "follower")
+        stats = author_stats(e, cfg.listener)
+        followers = with_listener(e, cfg.listener, stats)
+        n = F.col("_n") + (1 - F.col("_has")) if cfg.listener is not None else F.col("_n")
+    hot = stats.filter(n > cfg.skew_split_rows).select(
+        "uid", F.ceil(n / F.lit(cfg.skew_split_rows)).cast("int").alias("_n_salt"))
+    return followers, hot
+
+
+def publish_delivery(edges: DataFrame, cfg: FeedConfig, path: str, mode: str = "overwrite") -> None:
+    """Write the delivery table once (graph job): follower sets with the
+    listener already injected.  A stream re-reads it every batch (ST3) and
+    runs with ``listener=None``, so no batch re-aggregates the edge table."""
+    delivery_edges(edges, cfg).write.mode(mode).parquet(path)
 
 
 def follower_stats(followers: DataFrame) -> DataFrame:
@@ -69,12 +101,22 @@ def authors_without_followers(tweets: DataFrame, followers: DataFrame) -> DataFr
 
 
 def fanout(tweets: DataFrame, followers: DataFrame, cfg: FeedConfig = FeedConfig(),
-           carry: tuple[str, ...] = (), hot: DataFrame | None = None) -> DataFrame:
+           carry: tuple[str, ...] = (), hot: DataFrame | None = None,
+           tweets_bytes: int | None = None) -> DataFrame:
     """J5/J6. One row per (follower, tweet): ``uid`` is the receiving user.
 
     ``carry`` adds tweet columns (e.g. the raw payload for the denormalized
-    layout).  Authors without a follower row produce nothing (inner join)."""
+    layout).  Authors without a follower row produce nothing (inner join).
+
+    ``tweets_bytes`` is the measured size of the tweet side (a cached
+    micro-batch).  When it is within ``cfg.broadcast_bytes`` the tweets are
+    broadcast and the edge table is only scanned - never shuffled - so a hot
+    author's edges stay spread over the partitions they are read from.
+    Otherwise both sides shuffle on (uid, salt) with hot authors salted."""
     t = tweets.select("uid", "time", "tid", *carry)
-    joined = salted_join(t, followers.select("uid", "follower"), key="uid",
-                         spread_col="follower", split_rows=cfg.skew_split_rows, hot=hot)
+    if tweets_bytes is not None and tweets_bytes <= cfg.broadcast_bytes:
+        joined = followers.select("uid", "follower").join(F.broadcast(t), "uid", "inner")
+    else:
+        joined = salted_join(t, followers.select("uid", "follower"), key="uid",
+                             spread_col="follower", split_rows=cfg.skew_split_rows, hot=hot)
     return joined.select(F.col("follower").alias("uid"), "time", "tid", *carry)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.operators.store import resolve
+
 from feedloom.config import PAGE_CAP, PAGE_STEP
 
 
@@ -28,27 +30,56 @@ def newest_n(df: DataFrame, n: int, key: str = "uid") -> DataFrame:
     return df.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= F.lit(n))
 
 
-def newest_for_requests(df: DataFrame, requests: DataFrame) -> DataFrame:
+def page_bounds(requests: DataFrame) -> tuple[DataFrame, int, int]:
+    """(uid, page_size) per request, plus the largest page and the sum of all
+    pages - the latter bounds the rows any timeline read can return."""
+    pages = requests.select("uid", page_size(F.col("n")).alias("page_size"))
+    mx, total = pages.agg(F.max("page_size"), F.sum("page_size")).first()   # one row
+    return pages, int(mx or 0), int(total or 0)
+
+
+def newest_for_requests(df: DataFrame, requests: DataFrame, bounds=None) -> DataFrame:
     """R7. Newest rows per requested user with a page size per user.
 
     Only requested users are ranked (semi join); the largest page is taken as
     the literal bound so the per-key partial limit still applies."""
-    pages = requests.select("uid", page_size(F.col("n")).alias("page_size"))
-    bound = pages.agg(F.max("page_size")).first()[0]   # one scalar
-    if bound is None:
-        bound = 0
-    ranked = newest_n(df.join(pages.select("uid"), "uid", "left_semi"), int(bound))
+    pages, mx, _ = bounds or page_bounds(requests)
+    ranked = newest_n(df.join(pages.select("uid"), "uid", "left_semi"), mx)
     return ranked.join(pages, "uid", "inner").filter(F.col("rn") <= F.col("page_size"))
 
 
-def resolve_tweets(ids: DataFrame, tweets: DataFrame) -> DataFrame:
-    """J8. Attach the stored payload by tid; missing tweets vanish (inner)."""
-    return ids.join(tweets.select("tid", "tweet"), "tid", "inner")
-
-
-def tweets_in_set(tweets: DataFrame, ids: DataFrame) -> DataFrame:
-    """J9. Stored tweets whose tid is in the id set (semi join, empty set ok)."""
-    return tweets.join(ids.select("tid"), "tid", "left_semi")
+def _id_keys(ids: DataFrame, max_ids: int | None, broadcast_bytes: int) -> DataFrame:
+    keys = ids.select("tid")
+    if max_ids is not None and max_ids * 16 <= broadcast_bytes:
+        keys = F.broadcast(keys)   # bounded: at most max_ids rows
+    return keys
+
+
+def resolve_tweets(ids: DataFrame, tweets: DataFrame, max_ids: int | None = None,
+                   broadcast_bytes: int = 64 * 1024 * 1024, as_of: str | None = None) -> DataFrame:
+    """J8. Attach the stored payload by tid; missing tweets vanish (inner).
+
+    ``tweets`` are stored tweet rows (all written versions).  They are first
+    cut to the ids asked for - a semi join on the upsert key drops whole tid
+    groups, so resolving afterwards (T2, then T4 at ``as_of``) gives exactly
+    the resolved table's rows - and only those few tweets are resolved and
+    joined.  ``max_ids`` is a proven upper bound on the id rows (the sum of
+    page sizes); within ``broadcast_bytes`` the ids are broadcast and the
+    tweets table is scanned once and never shuffled."""
+    needed = tweets.join(_id_keys(ids, max_ids, broadcast_bytes), "tid", "left_semi")
+    if "ingest_ts" in needed.columns:
+        needed = resolve("tweets", needed, as_of=as_of)
+    return ids.join(needed.select("tid", "tweet"), "tid", "inner")
+
+
+def tweets_in_set(tweets: DataFrame, ids: DataFrame, max_ids: int | None = None,
+                  broadcast_bytes: int = 64 * 1024 * 1024, as_of: str | None = None) -> DataFrame:
+    """J9. Stored tweets whose tid is in the id set (semi join, empty set ok);
+    stored rows are resolved after the cut, as in ``resolve_tweets``."""
+    found = tweets.join(_id_keys(ids, max_ids, broadcast_bytes), "tid", "left_semi")
+    if "ingest_ts" in found.columns:
+        found = resolve("tweets", found, as_of=as_of)
+    return found
 
 
 def with_username(df: DataFrame, usernames: DataFrame, default: str) -> DataFrame:

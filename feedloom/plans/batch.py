@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.config import FeedConfig
 from feedloom.functions.parse import ingest
-from feedloom.operators.fanout import delivery_edges, fanout
+from feedloom.operators.fanout import delivery_plan, fanout
 from feedloom.operators.store import resolve, with_expiry
 from feedloom.sources import fixtures
 
@@ -35,23 +35,24 @@ def load_inputs(spark: SparkSession, sf_dir: str, cfg: FeedConfig = FeedConfig()
 
 
 def timeline_rows(tweets: DataFrame, edges: DataFrame, cfg: FeedConfig = FeedConfig(),
-                  ingest_col: str = "time") -> dict[str, DataFrame]:
+                  ingest_col: str = "time", tweets_bytes: int | None = None) -> dict[str, DataFrame]:
     """P7 + J5/J6 + W1-W5/W9: the per-sink rows of one input (batch or micro-batch).
 
     norm:   tweets(tid, tweet), homepages(author), inboxes(follower) with tid
-    denorm: historytweets(author), feedslists(follower) with the payload"""
+    denorm: historytweets(author), feedslists(follower) with the payload
+    ``tweets_bytes``: measured size of the fan-out side, if known (see fanout)."""
     t = with_expiry(tweets.select("tid", "uid", "time", "tweet"), cfg, ingest_col)
-    followers = delivery_edges(edges, cfg)
+    followers, hot = delivery_plan(edges, cfg)
     meta = ("ingest_ts", "expire_at")
     if cfg.layout == "norm":
         return {
             "tweets": t.select("tid", "tweet", *meta),
             "homepages": t.select("uid", "time", "tid", *meta),
-            "inboxes": fanout(t, followers, cfg, carry=meta),
+            "inboxes": fanout(t, followers, cfg, carry=meta, hot=hot, tweets_bytes=tweets_bytes),
         }
     return {
         "historytweets": t.select("uid", "time", "tid", "tweet", *meta),
-        "feedslists": fanout(t, followers, cfg, carry=("tweet",) + meta),
+        "feedslists": fanout(t, followers, cfg, carry=("tweet",) + meta, hot=hot, tweets_bytes=tweets_bytes),
     }
 
 

@@ -42,6 +42,11 @@ def _tables(spark, sf_dir, cfg=CFG, as_of="default"):
     return batch.resolved_tables(spark, sf_dir, cfg, as_of)
 
 
+def _stored_rows(spark, sf_dir, cfg=CFG):
+    """Unresolved sink rows (every written version), as a store holds them."""
+    return batch.batch_tables(spark, sf_dir, cfg)
+
+
 def _tweets(spark, sf_dir, cfg=CFG):
     return P.ingest(fixtures.raw_tweets(spark, sf_dir), cfg)
 
@@ -327,24 +332,24 @@ def q_compact_store(spark, sf_dir):
 def q_home_timeline(spark, sf_dir):
     """R3 (flagship): every user's newest page of the inbox, rendered."""
     t = _tables(spark, sf_dir)
-    return tl.home_timeline(t["inboxes"], t["tweets"], fixtures.usernames(spark, sf_dir),
-                            fixtures.requests(spark, sf_dir), CFG)
+    return tl.home_timeline(t["inboxes"], _stored_rows(spark, sf_dir)["tweets"],
+                            fixtures.usernames(spark, sf_dir), fixtures.requests(spark, sf_dir), CFG)
 
 
 @query("profile_timeline")
 def q_profile_timeline(spark, sf_dir):
     """Every user's newest page of own tweets, author shown by username."""
     t = _tables(spark, sf_dir)
-    return tl.profile_timeline(t["homepages"], t["tweets"], fixtures.usernames(spark, sf_dir),
-                               fixtures.requests(spark, sf_dir), CFG)
+    return tl.profile_timeline(t["homepages"], _stored_rows(spark, sf_dir)["tweets"],
+                               fixtures.usernames(spark, sf_dir), fixtures.requests(spark, sf_dir), CFG)
 
 
 @query("paged_timeline")
 def q_paged_timeline(spark, sf_dir):
     """Home timelines with a different page request per user."""
     t = _tables(spark, sf_dir)
-    return tl.home_timeline(t["inboxes"], t["tweets"], fixtures.usernames(spark, sf_dir),
-                            fixtures.paged_requests(spark, sf_dir), CFG)
+    return tl.home_timeline(t["inboxes"], _stored_rows(spark, sf_dir)["tweets"],
+                            fixtures.usernames(spark, sf_dir), fixtures.paged_requests(spark, sf_dir), CFG)
 
 
 @query("timeline_state")
@@ -379,7 +384,8 @@ def q_feed_topn_denorm(spark, sf_dir):
 def q_feed_topn_norm(spark, sf_dir):
     """Newest 20 ids per user, then tweets by id set."""
     t = _tables(spark, sf_dir)
-    return tl.feed_topn_norm(t["inboxes"], t["tweets"]).select("uid", "rn", "time", "tid", _text())
+    stored = _stored_rows(spark, sf_dir)["tweets"]
+    return tl.feed_topn_norm(t["inboxes"], stored, as_of=CFG.as_of).select("uid", "rn", "time", "tid", _text())
 
 
 @query("followers_of")
@@ -402,7 +408,8 @@ def q_tweets_in_set(spark, sf_dir):
     """Stored tweets whose id is in the set of newest-20 inbox ids."""
     t = _tables(spark, sf_dir)
     ids = R.newest_n(t["inboxes"].select("uid", "time", "tid"), FEED_READ_SIZE)
-    return R.tweets_in_set(t["tweets"], ids).select("tid", _text())
+    stored = _stored_rows(spark, sf_dir)["tweets"]
+    return R.tweets_in_set(stored, ids, as_of=CFG.as_of).select("tid", _text())
 
 
 @query("username_default")
@@ -479,11 +486,17 @@ def q_layout_equivalence(spark, sf_dir):
 # 2.8 Streaming
 # ---------------------------------------------------------------------------
 def _edges_table(spark, sf_dir, root, df=None):
-    path = f"{root}/edges"
-    (df if df is not None else fixtures.edges(spark, sf_dir)).write.mode("append").parquet(path)
+    """Publish the delivery table (sets + listener) under ``root``; the
+    stream re-reads it each batch and runs with listener=None."""
+    path = f"{root}/delivery"
+    src = df if df is not None else J.delivery_edges(fixtures.edges(spark, sf_dir), CFG)
+    src.write.mode("append").parquet(path)
     return lambda: spark.read.parquet(path)
 
 
+STREAM_CFG = CFG.with_(listener=None)   # listener rows live in the delivery table
+
+
 @query("stream_fanout")
 def q_stream_fanout(spark, sf_dir):
     """ST1/ST2/ST4: the feed streamed (two deliveries, several micro-batches)
@@ -493,7 +506,7 @@ def q_stream_fanout(spark, sf_dir):
     _publish_feed(spark, sf_dir, root, "late")
     store = TimelineStore(spark, f"{root}/store")
     loader = _edges_table(spark, sf_dir, root)
-    ST.run_available(_feed_source(spark, root, max_files=4), store, loader, f"{root}/ckpt", CFG)
+    ST.run_available(_feed_source(spark, root, max_files=4), store, loader, f"{root}/ckpt", STREAM_CFG)
     return store.read("inboxes", CFG, CFG.as_of).select("uid", "time", "tid", "expire_at")
 
 
@@ -504,9 +517,9 @@ def q_stream_replay(spark, sf_dir):
     _publish_feed(spark, sf_dir, root, "all", "first")
     store = TimelineStore(spark, f"{root}/store")
     loader = _edges_table(spark, sf_dir, root)
-    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", CFG)
+    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", STREAM_CFG)
     _publish_feed(spark, sf_dir, root, "all", "again")   # every record redelivered
-    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", CFG)
+    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", STREAM_CFG)
     # full history, expired rows included
     return store.read("inboxes", CFG, None).select("uid", "time", "tid", "expire_at")
 
@@ -519,14 +532,16 @@ def q_stream_dimension_refresh(spark, sf_dir):
     new followers too."""
     root = scratch_path(spark, "stream-dim")
     early = F.col("o_orderdate") < F.lit("1995-01-01").cast("timestamp_ntz")
-    first = fixtures.dated_edges(spark, sf_dir, early)
+    first = J.delivery_edges(fixtures.dated_edges(spark, sf_dir, early), CFG)
     loader = _edges_table(spark, sf_dir, root, first)
     _publish_feed(spark, sf_dir, root, "early")
     store = TimelineStore(spark, f"{root}/store")
-    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", CFG)
-    added = fixtures.dated_edges(spark, sf_dir, ~early).join(first, ["uid", "follower"], "left_anti")
+    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", STREAM_CFG)
+    # set insert of the later follows: delivery rows not stored yet
+    everything = J.delivery_edges(fixtures.edges(spark, sf_dir), CFG)
+    added = everything.join(first, ["uid", "follower"], "left_anti")
     _edges_table(spark, sf_dir, root, added)
     _publish_feed(spark, sf_dir, root, "late")
-    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", CFG)
+    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", STREAM_CFG)
     # full history: the early rows show the dimension as it was then
     return store.read("inboxes", CFG, None).select("uid", "time", "tid", "expire_at")

@@ -1,6 +1,6 @@
 from feedloom.config import FeedConfig
 from feedloom.plans import batch
-from feedloom.plans.registry import _edges_table, _feed_source, _publish_feed
+from feedloom.plans.registry import STREAM_CFG, _edges_table, _feed_source, _publish_feed
 from feedloom.session import scratch_path
 from feedloom.sources.store import TimelineStore
 from feedloom.streaming import fanout_stream as ST
@@ -20,7 +20,7 @@ def test_stream_equals_batch_and_replay(spark):
     _publish_feed(spark, SF_SMALL, root, "late")
     store = TimelineStore(spark, f"{root}/store")
     loader = _edges_table(spark, SF_SMALL, root)
-    ST.run_available(_feed_source(spark, root, max_files=2), store, loader, f"{root}/ckpt", CFG)
+    ST.run_available(_feed_source(spark, root, max_files=2), store, loader, f"{root}/ckpt", STREAM_CFG)
     want = batch.resolved_tables(spark, SF_SMALL, CFG, as_of=None)
     for t in ("tweets", "homepages", "inboxes"):
         cols = [c for c in want[t].columns]
@@ -28,7 +28,7 @@ def test_stream_equals_batch_and_replay(spark):
     assert store.dead_letter().count() == 0
     # redelivery: the same records again as new files -> same tables
     _publish_feed(spark, SF_SMALL, root, "all", "again")
-    ST.run_available(_feed_source(spark, root, max_files=2), store, loader, f"{root}/ckpt", CFG)
+    ST.run_available(_feed_source(spark, root, max_files=2), store, loader, f"{root}/ckpt", STREAM_CFG)
     for t in ("tweets", "homepages", "inboxes"):
         cols = [c for c in want[t].columns]
         assert _same(store.read(t, CFG, None).select(*cols), want[t].select(*cols)), t
@@ -41,7 +41,7 @@ def test_stream_dead_letters(spark):
         .write.text(f"{root}/feed/d0")
     store = TimelineStore(spark, f"{root}/store")
     loader = _edges_table(spark, SF_SMALL, root)
-    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", CFG)
+    ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", STREAM_CFG)
     got = sorted(r["reason"] for r in store.dead_letter().select("reason").collect())
     assert got == ["malformed_json", "missing_id"]
     assert store.read("inboxes", CFG, None).count() == 0
