@@ -20,11 +20,13 @@ def follower_edges(edges: DataFrame) -> DataFrame:
 
 
 def _chunked_sets(pairs: DataFrame, key: str, member: str, chunk_rows: int) -> DataFrame:
-    counts = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = counts.select(key, F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("bigint").alias("_k"))
-    # one row per key on the lookup side; Catalyst broadcasts it only when its
-    # measured size is under the threshold (AQE re-plans with real sizes)
-    tagged = pairs.join(chunks, key, "inner").withColumn("chunk", F.pmod(F.col(member), F.col("_k")))
+    counts = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))          # partial agg
+    # only keys with more than chunk_rows members need several chunks; there
+    # are at most rows / chunk_rows of them, so this side has a proven bound
+    big = counts.filter(F.col("_n") > chunk_rows).select(
+        key, F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("bigint").alias("_k"))
+    tagged = pairs.join(F.broadcast(big), key, "left").withColumn(
+        "chunk", F.coalesce(F.pmod(F.col(member), F.col("_k")), F.lit(0).cast("bigint")))
     return tagged.groupBy(key, "chunk").agg(
         F.array_sort(F.collect_list(member)).alias("ids"))
 

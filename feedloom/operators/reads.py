@@ -51,8 +51,8 @@ def newest_for_requests(df: DataFrame, requests: DataFrame, bounds=None) -> Data
 def _id_keys(ids: DataFrame, max_ids: int | None, broadcast_bytes: int) -> DataFrame:
     keys = ids.select("tid")
     if max_ids is not None and max_ids * 16 <= broadcast_bytes:
-        keys = F.broadcast(keys)   # bounded: at most max_ids rows
-    return keys
+        return F.broadcast(keys)   # bounded: at most max_ids rows
+    return keys.distinct()         # shuffled: one row per id (partial agg first)
 
 
 def resolve_tweets(ids: DataFrame, tweets: DataFrame, max_ids: int | None = None,

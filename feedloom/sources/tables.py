@@ -25,7 +25,9 @@ def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A scan that already has enough splits - any large input - is returned
     unchanged, so no shuffle is added at scale.  Counting the splits of a
     plain scan plans it but runs no job."""
-    target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
+        splits = scan.rdd.getNumPartitions()
+    except Exception:   # no RDD view (e.g. a Connect session): leave the scan alone
         return scan
-    return scan.repartition(target)
+    return scan if splits >= target else scan.repartition(target)
