@@ -499,14 +499,15 @@ STREAM_CFG = CFG.with_(listener=None)   # listener rows live in the delivery tab
 
 @query("stream_fanout")
 def q_stream_fanout(spark, sf_dir):
-    """ST1/ST2/ST4: the feed streamed (two deliveries, several micro-batches)
-    through foreachBatch into all norm sinks; the inbox after it drained."""
+    """ST1/ST2/ST4: the feed streamed in two deliveries (a micro-batch each,
+    at most 8 files per trigger) through foreachBatch into all norm sinks;
+    the inbox after it drained."""
     root = scratch_path(spark, "stream-fanout")
     _publish_feed(spark, sf_dir, root, "early")
     _publish_feed(spark, sf_dir, root, "late")
     store = TimelineStore(spark, f"{root}/store")
     loader = _edges_table(spark, sf_dir, root)
-    ST.run_available(_feed_source(spark, root, max_files=4), store, loader, f"{root}/ckpt", STREAM_CFG)
+    ST.run_available(_feed_source(spark, root, max_files=8), store, loader, f"{root}/ckpt", STREAM_CFG)
     return store.read("inboxes", CFG, CFG.as_of).select("uid", "time", "tid", "expire_at")
 
 
