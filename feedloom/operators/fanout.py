@@ -77,6 +77,28 @@ def publish_delivery(edges: DataFrame, cfg: FeedConfig, path: str, mode: str = "
     delivery_edges(edges, cfg).write.mode(mode).parquet(path)
 
 
+def list_store_rows(edges: DataFrame) -> DataFrame:
+    """W8. The list store as rows: every edge pushed once in each direction
+    (``followers`` of uid and ``following`` of follower); no set semantics."""
+    fwd = edges.select(F.lit("followers").alias("direction"), F.col("uid").alias("owner"),
+                       F.col("follower").cast("string").alias("member"))
+    back = edges.select(F.lit("following").alias("direction"), F.col("follower").alias("owner"),
+                        F.col("uid").cast("string").alias("member"))
+    return fwd.unionByName(back)
+
+
+def publish_list_store(edges: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """W8 load: both directions, partitioned by direction so a reader of one
+    direction prunes the other."""
+    list_store_rows(edges).write.mode(mode).partitionBy("direction").parquet(path)
+
+
+def read_list_store(spark, path: str, direction: str = "followers") -> DataFrame:
+    """J2 lookup side: (uid, follower) as stored text ids (cast by J7)."""
+    rows = spark.read.parquet(path).filter(F.col("direction") == direction)
+    return rows.select(F.col("owner").alias("uid"), F.col("member").alias("follower"))
+
+
 def follower_stats(followers: DataFrame) -> DataFrame:
     """Per-author size and id sum of the delivery set (pre-aggregated lookup side)."""
     return followers.groupBy("uid").agg(F.count(F.lit(1)).alias("n_followers"),

@@ -183,8 +183,14 @@ def q_fanout_denorm(spark, sf_dir):
 
 @query("fanout_list_store")
 def q_fanout_list_store(spark, sf_dir):
-    """List store - edges as pushed, duplicates kept, no listener."""
-    return batch.batch_tables(spark, sf_dir, CFG.with_(store="list"))["inboxes"].select("uid", "time", "tid")
+    """The edges loaded into the list store (both directions, as
+    text, duplicates kept), read back by direction and fanned out without a
+    listener."""
+    path = scratch_path(spark, "list-store")
+    J.publish_list_store(fixtures.edges(spark, sf_dir, distinct=False), path)
+    cfg = CFG.with_(store="list")
+    rows = batch.timeline_rows(_tweets(spark, sf_dir, cfg), J.read_list_store(spark, path), cfg)
+    return rows["inboxes"].select("uid", "time", "tid")
 
 
 @query("fanout_variants")

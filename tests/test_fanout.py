@@ -84,3 +84,15 @@ def test_join_followers_left(spark):
     got = {r["tid"]: r for r in J.join_followers_left(tw, e).collect()}
     assert got[1]["n_followers"] == 3 and got[1]["sum_followers"] == 11
     assert got[2]["n_followers"] is None
+
+
+def test_list_store_round_trip(spark):
+    from feedloom.session import scratch_path
+    e = _edges(spark, [(10, 5), (10, 5), (11, 6)])
+    path = scratch_path(spark, "t-list")
+    J.publish_list_store(e, path)
+    assert _rows(J.read_list_store(spark, path), "uid", "follower") == [(10, "5"), (10, "5"), (11, "6")]
+    assert _rows(J.read_list_store(spark, path, "following"), "uid", "follower") == [(5, "10"), (5, "10"), (6, "11")]
+    tw = _tweets(spark, [(1, 10, T0)])
+    rows = timeline_rows(tw, J.read_list_store(spark, path), FeedConfig(store="list"))["inboxes"]
+    assert _rows(rows, "uid", "tid") == [(5, 1), (5, 1)]

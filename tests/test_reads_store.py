@@ -102,3 +102,11 @@ def test_layout_equivalence_and_feed_reads(spark):
     bad = fl.withColumn("tweet", F.when(F.col("tid") == 30, F.lit("x")).otherwise(F.col("tweet")))
     eq = {r["uid"]: tuple(r)[1:] for r in tl.layout_equivalence(ib, tws, bad).collect()}
     assert eq[1] == (20, 20, 1, 1)
+
+
+def test_sample_users_deterministic(spark):
+    users = spark.createDataFrame([(u,) for u in range(1000)], "uid bigint")
+    a = [r[0] for r in tl.sample_users(users, 25, seed=3).collect()]
+    b = [r[0] for r in tl.sample_users(users, 25, seed=3).collect()]
+    c = [r[0] for r in tl.sample_users(users, 25, seed=4).collect()]
+    assert a == b and len(set(a)) == 25 and set(a) != set(c)
