@@ -30,6 +30,13 @@ def newest_n(df: DataFrame, n: int, key: str = "uid") -> DataFrame:
     return df.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= F.lit(n))
 
 
+def user_page(df: DataFrame, uid: int, n: int) -> DataFrame:
+    """R1 for one user (the per-request read): the uid filter passes through
+    the key resolution into the parquet scan (files are uid-sorted, so row
+    groups of other users are skipped) and the limit plans as a top-n."""
+    return df.filter(F.col("uid") == F.lit(uid)).orderBy(*_order(df)).limit(n)
+
+
 def page_bounds(requests: DataFrame) -> tuple[DataFrame, int, int]:
     """(uid, page_size) per request, plus the largest page and the sum of all
     pages - the latter bounds the rows any timeline read can return."""

@@ -110,3 +110,14 @@ def test_sample_users_deterministic(spark):
     b = [r[0] for r in tl.sample_users(users, 25, seed=3).collect()]
     c = [r[0] for r in tl.sample_users(users, 25, seed=4).collect()]
     assert a == b and len(set(a)) == 25 and set(a) != set(c)
+
+
+def test_user_page_pushes_uid_to_scan(spark):
+    tw = _feed(spark, 12)
+    e = spark.createDataFrame([(10, 1), (10, 2)], "uid bigint, follower bigint")
+    store = TimelineStore(spark)
+    store.write_batch("inboxes", timeline_rows(tw, e, CFG)["inboxes"], 0)
+    page = R.user_page(store.read("inboxes", CFG, CFG.as_of), 2, 3)
+    assert [r["tid"] for r in page.collect()] == [12, 11, 10]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(uid,2)" in plan and "TakeOrderedAndProject" in plan
