@@ -5,6 +5,7 @@ env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
      BENCH_QUERIES (comma list to run a subset).
 Each run executes the whole plan into the no-op sink (nothing is collected
 to the driver); the reported time per query is the median of the runs.
+B3 (read cost per layout) is the pair feed_topn_norm / feed_topn_denorm.
 """
 
 from __future__ import annotations
