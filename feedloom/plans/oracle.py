@@ -120,12 +120,14 @@ ORACLE["fanout_list_store"] = _q("""SELECT l.follower AS uid, en.time, en.tid FR
 
 ORACLE["fanout_variants"] = _q("""
 , lfan AS (SELECT l.follower AS uid, en.time, en.tid FROM en JOIN ledges l ON l.uid = en.uid)
-SELECT layout, store, n_rows, n_resolved FROM (
+, v AS (
   SELECT 'set' AS store, (SELECT count(*) FROM fan) AS n_rows,
          (SELECT count(*) FROM (SELECT DISTINCT uid, time FROM fan)) AS n_resolved
   UNION ALL
-  SELECT 'list', (SELECT count(*) FROM lfan), (SELECT count(*) FROM (SELECT DISTINCT uid, time FROM lfan))
-) v CROSS JOIN (VALUES ('norm'), ('denorm')) AS l(layout)""")
+  SELECT 'list', (SELECT count(*) FROM lfan), (SELECT count(*) FROM (SELECT DISTINCT uid, time FROM lfan)))
+SELECT 'norm' AS layout, store, n_rows, n_resolved FROM v
+UNION ALL
+SELECT 'denorm' AS layout, store, n_rows, n_resolved FROM v""")
 
 # 2.3 ---------------------------------------------------------------------------
 ORACLE["sink_tweets"] = _q(f"SELECT tid, text, {_EXPIRE} AS expire_at FROM tweets_vis")
@@ -234,10 +236,10 @@ def _tiers_sql() -> str:
         lo.append(f"WHEN {cond} THEN {m} - {v} + 1" if var != 0 else f"WHEN {cond} THEN {m}")
         hi.append(f"WHEN {cond} THEN {m} + {v} - 1" if var != 0 else f"WHEN {cond} THEN {m}")
     return f"""
-, nn AS (SELECT count(*) AS n FROM users)
 , cnt AS (SELECT uid, count(*) AS c FROM edges WHERE uid <> follower GROUP BY uid)
-, base AS (SELECT users.uid AS uid, nn.n AS n, CAST(coalesce(cnt.c, 0) AS BIGINT) AS n_followers
-           FROM users CROSS JOIN nn LEFT JOIN cnt ON cnt.uid = users.uid)
+, base AS (SELECT users.uid AS uid, (SELECT count(*) FROM users) AS n,
+                  CAST(coalesce(cnt.c, 0) AS BIGINT) AS n_followers
+           FROM users LEFT JOIN cnt ON cnt.uid = users.uid)
 , pu AS (SELECT uid, CASE {' '.join(tier)} END AS tier,
                 CAST(CASE {' '.join(lo)} END AS BIGINT) AS lo, CAST(CASE {' '.join(hi)} END AS BIGINT) AS hi,
                 n_followers

@@ -204,10 +204,13 @@ def q_fanout_variants(spark, sf_dir):
             table = "inboxes" if layout == "norm" else "feedslists"
             rows = batch.batch_tables(spark, sf_dir, cfg)[table]
             resolved = T.resolve(table, rows, cfg, None)
-            n_rows = rows.agg(F.count(F.lit(1)).alias("n_rows"))
-            n_res = resolved.agg(F.count(F.lit(1)).alias("n_resolved"))
-            outs.append(n_rows.join(n_res, how="inner").select(
-                F.lit(layout).alias("layout"), F.lit(store).alias("store"), "n_rows", "n_resolved"))
+            # two global counts side by side: union + one aggregate, no join
+            counts = (rows.agg(F.count(F.lit(1)).alias("v")).withColumn("k", F.lit("rows"))
+                      .unionByName(resolved.agg(F.count(F.lit(1)).alias("v")).withColumn("k", F.lit("res"))))
+            outs.append(counts.agg(
+                F.max(F.when(F.col("k") == "rows", F.col("v"))).alias("n_rows"),
+                F.max(F.when(F.col("k") == "res", F.col("v"))).alias("n_resolved"))
+                .select(F.lit(layout).alias("layout"), F.lit(store).alias("store"), "n_rows", "n_resolved"))
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)
