@@ -21,9 +21,15 @@ from feedloom.config import FeedConfig
 META = ("ingest_ts", "expire_at")
 
 
-def with_expiry(df: DataFrame, cfg: FeedConfig = FeedConfig(), ingest_col: str = "time") -> DataFrame:
-    """W9. Stamp ingest time and expiry (ingest_ts + ttl)."""
-    ing = F.col(ingest_col).cast("timestamp_ntz")
+def with_expiry(df: DataFrame, cfg: FeedConfig = FeedConfig(), ingest_col: str | None = "time") -> DataFrame:
+    """W9. Stamp ingest time and expiry (ingest_ts + ttl).
+
+    ``ingest_col`` None stamps the write time (UTC, as the TTL of a store
+    counts from the write); a column name stamps that column (deterministic)."""
+    if ingest_col is None:
+        ing = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+    else:
+        ing = F.col(ingest_col).cast("timestamp_ntz")
     return df.withColumn("ingest_ts", ing).withColumn(
         "expire_at", ing + F.make_dt_interval(secs=F.lit(cfg.ttl_seconds)))
 

@@ -121,3 +121,16 @@ def test_user_page_pushes_uid_to_scan(spark):
     assert [r["tid"] for r in page.collect()] == [12, 11, 10]
     plan = page._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(uid,2)" in plan and "TakeOrderedAndProject" in plan
+
+
+def test_write_time_expiry_stamp(spark):
+    df = spark.createDataFrame([(1,)], "tid bigint")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        r = T.with_expiry(df, CFG, None).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((r["ingest_ts"] - now).total_seconds()) < 120
+    assert r["expire_at"] - r["ingest_ts"] == dt.timedelta(seconds=CFG.ttl_seconds)
