@@ -6,6 +6,7 @@ semantics in memory; the stream writes the very same frames per batch."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,50 +22,75 @@ from feedloom.sources import fixtures
 class Inputs:
     raw: DataFrame
     edges: DataFrame          # as stored for the configured follower store
-    usernames: DataFrame
-    users: DataFrame
 
 
 def load_inputs(spark: SparkSession, sf_dir: str, cfg: FeedConfig = FeedConfig()) -> Inputs:
     return Inputs(
         raw=fixtures.raw_tweets(spark, sf_dir),
         edges=fixtures.edges(spark, sf_dir, distinct=(cfg.store == "set")),
-        usernames=fixtures.usernames(spark, sf_dir),
-        users=fixtures.users(spark, sf_dir),
     )
 
 
+class LazyTables(Mapping):
+    """name -> DataFrame, each plan built on first access (a query that reads
+    one sink does not analyze the others)."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def timeline_rows(tweets: DataFrame, edges: DataFrame, cfg: FeedConfig = FeedConfig(),
-                  ingest_col: str = "time", tweets_bytes: int | None = None) -> dict[str, DataFrame]:
+                  ingest_col: str | None = "time", tweets_bytes: int | None = None) -> LazyTables:
     """P7 + J5/J6 + W1-W5/W9: the per-sink rows of one input (batch or micro-batch).
 
     norm:   tweets(tid, tweet), homepages(author), inboxes(follower) with tid
     denorm: historytweets(author), feedslists(follower) with the payload
     ``tweets_bytes``: measured size of the fan-out side, if known (see fanout)."""
     t = with_expiry(tweets.select("tid", "uid", "time", "tweet"), cfg, ingest_col)
-    followers, hot = delivery_plan(edges, cfg)
     meta = ("ingest_ts", "expire_at")
+
+    def fan(carry):
+        followers, hot = delivery_plan(edges, cfg)
+        return fanout(t, followers, cfg, carry=carry, hot=hot, tweets_bytes=tweets_bytes)
+
     if cfg.layout == "norm":
-        return {
-            "tweets": t.select("tid", "tweet", *meta),
-            "homepages": t.select("uid", "time", "tid", *meta),
-            "inboxes": fanout(t, followers, cfg, carry=meta, hot=hot, tweets_bytes=tweets_bytes),
-        }
-    return {
-        "historytweets": t.select("uid", "time", "tid", "tweet", *meta),
-        "feedslists": fanout(t, followers, cfg, carry=("tweet",) + meta, hot=hot, tweets_bytes=tweets_bytes),
-    }
-
-
-def batch_tables(spark: SparkSession, sf_dir: str, cfg: FeedConfig = FeedConfig()) -> dict[str, DataFrame]:
+        return LazyTables({
+            "tweets": lambda: t.select("tid", "tweet", *meta),
+            "homepages": lambda: t.select("uid", "time", "tid", *meta),
+            "inboxes": lambda: fan(meta),
+        })
+    return LazyTables({
+        "historytweets": lambda: t.select("uid", "time", "tid", "tweet", *meta),
+        "feedslists": lambda: fan(("tweet",) + meta),
+    })
+
+
+def batch_tables(spark: SparkSession, sf_dir: str, cfg: FeedConfig = FeedConfig()) -> LazyTables:
     """Sink rows of the whole fixture feed as one batch."""
     inp = load_inputs(spark, sf_dir, cfg)
     return timeline_rows(ingest(inp.raw, cfg), inp.edges, cfg)
 
 
 def resolved_tables(spark: SparkSession, sf_dir: str, cfg: FeedConfig = FeedConfig(),
-                    as_of: str | None = "default") -> dict[str, DataFrame]:
+                    as_of: str | None = "default") -> LazyTables:
     """Store view of the batch: keys resolved, expired rows hidden at ``as_of``
     (``"default"`` = cfg.as_of; None keeps expired rows)."""
+    return resolved_view(batch_tables(spark, sf_dir, cfg), cfg, as_of)
+
+
+def resolved_view(rows: LazyTables, cfg: FeedConfig = FeedConfig(), as_of: str | None = "default") -> LazyTables:
+    """Resolve already built sink rows (shares their plans with other users of ``rows``)."""
     at = cfg.as_of if as_of == "default" else as_of
-    return {k: resolve(k, v, cfg, at) for k, v in batch_tables(spark, sf_dir, cfg).items()}
+    return LazyTables({k: (lambda k=k: resolve(k, rows[k], cfg, at)) for k in rows})

@@ -47,6 +47,11 @@ def _stored_rows(spark, sf_dir, cfg=CFG):
     return batch.batch_tables(spark, sf_dir, cfg)
 
 
+def _stored_and_resolved(spark, sf_dir, cfg=CFG):
+    rows = _stored_rows(spark, sf_dir, cfg)
+    return rows, batch.resolved_view(rows, cfg)
+
+
 def _tweets(spark, sf_dir, cfg=CFG):
     return P.ingest(fixtures.raw_tweets(spark, sf_dir), cfg)
 
@@ -340,24 +345,24 @@ def q_compact_store(spark, sf_dir):
 @query("home_timeline")
 def q_home_timeline(spark, sf_dir):
     """R3 (flagship): every user's newest page of the inbox, rendered."""
-    t = _tables(spark, sf_dir)
-    return tl.home_timeline(t["inboxes"], _stored_rows(spark, sf_dir)["tweets"],
+    rows, t = _stored_and_resolved(spark, sf_dir)
+    return tl.home_timeline(t["inboxes"], rows["tweets"],
                             fixtures.usernames(spark, sf_dir), fixtures.requests(spark, sf_dir), CFG)
 
 
 @query("profile_timeline")
 def q_profile_timeline(spark, sf_dir):
     """Every user's newest page of own tweets, author shown by username."""
-    t = _tables(spark, sf_dir)
-    return tl.profile_timeline(t["homepages"], _stored_rows(spark, sf_dir)["tweets"],
+    rows, t = _stored_and_resolved(spark, sf_dir)
+    return tl.profile_timeline(t["homepages"], rows["tweets"],
                                fixtures.usernames(spark, sf_dir), fixtures.requests(spark, sf_dir), CFG)
 
 
 @query("paged_timeline")
 def q_paged_timeline(spark, sf_dir):
     """Home timelines with a different page request per user."""
-    t = _tables(spark, sf_dir)
-    return tl.home_timeline(t["inboxes"], _stored_rows(spark, sf_dir)["tweets"],
+    rows, t = _stored_and_resolved(spark, sf_dir)
+    return tl.home_timeline(t["inboxes"], rows["tweets"],
                             fixtures.usernames(spark, sf_dir), fixtures.paged_requests(spark, sf_dir), CFG)
 
 
@@ -392,8 +397,8 @@ def q_feed_topn_denorm(spark, sf_dir):
 @query("feed_topn_norm")
 def q_feed_topn_norm(spark, sf_dir):
     """Newest 20 ids per user, then tweets by id set."""
-    t = _tables(spark, sf_dir)
-    stored = _stored_rows(spark, sf_dir)["tweets"]
+    rows, t = _stored_and_resolved(spark, sf_dir)
+    stored = rows["tweets"]
     return tl.feed_topn_norm(t["inboxes"], stored, as_of=CFG.as_of).select("uid", "rn", "time", "tid", _text())
 
 
@@ -415,9 +420,9 @@ def q_timeline_resolve(spark, sf_dir):
 @query("tweets_in_set")
 def q_tweets_in_set(spark, sf_dir):
     """Stored tweets whose id is in the set of newest-20 inbox ids."""
-    t = _tables(spark, sf_dir)
+    rows, t = _stored_and_resolved(spark, sf_dir)
     ids = R.newest_n(t["inboxes"].select("uid", "time", "tid"), FEED_READ_SIZE)
-    stored = _stored_rows(spark, sf_dir)["tweets"]
+    stored = rows["tweets"]
     return R.tweets_in_set(stored, ids, as_of=CFG.as_of).select("tid", _text())
 
 

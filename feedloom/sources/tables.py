@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 # One resolved scan per (session, path): like a registered table, it keeps the
 # file listing and footer schema instead of re-reading them for every query.
 _SCANS: dict[tuple[int, str], DataFrame] = {}
+_SPLITS: dict[tuple[int, int], int] = {}   # split count per (session, scan plan)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -27,7 +28,10 @@ def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
     plain scan plans it but runs no job."""
     try:
         target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-        splits = scan.rdd.getNumPartitions()
+        key = (id(scan.sparkSession), scan.semanticHash())
+        splits = _SPLITS.get(key)
+        if splits is None:
+            splits = _SPLITS[key] = scan.rdd.getNumPartitions()
     except Exception:   # no RDD view (e.g. a Connect session): leave the scan alone
         return scan
     return scan if splits >= target else scan.repartition(target)
