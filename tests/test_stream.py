@@ -35,7 +35,6 @@ def test_stream_equals_batch_and_replay(spark):
 
 
 def test_stream_dead_letters(spark):
-    from pyspark.sql import functions as F
     root = scratch_path(spark, "t-stream-dl")
     spark.createDataFrame([("not json",), ('{"delete":{}}',)], "value string") \
         .write.text(f"{root}/feed/d0")
