@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.config import PAGE_CAP, PAGE_STEP, FeedConfig
 from feedloom.operators.store import resolve
 
-from feedloom.config import PAGE_CAP, PAGE_STEP
-
 
 def page_size(n: Column) -> Column:
     """R7. Rows shown for a request of n: n + 5 below 50, else n (uncapped)."""
@@ -45,13 +44,20 @@ def page_bounds(requests: DataFrame) -> tuple[DataFrame, int, int]:
     return pages, int(mx or 0), int(total or 0)
 
 
-def newest_for_requests(df: DataFrame, requests: DataFrame, bounds=None) -> DataFrame:
+def newest_for_requests(df: DataFrame, requests: DataFrame, bounds=None,
+                        as_of: str | None = None, cfg: FeedConfig = FeedConfig()) -> DataFrame:
     """R7. Newest rows per requested user with a page size per user.
 
     Only requested users are ranked (semi join); the largest page is taken as
-    the literal bound so the per-key partial limit still applies."""
+    the literal bound so the per-key partial limit still applies.  ``df`` may
+    be stored rows (every version): they are cut to the requested users
+    first - whole uid groups, so exact - and only those are resolved (T1,
+    then T4 at ``as_of``)."""
     pages, mx, _ = bounds or page_bounds(requests)
-    ranked = newest_n(df.join(pages.select("uid"), "uid", "left_semi"), mx)
+    cut = df.join(pages.select("uid"), "uid", "left_semi")
+    if "ingest_ts" in cut.columns:
+        cut = resolve("inboxes", cut, cfg, as_of)
+    ranked = newest_n(cut.select("uid", "time", "tid"), mx)
     return ranked.join(pages, "uid", "inner").filter(F.col("rn") <= F.col("page_size"))
 
 

@@ -345,24 +345,24 @@ def q_compact_store(spark, sf_dir):
 @query("home_timeline")
 def q_home_timeline(spark, sf_dir):
     """R3 (flagship): every user's newest page of the inbox, rendered."""
-    rows, t = _stored_and_resolved(spark, sf_dir)
-    return tl.home_timeline(t["inboxes"], rows["tweets"],
+    rows = _stored_rows(spark, sf_dir)
+    return tl.home_timeline(rows["inboxes"], rows["tweets"],
                             fixtures.usernames(spark, sf_dir), fixtures.requests(spark, sf_dir), CFG)
 
 
 @query("profile_timeline")
 def q_profile_timeline(spark, sf_dir):
     """Every user's newest page of own tweets, author shown by username."""
-    rows, t = _stored_and_resolved(spark, sf_dir)
-    return tl.profile_timeline(t["homepages"], rows["tweets"],
+    rows = _stored_rows(spark, sf_dir)
+    return tl.profile_timeline(rows["homepages"], rows["tweets"],
                                fixtures.usernames(spark, sf_dir), fixtures.requests(spark, sf_dir), CFG)
 
 
 @query("paged_timeline")
 def q_paged_timeline(spark, sf_dir):
     """Home timelines with a different page request per user."""
-    rows, t = _stored_and_resolved(spark, sf_dir)
-    return tl.home_timeline(t["inboxes"], rows["tweets"],
+    rows = _stored_rows(spark, sf_dir)
+    return tl.home_timeline(rows["inboxes"], rows["tweets"],
                             fixtures.usernames(spark, sf_dir), fixtures.paged_requests(spark, sf_dir), CFG)
 
 
