@@ -134,3 +134,19 @@ def test_write_time_expiry_stamp(spark):
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     assert abs((r["ingest_ts"] - now).total_seconds()) < 120
     assert r["expire_at"] - r["ingest_ts"] == dt.timedelta(seconds=CFG.ttl_seconds)
+
+
+def test_repeated_compaction_uses_newest_snapshot(spark):
+    e = spark.createDataFrame([(10, 1)], "uid bigint, follower bigint")
+    store = TimelineStore(spark)
+    a, b, c = _feed(spark, 5), _feed(spark, 5, start=T0 + dt.timedelta(hours=1)), \
+        _feed(spark, 5, start=T0 + dt.timedelta(hours=2))
+    store.write_batch("inboxes", timeline_rows(a, e, CFG)["inboxes"], 0)
+    assert store.compact("inboxes", CFG, CFG.as_of) == 0
+    store.write_batch("inboxes", timeline_rows(b, e, CFG)["inboxes"], 1)
+    assert store.compact("inboxes", CFG, CFG.as_of) == 1
+    store.write_batch("inboxes", timeline_rows(c, e, CFG)["inboxes"], 2)
+    assert store.compacted_upto("inboxes") == 1
+    assert store.raw("inboxes").count() == 10 + 5        # snapshot upto=1 + batch 2
+    times = sorted(r["time"] for r in store.read("inboxes", CFG, CFG.as_of).collect())
+    assert len(times) == 15 and times[0] == T0 + dt.timedelta(minutes=1)
