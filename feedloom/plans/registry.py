@@ -65,7 +65,7 @@ def _delivery(spark, sf_dir, cfg=CFG):
 
 
 def _payload(col="tweet"):
-    return (F.get_json_object(F.col(col), "$.id_str").cast("bigint").alias("payload_id"),
+    return (F.get_json_object(F.col(col), "$.id_str").try_cast("bigint").alias("payload_id"),
             F.get_json_object(F.col(col), "$.text").alias("text"))
 
 
