@@ -87,3 +87,33 @@ def test_upsert_then_newest_n_property(spark, rows, n):
         keys = sorted((s for (uu, s) in best if uu == u), reverse=True)[:n]
         want += [(u, i + 1, best[(u, s)]) for i, s in enumerate(keys)]
     assert got == sorted(want)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(edges=st.sets(st.tuples(st.integers(0, 5), st.integers(0, 9)), min_size=1, max_size=40))
+def test_listener_property(spark, edges):
+    e = spark.createDataFrame(sorted(edges), "uid bigint, follower bigint")
+    got = sorted(tuple(r) for r in J.with_listener(e, 0).collect())
+    want = sorted(set(edges) | {(u, 0) for u, _ in edges})
+    assert got == want                     # set semantics, only existing sets
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(edges=st.sets(st.tuples(st.integers(0, 3), st.integers(4, 400)), min_size=1, max_size=300),
+       chunk=st.integers(1, 50))
+def test_chunked_sets_property(spark, edges, chunk):
+    e = spark.createDataFrame(sorted(edges), "uid bigint, follower bigint")
+    rows = G.followers_lists(e, chunk_rows=chunk).collect()
+    got = {}
+    for r in rows:
+        assert r["followerslist"] == sorted(r["followerslist"])
+        got.setdefault(r["uid"], []).extend(r["followerslist"])
+    want = {}
+    for u, f in edges:
+        want.setdefault(u, []).append(f)
+    assert {u: sorted(v) for u, v in got.items()} == {u: sorted(v) for u, v in want.items()}
+    n_chunks = {}
+    for r in rows:
+        n_chunks[r["uid"]] = n_chunks.get(r["uid"], 0) + 1
+    for u, fs in want.items():
+        assert n_chunks[u] <= -(-len(fs) // chunk)  # at most ceil(n / chunk) chunks
