@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm import quality_rules as q6
+from feedloom.llm import simhash_trie as q2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +30,8 @@ def op6_quality_rules(spark, sf_dir):
     rows = q6.quality_rules(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        "base_failed", "kept")
+
+
+@query
+def op2_simhash_trie(spark, sf_dir):
+    return q2.simhash_groups(spark, table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
