@@ -8,7 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedloom.llm import line_dedup as q10
 from feedloom.llm import quality_rules as q6
 from feedloom.llm import simhash_trie as q2
 
@@ -35,3 +37,38 @@ def op6_quality_rules(spark, sf_dir):
 @query
 def op2_simhash_trie(spark, sf_dir):
     return q2.simhash_groups(spark, table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@query
+def op10_line_dedup(spark, sf_dir):
+    rows = q10.line_dedup(spark, table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+                       F.col("_n_runs").alias("n_runs"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+ORACLE["op10_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM split),
+worded AS (SELECT doc_id, line, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k,
+                  len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+           FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+pairs AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY k) AS next_line FROM worded),
+later AS (SELECT doc_id, k, 2 AS size,
+                 row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, k) AS copy
+          FROM pairs WHERE next_line IS NOT NULL
+          UNION ALL
+          SELECT doc_id, k, 1, row_number() OVER (PARTITION BY line ORDER BY doc_id, k)
+          FROM pairs WHERE words >= 50),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(k, k + size)) AS k FROM later WHERE copy > 1),
+marked AS (SELECT l.doc_id, l.line, l.pos, w.k, d.k AS gone FROM lines l
+           LEFT JOIN worded w ON w.doc_id = l.doc_id AND w.pos = l.pos
+           LEFT JOIN dropped d ON d.doc_id = w.doc_id AND d.k = w.k),
+runs AS (SELECT d.doc_id, count(*) AS n_runs FROM dropped d
+         LEFT JOIN dropped p ON p.doc_id = d.doc_id AND p.k = d.k - 1 WHERE p.k IS NULL GROUP BY d.doc_id),
+texts AS (SELECT doc_id, count(k) AS n_lines, count(gone) AS n_removed,
+                 coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE gone IS NULL), '') AS kept
+          FROM marked GROUP BY doc_id)
+SELECT s.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS n_removed,
+       coalesce(r.n_runs, 0) AS n_runs, CASE WHEN s.text IS NOT NULL THEN md5(coalesce(t.kept, '')) END AS kept_md5
+FROM documents s LEFT JOIN texts t USING (doc_id) LEFT JOIN runs r USING (doc_id)
+"""
