@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from feedloom.llm import line_dedup as q10
 from feedloom.llm import quality_rules as q6
 from feedloom.llm import simhash_trie as q2
+from feedloom.llm import suffix_dedup as q5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -72,3 +73,11 @@ SELECT s.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS
        coalesce(r.n_runs, 0) AS n_runs, CASE WHEN s.text IS NOT NULL THEN md5(coalesce(t.kept, '')) END AS kept_md5
 FROM documents s LEFT JOIN texts t USING (doc_id) LEFT JOIN runs r USING (doc_id)
 """
+
+
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    rows = q5.suffix_dedup(spark, table(spark, sf_dir, "documents"), length=400)
+    return rows.select(F.col("row.doc_id").alias("doc_id"), "n_bytes",
+                       (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
