@@ -7,10 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm import bpe as q4
 from feedloom.llm import line_dedup as q10
+from feedloom.llm import packing as q8
 from feedloom.llm import quality_rules as q6
 from feedloom.llm import simhash_trie as q2
 from feedloom.llm import suffix_dedup as q5
@@ -81,3 +84,17 @@ def op5_suffix_dedup(spark, sf_dir):
     return rows.select(F.col("row.doc_id").alias("doc_id"), "n_bytes",
                        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_best_fit_packing(spark, sf_dir):
+    return q8.pack_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op4_byte_bpe(spark, sf_dir):
+    ranks = q4.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rows = q4.encode(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
+    rows = rows.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    return (q4.decode(rows, ranks)
+            .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
