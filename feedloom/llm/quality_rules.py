@@ -32,6 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from feedloom.llm.common import binary, cut, dictionary, per_row, slices, view
 
@@ -136,21 +137,25 @@ def dictionary_pairs(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     return np.unique(a * size + b, return_inverse=True)[1].astype(np.int64)
 
 
-def with_counts(docs: DataFrame, stratum: str | None = "lang") -> DataFrame:
-    """(doc_id, stratum, COUNTS): one narrow row per document, no shuffle."""
+def with_counts(docs: DataFrame, stratum: str | None = "lang", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(the columns ``carry``, stratum, COUNTS) of every document; no shuffle."""
     has = stratum is not None and stratum in docs.columns
-    src = docs.select("doc_id", (F.col(stratum).cast("string") if has else F.lit(None).cast("string")).alias("stratum"),
-                      "text")
+    src = docs.select(F.struct(*carry).alias("row"),
+                      (F.col(stratum).cast("string") if has else F.lit(None).cast("string")).alias("stratum"), "text")
 
     def run(batches):
         for batch in batches:
             for part, arr in slices(batch, binary(batch.column("text"))):
                 c = text_counts(arr)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("stratum"), *[pa.array(c[k], pa.int64()) for k in COUNTS]],
-                    names=["doc_id", "stratum", *COUNTS])
+                    [part.column("row"), part.column("stratum"), *[pa.array(c[k], pa.int64()) for k in COUNTS]],
+                    names=["row", "stratum", *COUNTS])
 
-    return src.mapInArrow(run, "doc_id long, stratum string, " + ", ".join(f"{k} long" for k in COUNTS))
+    schema = StructType([src.schema["row"], src.schema["stratum"]])
+    for k in COUNTS:
+        schema = schema.add(k, LongType())
+    counted = src.mapInArrow(run, schema)
+    return counted.select(*[F.col("row")[c].alias(c) for c in carry], "stratum", *COUNTS)
 
 
 def _bins(df: DataFrame) -> DataFrame:
@@ -236,14 +241,31 @@ def _few(table: DataFrame) -> bool:
     return table.limit(MAX_BROADCAST_STRATA + 1).count() <= MAX_BROADCAST_STRATA
 
 
-def quality_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
-                  alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
-    """doc_id, COUNTS, base_failed, kept for every document (see module docstring)."""
+def _cutoffs(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum, alpha, delta) -> tuple[DataFrame, DataFrame]:
     counts = cut(spark, with_counts(docs, stratum), "quality-counts")
-    cutoffs = cut(spark, learn_cutoffs(counts, labels, alpha, delta), "quality-cutoffs")
-    key = F.coalesce(F.concat(F.lit("="), "stratum"), F.lit(""))
-    rows = _bins(counts).withColumn("stratum_key", key)
+    return counts, cut(spark, learn_cutoffs(counts, labels, alpha, delta), "quality-cutoffs")
+
+
+def _judged(counts: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """Adds base_failed and kept."""
+    rows = _bins(counts).withColumn("stratum_key", F.coalesce(F.concat(F.lit("="), "stratum"), F.lit("")))
     rows = rows.join(F.broadcast(cutoffs) if _few(cutoffs) else cutoffs, "stratum_key", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     rejected = F.coalesce(F.expr("exists(transform(bins, (b, r) -> b > cuts[r]), x -> x)"), F.lit(False))
-    return rows.select("doc_id", *COUNTS, failed.alias("base_failed"), (~failed & ~rejected).alias("kept"))
+    return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & ~rejected)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
+                  alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
+    """doc_id, COUNTS, base_failed, kept for every document (see module docstring)."""
+    counts, cutoffs = _cutoffs(spark, docs, labels, stratum, alpha, delta)
+    return _judged(counts, cutoffs).select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
+              alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
+    """The rows of ``docs`` that are kept, judged one by one; no text is shuffled."""
+    _, cutoffs = _cutoffs(spark, docs, labels, stratum, alpha, delta)
+    whole = docs.select(F.struct(*docs.columns).alias("_doc"), *docs.columns)
+    judged = _judged(with_counts(whole, stratum, ("_doc",)), cutoffs)
+    return judged.filter("kept").select(*[F.col("_doc")[c].alias(c) for c in docs.columns])

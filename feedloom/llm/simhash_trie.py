@@ -351,3 +351,17 @@ def simhash_groups(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_b
     out = lookup(rows, named.select("fp", "n", "component_id", F.lit(True).alias("grouped")), "fp", "n", "doc_id")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component.
+
+    Rows that share a doc_id are one document, of which one row stays; rows
+    without doc_id cannot be named by a component and stay."""
+    groups = cut(spark, simhash_groups(spark, docs, shingle, max_bits), "simhash-groups")
+    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti")
+    again = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
