@@ -15,6 +15,7 @@ from feedloom.llm import bpe as q4
 from feedloom.llm import line_dedup as q10
 from feedloom.llm import packing as q8
 from feedloom.llm import quality_rules as q6
+from feedloom.llm import sharding as q9
 from feedloom.llm import simhash_trie as q2
 from feedloom.llm import suffix_dedup as q5
 
@@ -98,3 +99,27 @@ def op4_byte_bpe(spark, sf_dir):
     rows = rows.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
     return (q4.decode(rows, ranks)
             .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
+@query
+def op9_extendible_sharding(spark, sf_dir):
+    return q9.extendible_shards(spark, table(spark, sf_dir, "documents"), max_bytes=q9.MAX_BYTES)
+
+
+ORACLE["op9_extendible_sharding"] = r"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
+         lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)), 60, '0') AS bits
+  FROM documents),
+step AS (
+  SELECT doc_id, n_bytes, bits, 0 AS d, '' AS shard,
+         CAST(sum(n_bytes) OVER () AS BIGINT) AS shard_bytes, count(*) OVER () AS shard_docs
+  FROM hashed
+  UNION ALL
+  SELECT doc_id, n_bytes, bits, d + 1, substr(bits, 1, d + 1),
+         CAST(sum(n_bytes) OVER (PARTITION BY substr(bits, 1, d + 1)) AS BIGINT),
+         count(*) OVER (PARTITION BY substr(bits, 1, d + 1))
+  FROM step WHERE shard_bytes > 1048576 AND d < 60)
+SELECT doc_id, n_bytes, shard, shard_bytes, shard_docs, shard_bytes > 1048576 AS oversized
+FROM step WHERE shard_bytes <= 1048576 OR d = 60
+"""
