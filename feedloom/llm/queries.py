@@ -18,6 +18,7 @@ from feedloom.llm import quality_rules as q6
 from feedloom.llm import sharding as q9
 from feedloom.llm import simhash_trie as q2
 from feedloom.llm import suffix_dedup as q5
+from feedloom.llm import warc as q3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,3 +124,20 @@ step AS (
 SELECT doc_id, n_bytes, shard, shard_bytes, shard_docs, shard_bytes > 1048576 AS oversized
 FROM step WHERE shard_bytes <= 1048576 OR d = 60
 """
+
+
+@query
+def op3_warc(spark, sf_dir):
+    rows = q3.archive_pages(spark, table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_page").alias("refers_to"))
+
+
+ORACLE["op3_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+           FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
