@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm import ann as q7
 from feedloom.llm import bpe as q4
 from feedloom.llm import line_dedup as q10
 from feedloom.llm import packing as q8
@@ -141,3 +142,9 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id > first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+
+@query
+def op7_multi_index_hashing(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("x"))
+    return q7.nearest(spark, v, v.filter("id % 20 = 0").select("id"), k=20)
