@@ -95,6 +95,6 @@ def lookup(big: DataFrame, small: DataFrame, key: str, count: str, spread: str)
     b = big.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
     is_hot = F.col("_hk").isNotNull()
     b = b.withColumn("_s", F.when(is_hot, 1 + F.pmod(F.xxhash64(spread), F.lit(1 << 20))).otherwise(0).cast("int"))
-    out = b.join(cold, (F.col(key) == F.col("_ck")) & (F.col("_s") == F.col("_cs")), "left")
+    out = b.join(cold.hint("shuffle_hash"), (F.col(key) == F.col("_ck")) & (F.col("_s") == F.col("_cs")), "left")
     v = F.coalesce("_hv", "_cv")
     return out.select(*big.columns, *[v[c].alias(c) for c in rest])

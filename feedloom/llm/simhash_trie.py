@@ -360,7 +360,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: i
     without doc_id cannot be named by a component and stay."""
     groups = cut(spark, simhash_groups(spark, docs, shingle, max_bits), "simhash-groups")
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
+    kept = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti")      # the same plan at every size
     again = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
     if again.isEmpty():
         return kept
