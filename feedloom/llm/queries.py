@@ -19,6 +19,7 @@ from feedloom.llm import quality_rules as q6
 from feedloom.llm import sharding as q9
 from feedloom.llm import simhash_trie as q2
 from feedloom.llm import suffix_dedup as q5
+from feedloom.llm import toxicity as q1
 from feedloom.llm import warc as q3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +149,13 @@ FROM p LEFT JOIN f USING (payload_digest)
 def op7_multi_index_hashing(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("x"))
     return q7.nearest(spark, v, v.filter("id % 20 = 0").select("id"), k=20)
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    bias, weights = q1.learn(spark, docs, labels.filter(~held_out).select("doc_id", "toxic"))
+    rows = q1.score(docs, bias, weights)
+    return rows.select("doc_id", held_out.alias("held_out"), "score",
+                       F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
