@@ -24,10 +24,13 @@ names is the order of the fingerprints: only ties matter for the result, and
 shipping text for a lexicographic order would cost about ``v`` bytes a suffix.
 
 Hot groups: a block sends a name once, however often it has it, so the most
-frequent passage adds one row a block to its bucket.  Texts that make up at
-least 1 / HOT_SHARE of all rows (at most HOT_SHARE of them) are found by their
-digest before; one row of each goes through the sort as evidence, the others
-are answered at once, as all their bytes repeat.
+frequent passage adds one row a block to its bucket.  Texts that occur as a
+whole more than once are found by their digest, on rows without text: all their
+bytes repeat, one of them goes through the sort as evidence for other documents,
+and the others are left out of it.
+
+The blocks are a table bucketed by block, so what is found about a block meets
+its text without another shuffle of text.
 
 Defined cases: null text counts as empty; texts shorter than ``length`` lose
 nothing; rows with equal text are copies of each other, also with equal or null
@@ -41,19 +44,22 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from feedloom.llm.common import HOT_SHARE, binary, cut, pack, per_row, unpack, view
+from feedloom.llm.common import binary, cut, lookup, pack, per_row, slices, unpack, view
+from feedloom.session import scratch_path
 
 # fixed values: perfect difference sets, {period: residues}
 COVERS = {7: (0, 1, 3), 21: (0, 1, 6, 8, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52),
           183: (0, 12, 19, 20, 22, 43, 60, 71, 76, 85, 89, 115, 121, 168)}
 BLOCK_BYTES = 4 << 20
 PIECE = 1 << 20                       # positions hashed at a time
-SAMPLE_BUCKET, TIE_BUCKET = 24 << 20, 8 << 20   # bytes of text behind one bucket
+SAMPLE_BUCKET, TIE_BUCKET = 24 << 20, 24 << 20  # bytes of text behind one bucket
+BUCKETED = 16 << 20                             # bytes of text in one bucket of the block table
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
 
@@ -105,70 +111,78 @@ class Names:
         return out
 
 
-def blocks(spark: SparkSession, docs: DataFrame, length: int) -> DataFrame:
+def blocks(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The texts in blocks: (block, rows array<struct of the other columns>, size
-    array<long>, repeats array<int>, data binary); one block is about BLOCK_BYTES.
-
-    repeats: 0 to be sorted, 1 all bytes repeat, 2 all bytes repeat and the text is left out."""
+    array<long>, digest array<binary>, data binary), bucketed by block."""
     others = [c for c in docs.columns if c != "text"]
-    digest = F.when(F.octet_length("text") >= length, F.md5(F.col("text").cast("binary")))
-    src = docs.select(F.struct(*others).alias("row"), "text", digest.alias("digest"), F.col("doc_id").alias("of"))
-    groups = src.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("of").alias("least"))
-    total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = groups.filter(F.col("digest").isNotNull() & (F.col("n") >= max(2, -(-total // HOT_SHARE)))).drop("n")
-    hot = hot.select(F.col("digest").alias("hot"), "least")     # at most HOT_SHARE rows
-    marked = src.join(F.broadcast(hot), src.digest == F.col("hot"), "left").select(
-        "row", "text", F.when(F.col("hot").isNull(), 0).when(F.col("of").eqNullSafe(F.col("least")), 1)
-        .otherwise(2).alias("repeats"))
+    src = docs.select(F.struct(*others).alias("row"), "text")
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     schema = (StructType().add("block", StringType()).add("rows", ArrayType(src.schema["row"].dataType))
-              .add("size", ArrayType(LongType())).add("repeats", ArrayType(LongType())).add("data", BinaryType()))
+              .add("size", ArrayType(LongType())).add("digest", ArrayType(BinaryType())).add("data", BinaryType()))
 
     def run(batches):
         held, held_bytes = [], 0
 
         def flush():
             rows = pa.concat_arrays([x[0] for x in held])
-            size, repeats = (np.concatenate([x[k] for x in held]) for k in (1, 2))
-            data = zstandard.ZstdCompressor(level=1).compress(b"".join(x[3] for x in held))
+            text = pa.concat_arrays([x[1] for x in held])
+            data, off = view(text)
+            digest = pa.array([xxhash.xxh3_128_digest(x) for x in text.to_pylist()], pa.binary())
             one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
             return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), one(rows), one(pa.array(size)), one(pa.array(repeats)),
-                 pa.array([data], pa.binary())], names=["block", "rows", "size", "repeats", "data"])
+                [pa.array([uuid.uuid4().hex]), one(rows), one(pa.array(np.diff(off))), one(digest),
+                 pa.array([zstandard.ZstdCompressor(level=3).compress(data.tobytes())], pa.binary())], names=schema.names)
 
         for batch in batches:
-            text = binary(batch.column("text"))
-            data, off = view(text)
-            repeats = batch.column("repeats").to_numpy().astype(np.int64)
-            a = 0
-            while a < len(batch):
-                b = max(a + 1, int(np.searchsorted(off, off[a] + BLOCK_BYTES - held_bytes, side="right")) - 1)
-                rows = batch.column("row").slice(a, b - a)
-                keep = repeats[a:b] < 2
-                body = (data[off[a]:off[b]] if keep.all() else
-                        data[off[a]:off[b]][np.repeat(keep, np.diff(off[a:b + 1]))]).tobytes()
-                held.append((rows, np.diff(off[a:b + 1]), repeats[a:b], body))
-                held_bytes += len(body)
-                if held_bytes >= BLOCK_BYTES or b < len(batch):
+            for part, text in slices(batch, binary(batch.column("text")), BLOCK_BYTES // 4):
+                held.append((part.column("row"), text))
+                held_bytes += len(view(text)[0])
+                if held_bytes >= BLOCK_BYTES:
                     yield flush()
                     held, held_bytes = [], 0
-                a = b
         if held:
             yield flush()
 
-    return cut(spark, marked.mapInArrow(run, schema), "suffix-blocks")
+    # no fewer buckets than shuffle partitions, or joins would rather shuffle the table
+    ways = max(math.ceil(total / BUCKETED), *(int(spark.conf.get(k, None) or 1) for k in (
+        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")))
+    name = f"suffix_blocks_{uuid.uuid4().hex}"
+    (src.mapInArrow(run, schema).write.bucketBy(ways, "block")
+     .option("path", scratch_path(spark, "suffix-blocks")).saveAsTable(name))
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")          # of the catalog; the files stay
+    return table
+
 
+def copies(spark: SparkSession, table: DataFrame, length: int) -> DataFrame:
+    """(block, copies array<struct<place, first>>): documents whose whole text, of ``length``
+    bytes or more, occurs more than once; ``first`` marks one of each."""
+    one = (table.select("block", F.posexplode(F.arrays_zip("size", "digest")).alias("place", "d"))
+           .filter(F.col("d.size") >= length).select("block", "place", F.col("d.digest").alias("digest")))
+    groups = (one.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("block", "place")).alias("least"))
+              .filter("n > 1"))
+    groups = cut(spark, groups, "suffix-copies")
+    found = lookup(one, groups, "digest", "n", "place").filter(F.col("least").isNotNull())
+    return found.groupBy("block").agg(F.collect_list(F.struct(
+        "place", (F.struct("block", "place") == F.col("least")).alias("first"))).alias("copies"))
 
-def _open(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, document offsets) of a block, without the texts that were left out."""
+
+SORTED, EVIDENCE, LEFT_OUT = range(3)
+
+
+def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, document offsets, role of each document) of a block."""
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["data"]), np.uint8)
-    size = np.where(np.array(row["repeats"], np.int64) < 2, np.array(row["size"], np.int64), 0)
-    return data, np.concatenate([[0], np.cumsum(size)])
+    role = np.full(len(row["size"]), SORTED)
+    for c in row["copies"] or ():
+        role[c["place"]] = EVIDENCE if c["first"] else LEFT_OUT
+    return data, np.concatenate([[0], np.cumsum(np.array(row["size"], np.int64))]), role
 
 
-def _starts(off: np.ndarray, length: int, n: int) -> np.ndarray:
-    """True where a string of ``length`` bytes starts and ends in one document."""
+def _starts(off: np.ndarray, role: np.ndarray, length: int, least: int, n: int) -> np.ndarray:
+    """True where a string of ``length`` bytes starts and ends in one document of ``least`` bytes or more."""
     edge = np.zeros(n + 1, np.int32)
-    long = np.diff(off) >= length
+    long = (np.diff(off) >= max(length, least)) & (role != LEFT_OUT)
     edge[off[:-1][long]] += 1
     edge[off[1:][long] - length + 1] -= 1
     return np.cumsum(edge[:n]) > 0
@@ -185,18 +199,20 @@ def _places(b: bytes) -> np.ndarray:
 ENTRY = "bucket int, block string, names binary, places binary, more binary"
 
 
-def entries(block: str, names: np.ndarray, where: np.ndarray, n_buckets: int, keep_bytes: int):
+def entries(block: str, names: np.ndarray, where: np.ndarray, evidence: np.ndarray, n_buckets: int, keep_bytes: int):
     """Rows (ENTRY) that a block sends to the buckets: each name once.
 
-    ``more`` has names that the block holds several times; their places are known
-    to repeat already and go past the buckets in a row of their own (bucket -1 - x)."""
+    ``more`` has names without a place that waits for an answer: those that stand in
+    ``evidence`` documents, and those that the block holds several times; the places
+    of the latter repeat and go past the buckets in a row of their own (bucket -1 - x)."""
     order = np.argsort(names, kind="stable")
     s = names[order]
     same = np.zeros(len(s) + 1, bool)
     same[1:-1] = s[1:] == s[:-1]
     twice = same[:-1] | same[1:]
     single = np.sort(order[~twice])
-    more = s[~same[:-1] & same[1:]]
+    more = np.concatenate([s[~same[:-1] & same[1:]], names[single[evidence[single]]]])
+    single = single[~evidence[single]]
     kind = {4: np.uint32, 8: np.uint64}[keep_bytes]
     def bucket(x):
         return ((x >> np.uint64(40)) * np.uint64(n_buckets) >> np.uint64(24)).astype(np.int64)
@@ -209,7 +225,8 @@ def entries(block: str, names: np.ndarray, where: np.ndarray, n_buckets: int, ke
     for b in np.flatnonzero((np.diff(e1) > 0) | (np.diff(e2) > 0)).tolist():
         i, j = o1[e1[b]:e1[b + 1]], o2[e2[b]:e2[b + 1]]
         yield b, block, pack(low(name[i])), _gaps(place[i]), pack(low(more[j]))
-    known = np.sort(where[order[twice]])
+    known = order[twice]
+    known = np.sort(where[known[~evidence[known]]])
     if len(known):
         yield -1 - (int(block[:8], 16) % n_buckets), block, None, _gaps(known), None
 
@@ -260,15 +277,15 @@ def sample_ranks(table: DataFrame, length: int, n_buckets: int) -> DataFrame:
         names = Names(length - v + 1, 1)
         for batch in batches:
             for row in batch.to_pylist():
-                data, off = _open(row)
-                ok = _starts(off, length - v + 1, len(data)) & np.repeat(np.diff(off) >= length, np.diff(off))
+                data, off, role = _open(row)
                 inside = np.arange(len(data)) - np.repeat(off[:-1], np.diff(off))
-                where = np.flatnonzero(ok & residues[inside % v])
-                out = list(entries(row["block"], names.at(data, where), where, n_buckets, 4))
+                where = np.flatnonzero(_starts(off, role, length - v + 1, length, len(data)) & residues[inside % v])
+                shown = np.repeat(role == EVIDENCE, np.diff(off))[where]
+                out = list(entries(row["block"], names.at(data, where), where, shown, n_buckets, 4))
                 if out:
                     yield _batches(out)
 
-    return ties(table.select("block", "size", "repeats", "data").mapInArrow(run, ENTRY), 4)
+    return ties(table.select("block", "size", "copies", "data").mapInArrow(run, ENTRY), 4)
 
 
 def long_ties(with_sample: DataFrame, length: int, n_buckets: int) -> DataFrame:
@@ -279,19 +296,18 @@ def long_ties(with_sample: DataFrame, length: int, n_buckets: int) -> DataFrame:
         names = Names(length, 2)
         for batch in batches:
             for row in batch.to_pylist():
-                if not row["hits"]:
-                    continue
-                data, off = _open(row)
+                data, off, role = _open(row)
+                shown = np.repeat(role == EVIDENCE, np.diff(off))
                 edge = np.zeros(len(data) + 1, np.int32)
-                for p in map(_places, row["hits"]):
+                for p in map(_places, row["hits"] or ()):
                     np.add.at(edge, np.maximum(p - v + 1, 0), 1)
                     edge[p + 1] -= 1
-                where = np.flatnonzero((np.cumsum(edge[:-1]) > 0) & _starts(off, length, len(data)))
-                out = list(entries(row["block"], names.at(data, where), where, n_buckets, 8))
+                where = np.flatnonzero(((np.cumsum(edge[:-1]) > 0) | shown) & _starts(off, role, length, 0, len(data)))
+                out = list(entries(row["block"], names.at(data, where), where, shown[where], n_buckets, 8))
                 if out:
                     yield _batches(out)
 
-    return ties(with_sample.select("block", "size", "repeats", "data", "hits").mapInArrow(run, ENTRY), 8)
+    return ties(with_sample.select("block", "size", "copies", "data", "hits").mapInArrow(run, ENTRY), 8)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, as_text: bool = False) -> DataFrame:
@@ -299,9 +315,10 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, as_tex
 
     spans are the maximal removed byte ranges; kept is what is left, back to back.
     With ``as_text`` kept is a string, without the parts of characters that were cut."""
-    table = blocks(spark, docs, length)
+    table = blocks(spark, docs)
     n_bytes = table.agg(F.coalesce(F.sum(F.expr("aggregate(size, 0L, (a, x) -> a + x)")), F.lit(0))).first()[0]
-    by_block = lambda hits: hits.groupBy("block").agg(F.collect_list("places").alias("hits"))
+    table = table.drop("digest").join(cut(spark, copies(spark, table, length), "suffix-whole").hint("merge"), "block", "left")
+    by_block = lambda hits: hits.groupBy("block").agg(F.collect_list("places").alias("hits")).hint("merge")
     sample = by_block(sample_ranks(table, length, max(1, math.ceil(n_bytes / SAMPLE_BUCKET))))
     tied = by_block(long_ties(table.join(sample, "block", "left"), length, max(1, math.ceil(n_bytes / TIE_BUCKET))))
     joined = table.join(tied, "block", "left")
@@ -314,21 +331,16 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, as_tex
         for batch in batches:
             for k in range(len(batch)):
                 rows = batch.column("rows").slice(k, 1).flatten()
-                row = {c: batch.column(c)[k].as_py() for c in ("size", "repeats", "data", "hits")}
-                data, off = _open(row)
+                row = {c: batch.column(c)[k].as_py() for c in ("size", "copies", "data", "hits")}
+                data, off, role = _open(row)
                 edge = np.zeros(len(data) + 1, np.int32)
                 for p in map(_places, row["hits"] or ()):
                     edge[p] += 1
                     edge[p + length] -= 1
-                gone = np.cumsum(edge[:-1]) > 0
+                gone = (np.cumsum(edge[:-1]) > 0) | np.repeat(role != SORTED, np.diff(off))
                 kept, spans = [], []
                 lost = per_row(gone, off)
-                for d, (n, rep) in enumerate(zip(row["size"], row["repeats"])):
-                    if rep:
-                        kept.append(b"")
-                        spans.append([(0, n)])
-                        continue
-                    a, b = off[d], off[d + 1]
+                for d, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
                     if not lost[d]:
                         kept.append(data[a:b].tobytes())
                         spans.append([])
@@ -344,4 +356,4 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, as_tex
                      pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text
                      else pa.array(kept, pa.binary())], names=["row", "n_bytes", "spans", "kept"])
 
-    return joined.select("rows", "size", "repeats", "data", "hits").mapInArrow(run, schema)
+    return joined.select("rows", "size", "copies", "data", "hits").mapInArrow(run, schema)
