@@ -33,7 +33,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are deleted from the texts."""
-    return _counted(line_dedup(spark, docs).select(*docs.columns))
+    rows = line_dedup(spark, docs)
+    return _counted(rows.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
