@@ -40,10 +40,9 @@ MIN_LINES, MIN_WORDS = 2, 50
 _SPACES = b" \t\n\r\x0b\x0c"
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
-    """Adds ``_key``: names a row's document by doc_id and whole text."""
-    return docs.withColumn("_key", F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
-                                               F.xxhash64("text").cast("string")))
+def _key():
+    """Names a row's document by doc_id and whole text."""
+    return F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text").cast("string"))
 
 
 def line_ids(lines: list[bytes]) -> np.ndarray:
@@ -116,13 +115,13 @@ def later_copies(spark: SparkSession, keyed: DataFrame, min_lines: int, min_word
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with ``text`` cut, and _n_lines, _n_removed, _n_runs of each row."""
-    keyed = _with_key(docs)
+    """(row struct of the other columns, text with later copies cut, n_lines, n_removed, n_runs) per row."""
+    keyed = docs.select("doc_id", _key().alias("_key"), "text")
     found = cut(spark, later_copies(spark, keyed, min_lines, min_words), "lines-removed")
     keep = [c for c in docs.columns if c != "text"]
-    hold = keyed.select("_key", "text", F.struct(*keep).alias("_row"))
+    hold = docs.select(_key().alias("_key"), "text", F.struct(*keep).alias("row"))
     joined = hold.join(found.hint("shuffle_hash"), "_key", "left")      # the same plan at every size
-    kept_type = joined.schema["_row"].dataType
+    kept_type = joined.schema["row"].dataType
 
     def run(batches):
         for batch in batches:
@@ -141,13 +140,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LINES,
                 gone.append(len(drop))
                 runs.append(sum(k - 1 not in drop for k in drop))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(texts, pa.binary()).cast(pa.string()),
+                [batch.column("row"), pa.array(texts, pa.binary()).cast(pa.string()),
                  *(pa.array(x, pa.int64()) for x in (total, gone, runs))],
-                names=["_row", "text", "n_lines", "n_removed", "n_runs"])
+                names=["row", "text", "n_lines", "n_removed", "n_runs"])
 
-    schema = (StructType().add("_row", kept_type).add("text", StringType())
+    schema = (StructType().add("row", kept_type).add("text", StringType())
               .add("n_lines", LongType()).add("n_removed", LongType()).add("n_runs", LongType()))
-    done = joined.select("_row", "text", "starts").mapInArrow(run, schema)
-    return done.select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns],
-                       F.col("n_lines").alias("_n_lines"), F.col("n_removed").alias("_n_removed"),
-                       F.col("n_runs").alias("_n_runs"))
+    return joined.select("row", "text", "starts").mapInArrow(run, schema)

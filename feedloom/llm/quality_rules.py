@@ -138,7 +138,7 @@ def dictionary_pairs(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
 
 
 def with_counts(docs: DataFrame, stratum: str | None = "lang", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """(the columns ``carry``, stratum, COUNTS) of every document; no shuffle."""
+    """(row struct of the columns ``carry``, stratum, COUNTS) of every document; no shuffle."""
     has = stratum is not None and stratum in docs.columns
     src = docs.select(F.struct(*carry).alias("row"),
                       (F.col(stratum).cast("string") if has else F.lit(None).cast("string")).alias("stratum"), "text")
@@ -154,8 +154,7 @@ def with_counts(docs: DataFrame, stratum: str | None = "lang", carry: tuple[str,
     schema = StructType([src.schema["row"], src.schema["stratum"]])
     for k in COUNTS:
         schema = schema.add(k, LongType())
-    counted = src.mapInArrow(run, schema)
-    return counted.select(*[F.col("row")[c].alias(c) for c in carry], "stratum", *COUNTS)
+    return src.mapInArrow(run, schema)
 
 
 def _bins(df: DataFrame) -> DataFrame:
@@ -242,7 +241,7 @@ def _few(table: DataFrame) -> bool:
 
 
 def _cutoffs(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum, alpha, delta) -> tuple[DataFrame, DataFrame]:
-    counts = cut(spark, with_counts(docs, stratum), "quality-counts")
+    counts = cut(spark, with_counts(docs, stratum).select("row.doc_id", "stratum", *COUNTS), "quality-counts")
     return counts, cut(spark, learn_cutoffs(counts, labels, alpha, delta), "quality-cutoffs")
 
 
@@ -266,6 +265,5 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum:
               alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
     """The rows of ``docs`` that are kept, judged one by one; no text is shuffled."""
     _, cutoffs = _cutoffs(spark, docs, labels, stratum, alpha, delta)
-    whole = docs.select(F.struct(*docs.columns).alias("_doc"), *docs.columns)
-    judged = _judged(with_counts(whole, stratum, ("_doc",)), cutoffs)
-    return judged.filter("kept").select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
+    judged = _judged(with_counts(docs, stratum, tuple(docs.columns)), cutoffs)
+    return judged.filter("kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])

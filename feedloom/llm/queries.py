@@ -50,8 +50,7 @@ def op2_simhash_trie(spark, sf_dir):
 @query
 def op10_line_dedup(spark, sf_dir):
     rows = q10.line_dedup(spark, table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
-                       F.col("_n_runs").alias("n_runs"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+    return rows.select("row.doc_id", "n_lines", "n_removed", "n_runs", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
 ORACLE["op10_line_dedup"] = r"""
