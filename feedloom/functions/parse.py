@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.config import STORE_TIME_FORMAT, TWITTER_TIME_FORMAT, FeedConfig
-from feedloom.schemas import CORRUPT_COL, TWEET, TWEET_WITH_CORRUPT
+from feedloom.schemas import CORRUPT_COL, ENTITIES, TWEET, TWEET_TEXTS, USER
 
-# Spark >= 3 rejects the day-of-week field when parsing, so the weekday prefix
-# ("Mon ") is skipped and the rest parsed with this pattern.
+# Spark >= 3 rejects the day-of-week field when parsing, so the weekday is
+# checked by this expression and the rest parsed with this pattern.
+_WEEKDAY = r"(?i)^(mon(day)?|tue(sday)?|wed(nesday)?|thu(rsday)?|fri(day)?|sat(urday)?|sun(day)?) "
 _PARSE_PATTERN = TWITTER_TIME_FORMAT.split(" ", 1)[1]
 
 # Fixed dead-letter reasons, in the order they are tested.
@@ -21,12 +22,15 @@ REASONS = ("malformed_json", "missing_id", "bad_id", "missing_created_at",
            "bad_created_at", "missing_user", "missing_user_id", "bad_user_id")
 
 
-def parse_json(value: Column, with_corrupt: bool = True) -> Column:
-    """P1. Struct of the tweet fields; with ``with_corrupt`` the raw text of a
-    record that is not a JSON object lands in ``_corrupt``.  Without options
-    Catalyst prunes the parsed schema to the fields actually used."""
-    if with_corrupt:
-        return F.from_json(value, TWEET_WITH_CORRUPT, {"columnNameOfCorruptRecord": CORRUPT_COL})
+def parse_texts(value: Column) -> Column:
+    """P1. The record's top-level fields as text; the raw text of a record that
+    is not a JSON object lands in ``_corrupt``."""
+    return F.from_json(value, TWEET_TEXTS, {"columnNameOfCorruptRecord": CORRUPT_COL})
+
+
+def parse_json(value: Column) -> Column:
+    """Struct of the tweet fields of a valid record.  Without options Catalyst
+    prunes the parsed schema to the fields actually used."""
     return F.from_json(value, TWEET)
 
 
@@ -38,10 +42,15 @@ def to_long(s: Column) -> Column:
 def parse_created_at(s: Column) -> Column:
     """P4. 'EEE MMM dd HH:mm:ss Z yyyy' (any offset) -> TIMESTAMP_NTZ in UTC.
 
-    Independent of the session time zone: the parsed instant is shown in the
-    session zone and converted from there to UTC wall-clock time."""
-    ltz = F.try_to_timestamp(F.substring(s, 5, 64), F.lit(_PARSE_PATTERN))
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ltz.cast("timestamp_ntz"))
+    The weekday must be one, in short or full form.  The parsed instant is taken
+    as seconds since the epoch, so the session time zone has no part in it."""
+    rest = F.when(s.rlike(_WEEKDAY), F.regexp_replace(s, _WEEKDAY, ""))
+    return utc_time(F.unix_seconds(F.try_to_timestamp(rest, F.lit(_PARSE_PATTERN))))
+
+
+def utc_time(seconds: Column) -> Column:
+    """Seconds since the epoch -> TIMESTAMP_NTZ in UTC, whatever the session zone."""
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def format_store_time(ts_utc: Column) -> Column:
@@ -60,17 +69,19 @@ def parse_raw(raw: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
     # Parse through a one-row Generate: filters on parsed fields (reason,
     # lang) then stay above it, instead of being pushed below the projection
     # with from_json inlined once per referenced field.
-    p = raw.select("value", F.explode(F.array(parse_json(F.col("value")))).alias("j"))
+    p = raw.select("value", F.explode(F.array(parse_texts(F.col("value")))).alias("j"))
+    p = p.select("value", "j", F.explode(F.array(F.struct(
+        F.from_json("j.user", USER).alias("user"), F.from_json("j.entities", ENTITIES).alias("entities")))).alias("k"))
     tid = to_long(F.col("j.id_str"))
     time = parse_created_at(F.col("j.created_at"))
-    uid_raw = to_long(F.col("j.user.id_str"))
+    uid_raw = to_long(F.col("k.user.id_str"))
     reason = (F.when(F.col("j").isNull() | F.col(f"j.{CORRUPT_COL}").isNotNull(), F.lit(REASONS[0]))
                .when(F.col("j.id_str").isNull(), F.lit(REASONS[1]))
                .when(tid.isNull(), F.lit(REASONS[2]))
                .when(F.col("j.created_at").isNull(), F.lit(REASONS[3]))
                .when(time.isNull(), F.lit(REASONS[4]))
-               .when(F.col("j.user").isNull(), F.lit(REASONS[5]))
-               .when(F.col("j.user.id_str").isNull(), F.lit(REASONS[6]))
+               .when(F.col("j.user").isNull() | ~F.col("j.user").startswith("{"), F.lit(REASONS[5]))
+               .when(F.col("k.user.id_str").isNull(), F.lit(REASONS[6]))
                .when(uid_raw.isNull(), F.lit(REASONS[7])))
     return p.select(
         F.col("value"),
@@ -81,9 +92,9 @@ def parse_raw(raw: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
         F.col("j.created_at").alias("created_at"),
         F.col("j.lang").alias("lang"),
         F.col("j.text").alias("text"),
-        F.col("j.user.name").alias("author_name"),
-        F.col("j.user.screen_name").alias("author_screen_name"),
-        F.col("j.entities.hashtags.text").alias("hashtags"),
+        F.col("k.user.name").alias("author_name"),
+        F.col("k.user.screen_name").alias("author_screen_name"),
+        F.col("k.entities.hashtags.text").alias("hashtags"),
         reason.alias("reason"),
     )
 

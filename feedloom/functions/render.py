@@ -29,7 +29,7 @@ def render(df: DataFrame, payload_col: str = "tweet", cfg: FeedConfig = FeedConf
     """V1-V3, V5 over a column of stored raw JSON.
 
     from_json without options lets Catalyst parse only the fields used."""
-    j = parse_json(F.col(payload_col), with_corrupt=False)
+    j = parse_json(F.col(payload_col))
     p = df.select(*keep, j.alias("j"))
     return p.select(
         *keep,

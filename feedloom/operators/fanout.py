@@ -70,11 +70,12 @@ def delivery_plan(edges: DataFrame, cfg: FeedConfig = FeedConfig()) -> tuple[Dat
     return followers, hot
 
 
-def publish_delivery(edges: DataFrame, cfg: FeedConfig, path: str, mode: str = "overwrite") -> None:
-    """Write the delivery table once (graph job): follower sets with the
-    listener already injected.  A stream re-reads it every batch (ST3) and
-    runs with ``listener=None``, so no batch re-aggregates the edge table."""
-    delivery_edges(edges, cfg).write.mode(mode).parquet(path)
+def publish_delivery(edges: DataFrame, cfg: FeedConfig, path: str) -> None:
+    """Append the delivery rows of ``edges`` (listener injected) to the delivery
+    table.  A stream re-reads the table every batch (ST3) and runs with
+    ``listener=None``, so no batch re-aggregates the edges; appending never
+    touches files that a running batch reads."""
+    delivery_edges(edges, cfg).write.mode("append").parquet(path)
 
 
 def list_store_rows(edges: DataFrame) -> DataFrame:
@@ -118,11 +119,6 @@ def _authors(followers: DataFrame) -> DataFrame:
     return followers.select("uid").distinct()
 
 
-def authors_with_followers(tweets: DataFrame, followers: DataFrame) -> DataFrame:
-    """J4. Tweets whose author has a follower row (semi join)."""
-    return tweets.join(_authors(followers), "uid", "left_semi")
-
-
 def authors_without_followers(tweets: DataFrame, followers: DataFrame) -> DataFrame:
     """J4 complement (audit): tweets nobody receives (anti join)."""
     return tweets.join(_authors(followers), "uid", "left_anti")

@@ -1,9 +1,9 @@
 """Follower-graph preparation (G1-G6) from an edge frame (uid, follower).
 
-Set-valued views (followerslists / followinglists) are published in bounded
-chunks: a user with c ids gets ceil(c / chunk_rows) rows, ids assigned to a
-chunk by ``follower mod chunks``.  So no single group - not even a user who
-follows or is followed by a third of everyone - is collected into one array.
+Set-valued views (followerslists / followinglists) have one row shape at every
+size: a user's ids are dealt into a fixed number of chunks by a hash of the id,
+so no single group - not even a user who is followed by a third of everyone -
+is collected into one array, and a chunk's share does not depend on the ids.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK_ROWS = 100_000
+DEFAULT_CHUNKS = 16
 
 
 def follower_edges(edges: DataFrame) -> DataFrame:
@@ -19,30 +19,29 @@ def follower_edges(edges: DataFrame) -> DataFrame:
     return edges.select("uid", "follower").filter(F.col("uid") != F.col("follower")).distinct()
 
 
-def _chunked_sets(pairs: DataFrame, key: str, member: str, chunk_rows: int) -> DataFrame:
-    counts = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))          # partial agg
-    # only keys with more than chunk_rows members need several chunks; there
-    # are at most rows / chunk_rows of them, so this side has a proven bound
-    big = counts.filter(F.col("_n") > chunk_rows).select(
-        key, F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("bigint").alias("_k"))
-    tagged = pairs.join(F.broadcast(big), key, "left").withColumn(
-        "chunk", F.coalesce(F.pmod(F.col(member), F.col("_k")), F.lit(0).cast("bigint")))
-    return tagged.groupBy(key, "chunk").agg(
+def chunk_of(member, chunks: int):
+    """Chunk of an id: the first hex digits of the MD5 of its text, mod ``chunks``."""
+    return F.pmod(F.conv(F.substring(F.md5(member.cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint"),
+                  F.lit(chunks).cast("bigint"))
+
+
+def _chunked_sets(pairs: DataFrame, key: str, member: str, chunks: int) -> DataFrame:
+    return pairs.groupBy(key, chunk_of(F.col(member), chunks).alias("chunk")).agg(
         F.array_sort(F.collect_list(member)).alias("ids"))
 
 
-def followers_lists(edges: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def followers_lists(edges: DataFrame, chunks: int = DEFAULT_CHUNKS) -> DataFrame:
     """G1/W6. (uid, chunk, followerslist) - distinct followers, self excluded."""
-    return _chunked_sets(follower_edges(edges), "uid", "follower", chunk_rows) \
+    return _chunked_sets(follower_edges(edges), "uid", "follower", chunks) \
         .withColumnRenamed("ids", "followerslist")
 
 
-def following_lists(edges: DataFrame, users: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def following_lists(edges: DataFrame, users: DataFrame, chunks: int = DEFAULT_CHUNKS) -> DataFrame:
     """G2/W7. Inverted sets: (uid, chunk, followinglist); every user appears,
     users following nobody with one empty chunk 0 (a full inversion, not the
     reference's partial flush)."""
     inv = follower_edges(edges).select(F.col("follower").alias("uid"), F.col("uid").alias("followee"))
-    sets = _chunked_sets(inv, "uid", "followee", chunk_rows).withColumnRenamed("ids", "followinglist")
+    sets = _chunked_sets(inv, "uid", "followee", chunks).withColumnRenamed("ids", "followinglist")
     none = users.select("uid").join(sets.select("uid"), "uid", "left_anti").select(
         "uid", F.lit(0).cast("bigint").alias("chunk"),
         F.array().cast("array<bigint>").alias("followinglist"))

@@ -30,9 +30,9 @@ def newest_n(df: DataFrame, n: int, key: str = "uid") -> DataFrame:
 
 
 def user_page(df: DataFrame, uid: int, n: int) -> DataFrame:
-    """R1 for one user (the per-request read): the uid filter passes through
-    the key resolution into the parquet scan (files are uid-sorted, so row
-    groups of other users are skipped) and the limit plans as a top-n."""
+    """R1 for one user (the per-request read).  ``df`` is ``store.read(..., uid=uid)``,
+    which opens one uid bucket of the snapshot; the uid filter reaches the parquet
+    scans, and the limit plans as a top-n."""
     return df.filter(F.col("uid") == F.lit(uid)).orderBy(*_order(df)).limit(n)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.config import FeedConfig
+from feedloom.functions.parse import utc_time
 
 META = ("ingest_ts", "expire_at")
 
@@ -27,7 +28,7 @@ def with_expiry(df: DataFrame, cfg: FeedConfig = FeedConfig(), ingest_col: str |
     ``ingest_col`` None stamps the write time (UTC, as the TTL of a store
     counts from the write); a column name stamps that column (deterministic)."""
     if ingest_col is None:
-        ing = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+        ing = utc_time(F.unix_micros(F.current_timestamp()) / F.lit(1_000_000).cast("decimal(18,6)"))
     else:
         ing = F.col(ingest_col).cast("timestamp_ntz")
     return df.withColumn("ingest_ts", ing).withColumn(
@@ -35,14 +36,26 @@ def with_expiry(df: DataFrame, cfg: FeedConfig = FeedConfig(), ingest_col: str |
 
 
 def upsert_uid_time(df: DataFrame, policy: str = "upsert", payload: tuple[str, ...] = ()) -> DataFrame:
-    """T1. One row per (uid, time): the largest tid wins (deterministic stand-in
-    for the last write); the key lives as long as its latest write
-    (max expire_at).  ``keep_all`` keys rows by (uid, time, tid) instead."""
-    meta = [F.max(c).alias(c) for c in META if c in df.columns]
+    """T1. One row per (uid, time): the largest tid wins, of its writes the latest
+    (then the longest lived, then the largest payload), and every column is that
+    row's.  ``keep_all`` keys rows by (uid, time, tid) instead."""
+    meta = [c for c in META if c in df.columns]
+    key = ["uid", "time", "tid"] if policy == "keep_all" else ["uid", "time"]
+    order = [c for c in ("tid", *meta, *payload) if c not in key]
+    if not order:
+        return df.groupBy(*key).count().drop("count")
+    if payload or len(order) > 3 or not meta:
+        best = F.max(F.struct(*order)).alias("_w") if len(order) > 1 else F.max(order[0]).alias(order[0])
+        out = df.groupBy(*key).agg(best)
+        return out.select(*key, *[F.col("_w")[c].alias(c) for c in order]) if len(order) > 1 else out
+    # fixed-width columns only: the same order by hash aggregates, inside one partitioning
+    ingest, expire = META
+    rows = df.repartition(*key).groupBy("uid", "time", "tid", ingest).agg(F.max(expire).alias(expire))
+    rows = rows.groupBy("uid", "time", "tid").agg(F.max(ingest).alias(ingest), F.max_by(expire, ingest).alias(expire))
     if policy == "keep_all":
-        return df.groupBy("uid", "time", "tid").agg(*meta, *[F.max(c).alias(c) for c in payload])
-    return df.groupBy("uid", "time").agg(
-        F.max("tid").alias("tid"), *meta, *[F.max_by(c, "tid").alias(c) for c in payload])
+        return rows
+    return rows.groupBy("uid", "time").agg(F.max("tid").alias("tid"), F.max_by(ingest, "tid").alias(ingest),
+                                           F.max_by(expire, "tid").alias(expire))
 
 
 def upsert_tid(df: DataFrame, payload: str = "tweet") -> DataFrame:
@@ -63,10 +76,12 @@ def clustered(df: DataFrame) -> DataFrame:
 
 
 def resolve(table: str, df: DataFrame, cfg: FeedConfig = FeedConfig(), as_of: str | None = None) -> DataFrame:
-    """Apply the key semantics of ``table`` then expiry (``as_of`` None: keep expired)."""
+    """Expiry, then the key semantics of ``table`` (``as_of`` None: keep expired).
+
+    Expired writes leave first, as in a store where each written cell lives for
+    its own time: they can neither hide nor outlive another write of their key.
+    The filter is on a stored column, so it reaches the scan."""
+    live = df if as_of is None else visible(df, as_of)
     if table == "tweets":
-        out = upsert_tid(df)
-    else:
-        payload = ("tweet",) if "tweet" in df.columns else ()
-        out = upsert_uid_time(df, cfg.policy, payload)
-    return out if as_of is None else visible(out, as_of)
+        return upsert_tid(live)
+    return upsert_uid_time(live, cfg.policy, ("tweet",) if "tweet" in df.columns else ())

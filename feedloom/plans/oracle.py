@@ -15,7 +15,9 @@ tw AS (
          e.user_id + 100000 * (e.event_id % 7) AS uid_raw,
          date_trunc('second', e.ts) AS time,
          d.lang AS lang,
-         left(d.text, 140) AS text,
+         d.text AS text,
+         md5(d.text) AS text_md5,
+         e.event_id % 100 AS retweet_count,
          c.c_name AS author_name,
          'u' || CAST(e.user_id AS VARCHAR) AS author_screen_name,
          CASE e.event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN e.event_type
@@ -28,12 +30,10 @@ en AS (SELECT * FROM tw WHERE lang = 'en'),
 edges AS (
   SELECT DISTINCT l_suppkey AS uid, o_custkey AS follower
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE o_orderpriority = '1-URGENT' AND l_returnflag = 'R'
 ),
 ledges AS (
   SELECT l_suppkey AS uid, o_custkey AS follower
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE o_orderpriority = '1-URGENT' AND l_returnflag = 'R'
 ),
 fset AS (SELECT uid, follower FROM edges UNION SELECT DISTINCT uid, 0 FROM edges),
 fan AS (SELECT f.follower AS uid, en.time, en.tid FROM en JOIN fset f ON f.uid = en.uid),
@@ -42,7 +42,8 @@ inbox_vis AS (SELECT * FROM inbox WHERE time + INTERVAL 7 DAY > {AS_OF}),
 home_vis AS (SELECT uid, time, max(tid) AS tid FROM en GROUP BY uid, time),
 home_vis2 AS (SELECT * FROM home_vis WHERE time + INTERVAL 7 DAY > {AS_OF}),
 tweets_vis AS (SELECT * FROM en WHERE time + INTERVAL 7 DAY > {AS_OF}),
-unames AS (SELECT c_custkey AS uid, c_name AS uname FROM customer WHERE c_custkey % 2 = 0),
+unames AS (SELECT s_suppkey AS uid, s_name AS uname FROM supplier),
+requesters AS (SELECT DISTINCT user_id AS uid FROM events),
 users AS (SELECT c_custkey AS uid FROM customer)
 """
 
@@ -52,7 +53,7 @@ def local_time(col: str) -> str:
             f"'%a %b %d %H:%M:%S')")
 
 
-def _timeline(ids: str, req: str, profile: bool) -> str:
+def _timeline(ids: str, req: str, profile: bool, text: str = "text") -> str:
     author = "coalesce(u.uname, 'unknown')" if profile else "t.author_name"
     return f"""WITH {BASE},
 req AS ({req}),
@@ -61,7 +62,7 @@ rk AS (SELECT i.uid, i.time, i.tid,
               row_number() OVER (PARTITION BY i.uid ORDER BY i.time DESC, i.tid DESC) AS rn
        FROM {ids} i WHERE i.uid IN (SELECT uid FROM pg))
 SELECT rk.uid, coalesce(u.uname, 'unknown') AS uname, CAST(pg.page_size AS INTEGER) AS page_size,
-       CAST(rk.rn AS INTEGER) AS rn, rk.tid, {local_time('t.time')} AS local_time, t.text,
+       CAST(rk.rn AS INTEGER) AS rn, rk.tid, {local_time('t.time')} AS local_time, t.{text},
        {author} AS author_name, t.author_screen_name, t.hashtags,
        'https://twitter.com/' || t.author_screen_name AS profile_url
 FROM rk JOIN pg ON pg.uid = rk.uid AND rk.rn <= pg.page_size
@@ -71,7 +72,7 @@ LEFT JOIN unames u ON u.uid = rk.uid"""
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["home_timeline"] = _timeline("inbox_vis", "SELECT uid, 0 AS n FROM users", profile=False)
+ORACLE["home_timeline"] = _timeline("inbox_vis", "SELECT uid, 0 AS n FROM requesters", profile=False)
 
 _EXPIRE = "time + INTERVAL 7 DAY"
 _HALF = "TIMESTAMP '2024-01-16 00:00:00'"
@@ -98,7 +99,8 @@ ORACLE["dead_letter"] = """SELECT
   CASE WHEN event_id % 6 = 3 THEN 'x' || CAST(event_id AS VARCHAR) ELSE CAST(event_id AS VARCHAR) END AS ref
 FROM events"""
 
-ORACLE["raw_roundtrip"] = _q("""SELECT tid, uid, time, text, author_name, author_screen_name, hashtags FROM tw""")
+ORACLE["raw_roundtrip"] = _q("""SELECT tid, uid, time, text, author_name, author_screen_name, hashtags,
+  retweet_count FROM tw""")
 
 ORACLE["stream_ingest_parse"] = _q("SELECT tid, uid, time, lang FROM en")
 
@@ -113,11 +115,14 @@ ORACLE["authors_without_followers"] = _q("SELECT tid, uid FROM en WHERE uid NOT
 
 ORACLE["fanout_norm"] = _q("SELECT uid, time, tid FROM fan")
 
-ORACLE["fanout_denorm"] = _q("""SELECT f.uid, f.time, f.tid, f.tid AS payload_id, en.text
+ORACLE["fanout_denorm"] = _q("""SELECT f.uid, f.time, f.tid, f.tid AS payload_id, en.text_md5
 FROM fan f JOIN en ON en.tid = f.tid""")
 
 ORACLE["fanout_list_store"] = _q("""SELECT l.follower AS uid, en.time, en.tid FROM en JOIN ledges l ON l.uid = en.uid""")
 
+ORACLE["list_store_following"] = _q("""SELECT follower AS uid, uid AS followee, count(*) AS n_pushed
+FROM ledges WHERE follower IN (SELECT uid FROM requesters) GROUP BY follower, uid""")
+
 ORACLE["fanout_variants"] = _q("""
 , lfan AS (SELECT l.follower AS uid, en.time, en.tid FROM en JOIN ledges l ON l.uid = en.uid)
 , v AS (
@@ -139,23 +144,23 @@ ORACLE["sink_inboxes"] = _q(f"SELECT uid, time, tid, {_EXPIRE} AS expire_at FROM
 ORACLE["sink_historytweets"] = _q(f"""SELECT h.uid, h.time, h.tid, en.text, h.{_EXPIRE} AS expire_at
 FROM home_vis2 h JOIN en ON en.tid = h.tid""")
 
-ORACLE["sink_feedslists"] = _q(f"""SELECT i.uid, i.time, i.tid, en.text, i.{_EXPIRE} AS expire_at
+ORACLE["sink_feedslists"] = _q(f"""SELECT i.uid, i.time, i.tid, en.text_md5, i.{_EXPIRE} AS expire_at
 FROM inbox_vis i JOIN en ON en.tid = i.tid""")
 
-_CHUNK = 100000
-ORACLE["followers_lists"] = _q(f"""
-, g1 AS (SELECT uid, follower FROM edges WHERE uid <> follower)
-, k AS (SELECT uid, CAST(ceil(count(*) / {_CHUNK}.0) AS BIGINT) AS nk FROM g1 GROUP BY uid)
-SELECT g1.uid, g1.follower % k.nk AS chunk, count(*) AS n_followers,
-       string_agg(CAST(g1.follower AS VARCHAR), ',' ORDER BY g1.follower) AS followerslist
-FROM g1 JOIN k ON k.uid = g1.uid GROUP BY g1.uid, g1.follower % k.nk""")
+
+
+def _chunk(member: str) -> str:
+    return f"CAST('0x' || substr(md5(CAST({member} AS VARCHAR)), 1, 8) AS BIGINT) % 16"
+
+
+ORACLE["followers_lists"] = _q(f"""SELECT uid, {_chunk('follower')} AS chunk, count(*) AS n_followers,
+       string_agg(CAST(follower AS VARCHAR), ',' ORDER BY follower) AS followerslist
+FROM edges WHERE uid <> follower GROUP BY uid, {_chunk('follower')}""")
 
 ORACLE["following_lists"] = _q(f"""
-, g2 AS (SELECT follower AS uid, uid AS followee FROM edges WHERE uid <> follower)
-, k AS (SELECT uid, CAST(ceil(count(*) / {_CHUNK}.0) AS BIGINT) AS nk FROM g2 GROUP BY uid)
-, sets AS (SELECT g2.uid, g2.followee % k.nk AS chunk, count(*) AS n_following,
-                  string_agg(CAST(g2.followee AS VARCHAR), ',' ORDER BY g2.followee) AS followinglist
-           FROM g2 JOIN k ON k.uid = g2.uid GROUP BY g2.uid, g2.followee % k.nk)
+, sets AS (SELECT follower AS uid, {_chunk('uid')} AS chunk, count(*) AS n_following,
+                  string_agg(CAST(uid AS VARCHAR), ',' ORDER BY uid) AS followinglist
+           FROM edges WHERE uid <> follower GROUP BY follower, {_chunk('uid')})
 SELECT * FROM sets
 UNION ALL
 SELECT uid, CAST(0 AS BIGINT), CAST(0 AS BIGINT), '' FROM users WHERE uid NOT IN (SELECT uid FROM sets)""")
@@ -164,24 +169,26 @@ SELECT uid, CAST(0 AS BIGINT), CAST(0 AS BIGINT), '' FROM users WHERE uid NOT IN
 ORACLE["upsert_uid_time"] = _q("""SELECT uid, date_trunc('hour', time) AS time, max(tid) AS tid
 FROM fan GROUP BY uid, date_trunc('hour', time)""")
 
-ORACLE["upsert_tid"] = _q("SELECT tid, text, time + INTERVAL 1 HOUR AS ingest_ts FROM en")
+ORACLE["upsert_tid"] = _q("SELECT tid, text, 1 AS edited, time + INTERVAL 1 HOUR AS ingest_ts FROM en")
 
 ORACLE["ttl_visible"] = _q(f"""SELECT uid, count(*) AS n_rows,
   CAST(count(*) FILTER (WHERE {_EXPIRE} > {AS_OF}) AS BIGINT) AS n_visible FROM inbox GROUP BY uid""")
 
 ORACLE["compact_store"] = ORACLE["sink_inboxes"]
 
+ORACLE["user_page"] = _q("SELECT uid, time, tid FROM inbox_vis WHERE uid = 0 ORDER BY time DESC LIMIT 20")
+
 # 2.5 ---------------------------------------------------------------------------
-ORACLE["profile_timeline"] = _timeline("home_vis2", "SELECT uid, 0 AS n FROM users", profile=True)
+ORACLE["profile_timeline"] = _timeline("home_vis2", "SELECT uid, 0 AS n FROM requesters", profile=True)
 
 ORACLE["paged_timeline"] = _timeline(
     "inbox_vis", "SELECT uid, CASE uid % 5 WHEN 0 THEN 0 WHEN 1 THEN 45 WHEN 2 THEN 49 "
-                 "WHEN 3 THEN 50 ELSE 60 END AS n FROM users", profile=False)
+                 "WHEN 3 THEN 50 ELSE 60 END AS n FROM requesters", profile=False, text="text_md5")
 
 ORACLE["timeline_state"] = f"""WITH ht AS ({ORACLE['home_timeline']}),
 c AS (SELECT uid, count(*) AS n FROM ht GROUP BY uid)
-SELECT u.c_custkey AS uid, CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows, c.n IS NOT NULL AS has_tweets
-FROM customer u LEFT JOIN c ON c.uid = u.c_custkey"""
+SELECT u.uid, CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows, c.n IS NOT NULL AS has_tweets
+FROM (SELECT DISTINCT user_id AS uid FROM events) u LEFT JOIN c ON c.uid = u.uid"""
 
 
 def _topn(src: str, n: int = 20) -> str:
@@ -191,19 +198,19 @@ AS INTEGER) AS rn, time, tid FROM {src}) WHERE rn <= {n}"""
 
 ORACLE["inbox_topn"] = _q(_topn("inbox_vis"))
 ORACLE["homepage_topn"] = _q(_topn("home_vis2"))
-ORACLE["feed_topn_denorm"] = _q(f"SELECT r.*, en.text FROM ({_topn('inbox_vis')}) r JOIN en ON en.tid = r.tid")
+ORACLE["feed_topn_denorm"] = _q(f"SELECT r.*, en.text_md5 FROM ({_topn('inbox_vis')}) r JOIN en ON en.tid = r.tid")
 ORACLE["feed_topn_norm"] = ORACLE["feed_topn_denorm"]
 
 ORACLE["followers_of"] = _q("""SELECT uid, follower FROM edges
-WHERE uid <> follower AND uid IN (SELECT uid FROM users)""")
+WHERE uid <> follower AND uid IN (SELECT uid FROM requesters)""")
 
-ORACLE["timeline_resolve"] = _q("SELECT i.uid, i.time, i.tid, en.text FROM inbox_vis i JOIN en ON en.tid = i.tid")
+ORACLE["timeline_resolve"] = _q("SELECT i.uid, i.time, i.tid, en.text_md5 FROM inbox_vis i JOIN en ON en.tid = i.tid")
 
 ORACLE["tweets_in_set"] = _q(f"""SELECT tid, text FROM tweets_vis
 WHERE tid IN (SELECT tid FROM ({_topn('inbox_vis')}))""")
 
-ORACLE["username_default"] = _q("""SELECT users.uid, coalesce(u.uname, 'unknown') AS uname
-FROM users LEFT JOIN unames u ON u.uid = users.uid""")
+ORACLE["username_default"] = _q("""SELECT r.uid, coalesce(u.uname, 'unknown') AS uname
+FROM requesters r LEFT JOIN unames u ON u.uid = r.uid""")
 
 # 2.6 ---------------------------------------------------------------------------
 ORACLE["render_tweets"] = _q("""SELECT tid, text, author_name, author_screen_name,
@@ -224,46 +231,77 @@ ORACLE["graph_totals"] = _q("""SELECT CAST(sum(n) AS BIGINT) AS n_edges, count(*
   max(n) AS max_followers FROM (SELECT uid, count(*) AS n FROM edges WHERE uid <> follower GROUP BY uid)""")
 
 
-def _tiers_sql() -> str:
-    from feedloom.operators.graph import TIERS
-    def amount(v):
-        return f"(n * {v[0]}) // {v[1]}" if isinstance(v, tuple) else str(v)
-    tier, lo, hi = [], [], []
-    for name, cut, mean, var in TIERS:
-        m, v = amount(mean), amount(var)
-        cond = "TRUE" if cut is None else f"CAST(uid AS DOUBLE) < n * {cut} / 100"
-        tier.append(f"WHEN {cond} THEN '{name}'")
-        lo.append(f"WHEN {cond} THEN {m} - {v} + 1" if var != 0 else f"WHEN {cond} THEN {m}")
-        hi.append(f"WHEN {cond} THEN {m} + {v} - 1" if var != 0 else f"WHEN {cond} THEN {m}")
-    return f"""
+# Tier rule written out: position below a share of n; bounds mean +- (variance - 1).
+_TIERS_SQL = """
 , cnt AS (SELECT uid, count(*) AS c FROM edges WHERE uid <> follower GROUP BY uid)
 , base AS (SELECT users.uid AS uid, (SELECT count(*) FROM users) AS n,
                   CAST(coalesce(cnt.c, 0) AS BIGINT) AS n_followers
            FROM users LEFT JOIN cnt ON cnt.uid = users.uid)
-, pu AS (SELECT uid, CASE {' '.join(tier)} END AS tier,
-                CAST(CASE {' '.join(lo)} END AS BIGINT) AS lo, CAST(CASE {' '.join(hi)} END AS BIGINT) AS hi,
-                n_followers
-         FROM base)
+, placed AS (SELECT uid, n, n_followers,
+                    CASE WHEN uid < n * 0.05 / 100 THEN 't1' WHEN uid < n * 0.15 / 100 THEN 't2'
+                         WHEN uid < n * 0.3 / 100 THEN 't3' WHEN uid < n * 0.5 / 100 THEN 't4'
+                         WHEN uid < n * 10.5 / 100 THEN 't5' WHEN uid < n * 50.5 / 100 THEN 't6'
+                         WHEN uid < n * 90.5 / 100 THEN 't7' ELSE 't8' END AS tier
+             FROM base)
+, pu AS (SELECT uid, tier, n_followers,
+                CAST(CASE tier WHEN 't1' THEN n * 10 // 100 - n * 4 // 100 + 1 WHEN 't2' THEN n * 5 // 100 - n * 2 // 100 + 1
+                               WHEN 't3' THEN n * 2 // 100 - n * 1 // 100 + 1 WHEN 't4' THEN n * 1 // 100 - n * 1 // 200 + 1
+                               WHEN 't5' THEN 101 WHEN 't6' THEN 41 WHEN 't7' THEN 21 ELSE 5 END AS BIGINT) AS lo,
+                CAST(CASE tier WHEN 't1' THEN n * 10 // 100 + n * 4 // 100 - 1 WHEN 't2' THEN n * 5 // 100 + n * 2 // 100 - 1
+                               WHEN 't3' THEN n * 2 // 100 + n * 1 // 100 - 1 WHEN 't4' THEN n * 1 // 100 + n * 1 // 200 - 1
+                               WHEN 't5' THEN 299 WHEN 't6' THEN 79 WHEN 't7' THEN 39 ELSE 5 END AS BIGINT) AS hi
+         FROM placed)
 SELECT tier, lo, hi, count(*) AS n_users, min(n_followers) AS min_followers,
        round(avg(n_followers), 6) AS avg_followers, max(n_followers) AS max_followers,
        CAST(sum(CASE WHEN n_followers BETWEEN lo AND hi THEN 1 ELSE 0 END) AS BIGINT) AS n_in_bounds
 FROM pu GROUP BY tier, lo, hi"""
 
 
-ORACLE["audience_tiers"] = _q(_tiers_sql())
+ORACLE["audience_tiers"] = _q(_TIERS_SQL)
 
-ORACLE["layout_equivalence"] = _q(f"""SELECT uid, count(*) AS n_norm, count(*) AS n_denorm,
-  CAST(0 AS BIGINT) AS n_only_norm, CAST(0 AS BIGINT) AS n_only_denorm
-FROM ({_topn('inbox_vis')}) GROUP BY uid""")
+# both feeds derived on their own: ids ranked then joined to tweets, and payload rows ranked
+_FEEDS = f"""
+, ids AS ({_topn('inbox_vis')})
+, norm AS (SELECT ids.uid, ids.tid, t.text_md5 AS h FROM ids JOIN tweets_vis t ON t.tid = ids.tid)
+, payloads AS (SELECT i.uid, i.time, i.tid, en.text_md5 FROM inbox_vis i JOIN en ON en.tid = i.tid)
+, den AS (SELECT uid, tid, text_md5 AS h FROM (
+            SELECT *, row_number() OVER (PARTITION BY uid ORDER BY time DESC, tid DESC) AS rn FROM payloads) WHERE rn <= 20)
+, only_n AS (SELECT * FROM norm EXCEPT ALL SELECT * FROM den)
+, only_d AS (SELECT * FROM den EXCEPT ALL SELECT * FROM norm)
+, every AS (SELECT uid, 1 AS n, 0 AS d, 0 AS xn, 0 AS xd FROM norm UNION ALL SELECT uid, 0, 1, 0, 0 FROM den
+            UNION ALL SELECT uid, 0, 0, 1, 0 FROM only_n UNION ALL SELECT uid, 0, 0, 0, 1 FROM only_d)"""
+
+ORACLE["layout_equivalence"] = _q(_FEEDS + """
+SELECT uid, CAST(sum(n) AS BIGINT) AS n_norm, CAST(sum(d) AS BIGINT) AS n_denorm,
+       CAST(sum(xn) AS BIGINT) AS n_only_norm, CAST(sum(xd) AS BIGINT) AS n_only_denorm FROM every GROUP BY uid""")
+
+# which users the sample takes depends on a Spark hash; how many have a feed must not
+ORACLE["layout_equivalence_sample"] = _q(_FEEDS + """
+, asked AS (SELECT uid FROM every WHERE uid IN (SELECT uid FROM requesters))
+SELECT least(40, count(DISTINCT uid)) AS n_users, CAST(0 AS BIGINT) AS n_only_norm, CAST(0 AS BIGINT) AS n_only_denorm
+FROM asked""")
 
 # 2.8 ---------------------------------------------------------------------------
-ORACLE["stream_fanout"] = ORACLE["sink_inboxes"]
+ORACLE["stream_fanout"] = _q(f"""
+SELECT 'tweets' AS "table", CAST(NULL AS BIGINT) AS uid, CAST(NULL AS TIMESTAMP) AS time, tid, text_md5,
+       {_EXPIRE} AS expire_at FROM tweets_vis
+UNION ALL SELECT 'homepages', uid, time, tid, NULL, {_EXPIRE} FROM home_vis2
+UNION ALL SELECT 'inboxes', uid, time, tid, NULL, {_EXPIRE} FROM inbox_vis""")
+
+ORACLE["stream_denorm"] = _q(f"""SELECT h.uid, h.time, h.tid, en.text_md5, h.{_EXPIRE} AS expire_at
+FROM home_vis2 h JOIN en ON en.tid = h.tid""")
+
+ORACLE["stream_list_store"] = _q(f"""
+, lbox AS (SELECT l.follower AS uid, en.time, max(en.tid) AS tid FROM en JOIN ledges l ON l.uid = en.uid
+           GROUP BY l.follower, en.time)
+SELECT uid, count(*) AS n_rows, max(tid) AS max_tid FROM lbox WHERE {_EXPIRE} > {AS_OF} GROUP BY uid""")
+
 ORACLE["stream_replay"] = _q(f"SELECT uid, time, tid, {_EXPIRE} AS expire_at FROM inbox")
 
 ORACLE["stream_dimension_refresh"] = _q(f"""
 , e0 AS (SELECT DISTINCT l_suppkey AS uid, o_custkey AS follower
          FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-         WHERE o_orderpriority = '1-URGENT' AND l_returnflag = 'R' AND o_orderdate < TIMESTAMP '1995-01-01')
+         WHERE o_orderdate < TIMESTAMP '1995-01-01')
 , f0 AS (SELECT uid, follower FROM e0 UNION SELECT DISTINCT uid, 0 FROM e0)
 , fan2 AS (SELECT f.follower AS uid, en.time, en.tid FROM en JOIN f0 f ON f.uid = en.uid WHERE en.time < {_HALF}
            UNION ALL

@@ -66,13 +66,18 @@ def _delivery(spark, sf_dir, cfg=CFG):
 
 def _payload(col="tweet"):
     return (F.get_json_object(F.col(col), "$.id_str").try_cast("bigint").alias("payload_id"),
-            F.get_json_object(F.col(col), "$.text").alias("text"))
+            _text_md5(col))
 
 
 def _text(col="tweet"):
     return F.get_json_object(F.col(col), "$.text").alias("text")
 
 
+def _text_md5(col="tweet"):
+    """Digest of the whole text, where a payload comes once per receiving user."""
+    return F.md5(F.get_json_object(F.col(col), "$.text").cast("binary")).alias("text_md5")
+
+
 def _halves(df, col="time"):
     early = F.col(col) < F.lit(HALF_MONTH).cast("timestamp_ntz")
     return df.filter(early), df.filter(~early)
@@ -110,7 +115,8 @@ def q_filter_language(spark, sf_dir):
 
 @query("dead_letter")
 def q_dead_letter(spark, sf_dir):
-    """The feed plus a damaged copy of every record; bad ones dead-lettered."""
+    """The feed, a damaged copy of every record and one with odd optional fields
+    (valid); the damaged ones are dead-lettered."""
     parsed = P.parse_raw(fixtures.dirty_raw_tweets(spark, sf_dir), CFG)
     return P.dead_letters(parsed).select(
         "reason", F.regexp_extract("value", '"id_str":"([^"]*)"', 1).alias("ref"))
@@ -118,13 +124,14 @@ def q_dead_letter(spark, sf_dir):
 
 @query("raw_roundtrip")
 def q_raw_roundtrip(spark, sf_dir):
-    """Publish the raw records (serialized) to the file sink, read them
-    back and parse again: nothing may change."""
+    """Publish the raw records to the file sink, read them back and parse
+    again: nothing may change, also no field that this system does not read."""
     out = scratch_path(spark, "raw-roundtrip")
-    ingest.publish_text(ingest.serialize(fixtures.raw_tweets(spark, sf_dir)), out)
+    ingest.publish_text(fixtures.raw_tweets(spark, sf_dir), out)
     t = P.valid_tweets(P.parse_raw(ingest.read_text(spark, out), CFG))
     return t.select("tid", "uid", "time", "text", "author_name", "author_screen_name",
-                    join_hashtags(F.col("hashtags")).alias("hashtags"))
+                    join_hashtags(F.col("hashtags")).alias("hashtags"),
+                    F.get_json_object("tweet", "$.retweet_count").cast("bigint").alias("retweet_count"))
 
 
 def _publish_feed(spark, sf_dir, root, part="all", name=None):
@@ -206,40 +213,48 @@ def q_fanout_list_store(spark, sf_dir):
     return rows["inboxes"].select("uid", "time", "tid")
 
 
+@query("list_store_following")
+def q_list_store_following(spark, sf_dir):
+    """The other direction of the list store, read back: whom each requested
+    user follows, as often as it was pushed."""
+    path = scratch_path(spark, "list-store")
+    J.publish_list_store(fixtures.edges(spark, sf_dir, distinct=False), path)
+    e = J.list_store_edges(J.read_list_store(spark, path, "following"))
+    mine = R.followers_of(e, fixtures.requests(spark, sf_dir))
+    return mine.groupBy("uid", F.col("follower").alias("followee")).agg(F.count(F.lit(1)).alias("n_pushed"))
+
+
 @query("fanout_variants")
 def q_fanout_variants(spark, sf_dir):
     """ST5: the four (layout, store) variants - receiving-side rows before and
     after key resolution."""
-    outs = []
-    for layout in ("norm", "denorm"):
-        for store in ("set", "list"):
-            cfg = CFG.with_(layout=layout, store=store)
-            table = "inboxes" if layout == "norm" else "feedslists"
-            rows = batch.batch_tables(spark, sf_dir, cfg)[table]
-            resolved = T.resolve(table, rows, cfg, None)
-            # two global counts side by side: union + one aggregate, no join
-            counts = (rows.agg(F.count(F.lit(1)).alias("v")).withColumn("k", F.lit("rows"))
-                      .unionByName(resolved.agg(F.count(F.lit(1)).alias("v")).withColumn("k", F.lit("res"))))
-            outs.append(counts.agg(
-                F.max(F.when(F.col("k") == "rows", F.col("v"))).alias("n_rows"),
-                F.max(F.when(F.col("k") == "res", F.col("v"))).alias("n_resolved"))
-                .select(F.lit(layout).alias("layout"), F.lit(store).alias("store"), "n_rows", "n_resolved"))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
+    out = None
+    for store in ("set", "list"):
+        # both layouts fan out to the same (uid, time): one evaluation a store gives all counts
+        rows = batch.batch_tables(spark, sf_dir, CFG.with_(store=store))["inboxes"]
+        keys = rows.groupBy("uid", "time").agg(F.count(F.lit(1)).alias("n"))
+        counts = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_resolved"))
+        both = counts.select(F.explode(F.array(F.lit("norm"), F.lit("denorm"))).alias("layout"),
+                             F.lit(store).alias("store"), "n_rows", "n_resolved")
+        out = both if out is None else out.unionByName(both)
     return out
 
 
 # ---------------------------------------------------------------------------
 # 2.3 Sinks (written to the store, read back resolved and unexpired)
 # ---------------------------------------------------------------------------
+def _half_tweets(spark, sf_dir, cfg, part):
+    """Tweets of the early or late half, cut on the raw event time before the parse."""
+    raw = _halves(fixtures.raw_tweets(spark, sf_dir, keep_ts=True), "ts")[part]
+    return P.ingest(raw.select("value"), cfg)
+
+
 def _stored(spark, sf_dir, cfg, tables):
     """Write the feed as two deliveries into a fresh store; return the store."""
     store = TimelineStore(spark)
-    tweets = _tweets(spark, sf_dir, cfg)
     edges = fixtures.edges(spark, sf_dir, distinct=(cfg.store == "set"))
-    for bid, part in enumerate(_halves(tweets)):
-        rows = batch.timeline_rows(part, edges, cfg)
+    for bid in (0, 1):
+        rows = batch.timeline_rows(_half_tweets(spark, sf_dir, cfg, bid), edges, cfg)
         for t in tables:
             store.write_batch(t, rows[t], bid)
     return store
@@ -279,7 +294,7 @@ def q_sink_feedslists(spark, sf_dir):
     """W5 + T1 + T4 (denormalized inbox)."""
     cfg = CFG.with_(layout="denorm")
     s = _stored(spark, sf_dir, cfg, ("feedslists",))
-    return s.read("feedslists", cfg, cfg.as_of).select("uid", "time", "tid", _text(), "expire_at")
+    return s.read("feedslists", cfg, cfg.as_of).select("uid", "time", "tid", _text_md5(), "expire_at")
 
 
 def _csv(col):
@@ -319,13 +334,15 @@ def q_upsert_uid_time(spark, sf_dir):
 
 @query("upsert_tid")
 def q_upsert_tid(spark, sf_dir):
-    """The tweets delivered twice (second delivery an hour later); the
+    """The tweets delivered twice (an hour later with an added field); the
     later write wins, one row per tid."""
     t = _tweets(spark, sf_dir).select("tid", "tweet", "time")
     first = T.with_expiry(t, CFG)
-    again = T.with_expiry(t.withColumn("time", F.col("time") + F.expr("INTERVAL 1 HOUR")), CFG)
+    edited = F.regexp_replace("tweet", "}$", ',"edited":1}')
+    again = T.with_expiry(t.withColumn("time", F.col("time") + F.expr("INTERVAL 1 HOUR"))
+                          .withColumn("tweet", edited), CFG)
     res = T.upsert_tid(first.unionByName(again).drop("time"))
-    return res.select("tid", _text(), "ingest_ts")
+    return res.select("tid", _text(), F.get_json_object("tweet", "$.edited").cast("int").alias("edited"), "ingest_ts")
 
 
 @query("ttl_visible")
@@ -338,15 +355,29 @@ def q_ttl_visible(spark, sf_dir):
 
 @query("compact_store")
 def q_compact_store(spark, sf_dir):
-    """Two deliveries, compaction at as_of (expired rows dropped), then the
-    second delivery replayed: the reader sees each key once, unexpired."""
+    """Two deliveries, compaction at as_of twice (the second without new
+    batches), the second delivery replayed, another compaction, and old folders
+    reclaimed: the reader sees each key once, unexpired."""
     s = _stored(spark, sf_dir, CFG, ("inboxes",))
     s.compact("inboxes", CFG, CFG.as_of)
-    late = _halves(_tweets(spark, sf_dir))[1]
+    s.compact("inboxes", CFG, CFG.as_of)
+    late = _half_tweets(spark, sf_dir, CFG, 1)
     s.write_batch("inboxes", batch.timeline_rows(late, fixtures.edges(spark, sf_dir), CFG)["inboxes"], 2)
+    s.compact("inboxes", CFG, CFG.as_of)
+    s.reclaim("inboxes")
     return s.read("inboxes", CFG, CFG.as_of).select("uid", "time", "tid", "expire_at")
 
 
+@query("user_page")
+def q_user_page(spark, sf_dir):
+    """R1 + T3: one request - the listener's newest 20 - read from the one uid
+    bucket of the compacted store that holds the user."""
+    s = _stored(spark, sf_dir, CFG, ("inboxes",))
+    s.compact("inboxes", CFG, CFG.as_of)
+    page = R.user_page(s.read("inboxes", CFG, CFG.as_of, uid=CFG.listener), CFG.listener, FEED_READ_SIZE)
+    return page.select("uid", "time", "tid")
+
+
 # ---------------------------------------------------------------------------
 # 2.5 Timeline reads
 # ---------------------------------------------------------------------------
@@ -370,8 +401,9 @@ def q_profile_timeline(spark, sf_dir):
 def q_paged_timeline(spark, sf_dir):
     """Home timelines with a different page request per user."""
     rows = _stored_rows(spark, sf_dir)
-    return tl.home_timeline(rows["inboxes"], rows["tweets"],
+    home = tl.home_timeline(rows["inboxes"], rows["tweets"],
                             fixtures.usernames(spark, sf_dir), fixtures.paged_requests(spark, sf_dir), CFG)
+    return home.withColumn("text", F.md5(F.col("text").cast("binary"))).withColumnRenamed("text", "text_md5")
 
 
 @query("timeline_state")
@@ -399,7 +431,7 @@ def q_homepage_topn(spark, sf_dir):
 def q_feed_topn_denorm(spark, sf_dir):
     """Newest 20 payloads per user from the denormalized feed."""
     f = _tables(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
-    return tl.feed_topn_denorm(f).select("uid", "rn", "time", "tid", _text())
+    return tl.feed_topn_denorm(f).select("uid", "rn", "time", "tid", _text_md5())
 
 
 @query("feed_topn_norm")
@@ -407,7 +439,7 @@ def q_feed_topn_norm(spark, sf_dir):
     """Newest 20 ids per user, then tweets by id set."""
     rows, t = _stored_and_resolved(spark, sf_dir)
     stored = rows["tweets"]
-    return tl.feed_topn_norm(t["inboxes"], stored, as_of=CFG.as_of).select("uid", "rn", "time", "tid", _text())
+    return tl.feed_topn_norm(t["inboxes"], stored, as_of=CFG.as_of).select("uid", "rn", "time", "tid", _text_md5())
 
 
 @query("followers_of")
@@ -422,7 +454,7 @@ def q_timeline_resolve(spark, sf_dir):
     """Inbox ids resolved to stored tweets (inner: missing ones vanish)."""
     t = _tables(spark, sf_dir)
     return R.resolve_tweets(t["inboxes"].select("uid", "time", "tid"), t["tweets"]).select(
-        "uid", "time", "tid", _text())
+        "uid", "time", "tid", _text_md5())
 
 
 @query("tweets_in_set")
@@ -504,15 +536,28 @@ def q_layout_equivalence(spark, sf_dir):
     return tl.layout_equivalence(n["inboxes"], n["tweets"], d["feedslists"])
 
 
+@query("layout_equivalence_sample")
+def q_layout_equivalence_sample(spark, sf_dir):
+    """B1 + B2: the same audit for a deterministic sample of 40 requested users."""
+    n = _tables(spark, sf_dir)
+    d = _tables(spark, sf_dir, CFG.with_(layout="denorm"))
+    some = tl.sample_users(fixtures.requests(spark, sf_dir), 40)
+    out = tl.layout_equivalence(n["inboxes"], n["tweets"], d["feedslists"], users=some)
+    return out.agg(F.count(F.lit(1)).alias("n_users"), *[
+        F.sum(c).cast("bigint").alias(c) for c in ("n_only_norm", "n_only_denorm")])
+
+
 # ---------------------------------------------------------------------------
 # 2.8 Streaming
 # ---------------------------------------------------------------------------
-def _edges_table(spark, sf_dir, root, df=None):
-    """Publish the delivery table (sets + listener) under ``root``; the
-    stream re-reads it each batch and runs with listener=None."""
+def _edges_table(spark, sf_dir, root, df=None, store="set"):
+    """Publish the delivery table (sets + listener, or the list store's edges) under
+    ``root``; the stream re-reads it each batch and runs with listener=None."""
     path = f"{root}/delivery"
-    src = df if df is not None else J.delivery_edges(fixtures.edges(spark, sf_dir), CFG)
-    src.write.mode("append").parquet(path)
+    if df is not None:
+        df.write.mode("append").parquet(path)
+    else:
+        J.publish_delivery(fixtures.edges(spark, sf_dir, distinct=(store == "set")), CFG.with_(store=store), path)
     return lambda: spark.read.parquet(path)
 
 
@@ -522,25 +567,61 @@ STREAM_CFG = CFG.with_(listener=None)   # listener rows live in the delivery tab
 @query("stream_fanout")
 def q_stream_fanout(spark, sf_dir):
     """ST1/ST2/ST4: the feed streamed in two deliveries (at most 8 files per
-    trigger) through foreachBatch into all norm sinks; the inbox after it
+    trigger) through foreachBatch into all norm sinks; all three tables after it
     drained (the end state does not depend on how files fall into batches)."""
     root = scratch_path(spark, "stream-fanout")
     _publish_both_deliveries(spark, sf_dir, root)
     store = TimelineStore(spark, f"{root}/store")
     loader = _edges_table(spark, sf_dir, root)
     ST.run_available(_feed_source(spark, root, max_files=8), store, loader, f"{root}/ckpt", STREAM_CFG)
-    return store.read("inboxes", CFG, CFG.as_of).select("uid", "time", "tid", "expire_at")
+    out = None
+    for name in ("tweets", "homepages", "inboxes"):
+        t = store.read(name, CFG, CFG.as_of)
+        own = [F.col(c) if c in t.columns else F.lit(None).cast(k).alias(c)
+               for c, k in (("uid", "bigint"), ("time", "timestamp_ntz"))]
+        md5 = _text_md5() if "tweet" in t.columns else F.lit(None).cast("string").alias("text_md5")
+        part = t.select(F.lit(name).alias("table"), *own, "tid", md5, "expire_at")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _streamed_feed(spark, sf_dir, layout, store):
+    """End state of the receiving table of a streamed variant."""
+    root = scratch_path(spark, f"stream-{layout}-{store}")
+    _publish_both_deliveries(spark, sf_dir, root)
+    target = TimelineStore(spark, f"{root}/store")
+    loader = _edges_table(spark, sf_dir, root, store=store)
+    cfg = STREAM_CFG.with_(layout=layout, store=store)
+    ST.run_available(_feed_source(spark, root, max_files=8), target, loader, f"{root}/ckpt", cfg)
+    return target, cfg
+
+
+@query("stream_denorm")
+def q_stream_denorm(spark, sf_dir):
+    """ST5: the denormalized layout streamed; own tweets of every author."""
+    s, cfg = _streamed_feed(spark, sf_dir, "denorm", "set")
+    return s.read("historytweets", cfg, cfg.as_of).select("uid", "time", "tid", _text_md5(), "expire_at")
+
+
+@query("stream_list_store")
+def q_stream_list_store(spark, sf_dir):
+    """ST5: the list store streamed (duplicates, no listener); inbox rows by user."""
+    s, cfg = _streamed_feed(spark, sf_dir, "norm", "list")
+    rows = s.read("inboxes", cfg, cfg.as_of)
+    return rows.groupBy("uid").agg(F.count(F.lit(1)).alias("n_rows"), F.max("tid").alias("max_tid"))
 
 
 @query("stream_replay")
 def q_stream_replay(spark, sf_dir):
-    """ST6: the same input delivered twice ends in the same tables."""
+    """ST6: the same input delivered twice, the second time with an added field,
+    ends in the same inbox."""
     root = scratch_path(spark, "stream-replay")
     _publish_feed(spark, sf_dir, root, "all", "first")
     store = TimelineStore(spark, f"{root}/store")
     loader = _edges_table(spark, sf_dir, root)
     ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", STREAM_CFG)
-    _publish_feed(spark, sf_dir, root, "all", "again")   # every record redelivered
+    again = fixtures.raw_tweets(spark, sf_dir)             # every record redelivered
+    ingest.publish_text(again.select(F.regexp_replace("value", "}$", ',"edited":1}').alias("value")), f"{root}/feed/again")
     ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", STREAM_CFG)
     # full history, expired rows included
     return store.read("inboxes", CFG, None).select("uid", "time", "tid", "expire_at")

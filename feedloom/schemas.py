@@ -1,4 +1,4 @@
-"""Fixed schemas: enforced on read, never inferred."""
+"""Fixed schemas of the raw record and of the stores."""
 
 from pyspark.sql import types as T
 
@@ -24,30 +24,11 @@ TWEET = T.StructType([
     ])),
 ])
 
-# Ingest parse: same fields plus the corrupt-record column.
-TWEET_WITH_CORRUPT = T.StructType(TWEET.fields + [T.StructField(CORRUPT_COL, T.StringType())])
-
-RAW = T.StructType([T.StructField("value", T.StringType())])
-
-EDGES = T.StructType([
-    T.StructField("uid", T.LongType()),
-    T.StructField("follower", T.LongType()),
-])
-
-USERNAMES = T.StructType([
-    T.StructField("uid", T.LongType()),
-    T.StructField("uname", T.StringType()),
-])
-
-REQUESTS = T.StructType([
-    T.StructField("uid", T.LongType()),
-    T.StructField("n", T.IntegerType()),
-])
-
-DEAD_LETTER = T.StructType([
-    T.StructField("value", T.StringType()),
-    T.StructField("reason", T.StringType()),
-])
+# Ingest parse: top-level fields as text, so that one odd optional field cannot
+# spoil the record; user and entities are parsed from their own text.
+TWEET_TEXTS = T.StructType([T.StructField(f.name, T.StringType()) for f in TWEET.fields]
+                           + [T.StructField(CORRUPT_COL, T.StringType())])
+ENTITIES = TWEET["entities"].dataType
 
 # Stored table layouts (key columns first); every stored row also carries
 # ingest_ts, expire_at and batch_id.

@@ -5,17 +5,18 @@ from the base columns:
 
 * raw tweet  - one JSON string per event: id_str = event_id; created_at = ts
   (UTC, to the second) rendered "EEE MMM dd HH:mm:ss +0000 yyyy"; lang and
-  text (first 140 chars) from documents where doc_id = event_id mod (number of
-  documents); user.id_str = user_id + 100000 * (event_id mod 7), so folding by
+  whole text from documents where doc_id = event_id mod (number of documents);
+  retweet_count = event_id mod 100 (no operator reads it); user.id_str = user_id + 100000 * (event_id mod 7), so folding by
   n = 100000 gives user_id back; user.name = c_name of c_custkey = user_id
   (absent when none); user.screen_name = 'u' || user_id; hashtags by
   event_id mod 3: 0 none, 1 [event_type], 2 [event_type, 'k' || props.k].
-* edges      - (uid = l_suppkey, follower = o_custkey) from lineitem x orders
-  where o_orderpriority = '1-URGENT' and l_returnflag = 'R'; distinct for the
-  set store, as joined (duplicates kept) for the list store.
-* usernames  - (c_custkey, c_name) for even c_custkey only.
-* requests   - every c_custkey with n = 0 (home timeline), or with a mix of
-  page requests for the paged read.
+* edges      - (uid = l_suppkey, follower = o_custkey) of every line item and its
+  order; distinct for the set store, as joined (duplicates kept) for the list
+  store.
+* users      - every c_custkey.
+* usernames  - (s_suppkey, s_name): suppliers have names, other users do not.
+* requests   - the users who caused an event, with n = 0 (home timeline), or with
+  a mix of page requests for the paged read.
 """
 
 from __future__ import annotations
@@ -24,15 +25,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.config import TWITTER_TIME_FORMAT
-from feedloom.sources.tables import read_table, spread
+from feedloom.sources.tables import read_table
 
 # Fixed values of the fixture rules.
 USER_ID_SPREAD = 100_000      # user.id_str = user_id + USER_ID_SPREAD * (event_id mod 7)
 USER_ID_COPIES = 7
-TEXT_CHARS = 140
-EDGE_PRIORITY = "1-URGENT"
-EDGE_RETURNFLAG = "R"
-PAGE_REQUESTS = (0, 45, 49, 50, 60)   # n by c_custkey mod 5 for the paged read
+RETWEET_COUNTS = 100
+ODD_ENTITIES = ('"none"', '[1,2]', '{"hashtags":"x"}', '{"hashtags":["x","y"]}')
+PAGE_REQUESTS = (0, 45, 49, 50, 60)   # n by uid mod 5 for the paged read
 
 
 def _created_at(ts: Column) -> Column:
@@ -50,14 +50,12 @@ def _hashtags(event_id: Column, event_type: Column, props: Column) -> Column:
 
 def tweet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events joined to their document and author name (one row per event)."""
-    events = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props"))
+    events = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
     docs_scan = read_table(spark, sf_dir, "documents", "doc_id", "lang", "text")
     n_docs = docs_scan.select(F.count(F.lit(1))).scalar()   # scalar subquery, no cross join
-    # cut the text before anything moves: only 140 chars per document travel
-    docs = spread(docs_scan.select("doc_id", "lang", F.left(F.col("text"), F.lit(TEXT_CHARS)).alias("text")))
     names = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
     ev = events.withColumn("doc_key", F.col("event_id") % n_docs)
-    return (ev.join(docs, ev.doc_key == docs.doc_id, "inner")
+    return (ev.join(docs_scan, ev.doc_key == docs_scan.doc_id, "inner")
               .join(names, ev.user_id == names.c_custkey, "left")
               .select("event_id", "ts", "user_id", "event_type", "props", "lang", "text", "c_name"))
 
@@ -77,12 +75,14 @@ def raw_tweets(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -> DataF
                  F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("screen_name")).alias("user"),
         F.struct(_hashtags(F.col("event_id"), F.col("event_type"), F.col("props")).alias("hashtags"))
          .alias("entities"),
+        (F.col("event_id") % RETWEET_COUNTS).alias("retweet_count"),
     )
     return t.select(F.to_json(tweet).alias("value"), *(["ts"] if keep_ts else []))
 
 
 def dirty_raw_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw feed plus one damaged copy of every record (for the dead-letter path).
+    """The raw feed, one damaged copy of every record, and one with odd optional
+    fields (entities as text, a list, tags as text or plain strings), which is valid.
 
     The damage kind is chosen by event_id mod 6: 0 cut JSON, 1 delete notice,
     2 no user, 3 non-numeric id_str, 4 unparsable created_at, 5 non-numeric
@@ -106,28 +106,29 @@ def dirty_raw_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .otherwise(F.to_json(F.col("j").withField(
                               "user.id_str", F.lit("anonymous"))))
                         .alias("value")))
-    return raw.unionByName(damaged)
+    odd = raw.select(F.concat(F.regexp_extract("value", r'(?s)^(.*),"entities":', 1), F.lit(',"entities":'),
+                              F.element_at(F.array(*[F.lit(x) for x in ODD_ENTITIES]),
+                                           (F.pmod(eid.cast("bigint"), F.lit(len(ODD_ENTITIES))) + 1).cast("int")),
+                              F.lit("}")).alias("value"))
+    return raw.unionByName(damaged).unionByName(odd)
+
+
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey")
+    od = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    return li.join(od, li.l_orderkey == od.o_orderkey, "inner")
 
 
 def edges(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
     """Follower edges (uid follows-by follower): distinct pairs, or as joined."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_returnflag") \
-        .filter(F.col("l_returnflag") == EDGE_RETURNFLAG)
-    od = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority") \
-        .filter(F.col("o_orderpriority") == EDGE_PRIORITY)
-    e = li.join(od, li.l_orderkey == od.o_orderkey, "inner") \
-        .select(F.col("l_suppkey").alias("uid"), F.col("o_custkey").alias("follower"))
+    e = _order_lines(spark, sf_dir).select(F.col("l_suppkey").alias("uid"), F.col("o_custkey").alias("follower"))
     return e.distinct() if distinct else e
 
 
 def dated_edges(spark: SparkSession, sf_dir: str, order_cond) -> DataFrame:
     """Distinct edges of the orders matching ``order_cond`` (follows made in a period)."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_returnflag") \
-        .filter(F.col("l_returnflag") == EDGE_RETURNFLAG)
-    od = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate") \
-        .filter((F.col("o_orderpriority") == EDGE_PRIORITY) & order_cond)
-    return li.join(od, li.l_orderkey == od.o_orderkey, "inner") \
-        .select(F.col("l_suppkey").alias("uid"), F.col("o_custkey").alias("follower")).distinct()
+    return (_order_lines(spark, sf_dir).filter(order_cond)
+            .select(F.col("l_suppkey").alias("uid"), F.col("o_custkey").alias("follower")).distinct())
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,19 +136,19 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def usernames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
-    return c.filter(F.col("c_custkey") % 2 == 0).select(
-        F.col("c_custkey").alias("uid"), F.col("c_name").alias("uname"))
+    """(uid, uname) of the users who have a name: the suppliers."""
+    return read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name").select(
+        F.col("s_suppkey").alias("uid"), F.col("s_name").alias("uname"))
 
 
 def requests(spark: SparkSession, sf_dir: str, n: int = 0) -> DataFrame:
-    """(uid, n): every user asks for the default page (n rows requested)."""
-    return users(spark, sf_dir).select("uid", F.lit(n).cast("int").alias("n"))
+    """(uid, n): every user who caused an event asks for the default page (n rows requested)."""
+    seen = read_table(spark, sf_dir, "events", "user_id").select(F.col("user_id").alias("uid")).distinct()
+    return seen.select("uid", F.lit(n).cast("int").alias("n"))
 
 
 def paged_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(uid, n) with n taken from PAGE_REQUESTS by uid mod 5 (different per user)."""
-    u = users(spark, sf_dir)
     pick = F.element_at(F.array(*[F.lit(v) for v in PAGE_REQUESTS]),
                         (F.pmod(F.col("uid"), F.lit(len(PAGE_REQUESTS))) + 1).cast("int"))
-    return u.select("uid", pick.cast("int").alias("n"))
+    return requests(spark, sf_dir).select("uid", pick.cast("int").alias("n"))

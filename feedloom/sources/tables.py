@@ -4,34 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One resolved scan per (session, path): like a registered table, it keeps the
-# file listing and footer schema instead of re-reading them for every query.
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-_SPLITS: dict[tuple[int, int], int] = {}   # split count per (session, scan plan)
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _SCANS[key] = spark.read.parquet(path)
+    """A scan that lists its files anew, so files added to a table are seen."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
-
-
-def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has task
-    slots (e.g. one file with one row group) before heavy per-row work.
-
-    A scan that already has enough splits - any large input - is returned
-    unchanged, so no shuffle is added at scale.  Counting the splits of a
-    plain scan plans it but runs no job."""
-    try:
-        target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-        key = (id(scan.sparkSession), scan.semanticHash())
-        splits = _SPLITS.get(key)
-        if splits is None:
-            splits = _SPLITS[key] = scan.rdd.getNumPartitions()
-    except Exception:   # no RDD view (e.g. a Connect session): leave the scan alone
-        return scan
-    return scan if splits >= target else scan.repartition(target)

@@ -7,26 +7,38 @@ def _edges(spark, pairs):
     return spark.createDataFrame(pairs, "uid bigint, follower bigint")
 
 
+def whole(rows, col):
+    """uid -> its ids, over all of its chunks."""
+    out = {}
+    for r in rows.collect():
+        out.setdefault(r["uid"], []).extend(r[col])
+    return {u: sorted(v) for u, v in out.items()}
+
+
 def test_follower_and_following_sets(spark):
     e = _edges(spark, [(1, 2), (1, 3), (1, 1), (2, 3), (1, 2)])
     users = spark.createDataFrame([(u,) for u in range(5)], "uid bigint")
-    fl = {r["uid"]: r["followerslist"] for r in G.followers_lists(e).collect()}
+    fl = whole(G.followers_lists(e), "followerslist")
     assert fl == {1: [2, 3], 2: [3]}                                   # set, self excluded
-    fo = {r["uid"]: r["followinglist"] for r in G.following_lists(e, users).collect()}
+    fo = whole(G.following_lists(e, users), "followinglist")
     assert fo == {0: [], 1: [], 2: [1], 3: [1, 2], 4: []}
     # inverting twice gives the follower sets back
     inv = G.following_lists(e, users).select("uid", F.explode("followinglist").alias("followee"))
     back = inv.select(F.col("followee").alias("uid"), F.col("uid").alias("follower"))
-    assert {r["uid"]: r["followerslist"] for r in G.followers_lists(back).collect()} == fl
+    assert whole(G.followers_lists(back), "followerslist") == fl
     fc = {r["uid"]: r["n_following"] for r in G.following_counts(e, users).collect()}
     assert fc == {0: 0, 1: 0, 2: 1, 3: 2, 4: 0}
     assert tuple(G.graph_totals(e).first()) == (3, 2, 2)
 
 
 def test_chunked_sets_bound_group_size(spark):
-    e = _edges(spark, [(1000, f) for f in range(1, 101)])
-    chunks = G.followers_lists(e, chunk_rows=10).collect()
-    assert len(chunks) == 10 and max(len(r["followerslist"]) for r in chunks) <= 20
+    e = _edges(spark, [(7777, f) for f in range(1, 101)])
+    # ids with one residue do not meet in one chunk
+    chunks = G.followers_lists(e.withColumn("follower", F.col("follower") * 10), chunks=10).collect()
+    assert len(chunks) == 10 and max(len(r["followerslist"]) for r in chunks) <= 25
+    assert [10 * x for x in range(1, 101)] == sorted(x for r in chunks for x in r["followerslist"])
+    chunks = G.followers_lists(e, chunks=3).collect()
+    assert len(chunks) == 3
     assert sorted(x for r in chunks for x in r["followerslist"]) == list(range(1, 101))
 
 

@@ -84,3 +84,49 @@ def test_language_filter(spark):
             tweet_json(2, 1, "Mon Jan 01 00:00:07 +0000 2024", lang="fr")]
     assert [r["tid"] for r in P.ingest(raw_df(spark, vals), CFG).collect()] == [1]
     assert P.ingest(raw_df(spark, vals), CFG.with_(language=None)).count() == 2
+
+
+def test_odd_optional_fields_do_not_reject(spark):
+    head = '{"id_str":"%d","created_at":"Mon Jan 01 00:00:07 +0000 2024","user":{"id_str":"1"},"entities":'
+    odd = [head % i + x + "}" for i, x in enumerate(
+        ['"none"', "[1,2]", '{"hashtags":"x"}', '{"hashtags":["x","y"]}', "null", "7"])]
+    got = _parse(spark, odd)
+    for v in odd:
+        assert got[v]["reason"] is None and not [t for t in got[v]["hashtags"] or [] if t], v
+    bad = [(head % 9).replace('{"id_str":"1"}', u) + "{}}" for u in ('"bob"', "[1]", "5")]
+    assert {r["reason"] for r in _parse(spark, bad).values()} == {"missing_user"}
+
+
+def test_overlap_hour_in_a_session_zone_with_summer_time(spark):
+    a = tweet_json(13, 1, "Sun Nov 03 06:30:00 +0000 2024")
+    b = tweet_json(14, 1, "Sun Nov 03 01:30:00 -0400 2024")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r["tid"]: r["time"] for r in P.parse_raw(raw_df(spark, [a, b]), CFG).select("tid", "time").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {13: dt.datetime(2024, 11, 3, 6, 30), 14: dt.datetime(2024, 11, 3, 5, 30)}
+
+
+def test_weekday_is_checked(spark):
+    times = {"XYZ Jan 16 10:00:00 +0000 2024": "bad_created_at", "0000Jan 16 10:00:00 +0000 2024": "bad_created_at",
+             "Jan 16 10:00:00 +0000 2024": "bad_created_at", "Tue Jan 16 10:00:00 +0000 2024": None,
+             "Tuesday Jan 16 10:00:00 +0000 2024": None}
+    got = _parse(spark, [tweet_json(i, 1, t) for i, t in enumerate(times)])
+    assert {r["created_at"]: r["reason"] for r in got.values()} == times
+
+
+def test_unread_fields_survive_publishing(spark):
+    from feedloom.session import scratch_path
+    from feedloom.sources import ingest
+    value = tweet_json(15, 1, "Mon Jan 01 00:00:07 +0000 2024")[:-1] + ', "retweet_count": 7}'
+    path = scratch_path(spark, "t-raw")
+    ingest.publish_text(raw_df(spark, [value]), path)
+    assert [r[0] for r in ingest.read_text(spark, path).collect()] == [value]
+
+
+def test_topic_options():
+    from feedloom.sources.ingest import topic_options
+    assert topic_options("h:1", "a,b", max_offsets_per_trigger=5) == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "a,b", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "5"}

@@ -150,3 +150,78 @@ def test_repeated_compaction_uses_newest_snapshot(spark):
     assert store.raw("inboxes").count() == 10 + 5        # snapshot upto=1 + batch 2
     times = sorted(r["time"] for r in store.read("inboxes", CFG, CFG.as_of).collect())
     assert len(times) == 15 and times[0] == T0 + dt.timedelta(minutes=1)
+
+
+STAMPED = "uid bigint, time timestamp_ntz, tid bigint, ingest_ts timestamp_ntz, expire_at timestamp_ntz"
+
+
+def _day(d):
+    return dt.datetime(2024, 1, d)
+
+
+def test_expired_write_neither_hides_nor_outlives_another(spark):
+    # write-time stamps: tid 9 expires on the 17th, tid 3 on the 25th
+    rows = [(1, _day(10), 9, _day(10), _day(17)), (1, _day(10), 3, _day(18), _day(25))]
+    direct, between = TimelineStore(spark), TimelineStore(spark)
+    for s in (direct, between):
+        for b, r in enumerate(rows):
+            s.write_batch("inboxes", spark.createDataFrame([r], STAMPED), b)
+    assert between.compact("inboxes", CFG, "2024-01-19 00:00:00") == 1
+    for s in (direct, between):
+        got = [tuple(r) for r in s.read("inboxes", CFG, "2024-01-20 00:00:00").select("tid", "expire_at").collect()]
+        assert got == [(3, _day(25))]
+    early = direct.read("inboxes", CFG, "2024-01-16 00:00:00").select("tid", "ingest_ts", "expire_at").collect()
+    assert [tuple(r) for r in early] == [(9, _day(10), _day(17))]       # all columns from the winning row
+
+
+def test_one_tid_with_two_payloads(spark):
+    rows = [(1, _day(10), 5, "old", _day(10), _day(17)), (1, _day(10), 5, "new", _day(11), _day(18))]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "uid bigint, time timestamp_ntz, tid bigint, tweet string, "
+                                          "ingest_ts timestamp_ntz, expire_at timestamp_ntz").coalesce(1)
+        got = T.resolve("feedslists", df, CFG, None).first()
+        assert (got["tweet"], got["ingest_ts"], got["expire_at"]) == ("new", _day(11), _day(18))
+
+
+def test_second_compaction_without_new_batches(spark):
+    e = spark.createDataFrame([(10, u) for u in range(40)], "uid bigint, follower bigint")
+    for aqe in ("true", "false"):
+        old = spark.conf.get("spark.sql.adaptive.enabled")
+        try:
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            store = TimelineStore(spark)
+            store.write_batch("inboxes", timeline_rows(_feed(spark, 5), e, CFG)["inboxes"], 0)
+            reader = store.read("inboxes", CFG, CFG.as_of)
+            for _ in range(3):
+                assert store.compact("inboxes", CFG, CFG.as_of) == 0
+            assert store.read("inboxes", CFG, CFG.as_of).count() == reader.count() == 200
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_reclaim_spares_current_readers(spark):
+    e = spark.createDataFrame([(10, 1), (10, 2)], "uid bigint, follower bigint")
+    store = TimelineStore(spark)
+    for b in range(3):
+        store.write_batch("inboxes", timeline_rows(_feed(spark, 5, start=T0 + dt.timedelta(hours=b)), e, CFG)["inboxes"], b)
+        assert b or store.reclaim("inboxes") == []
+        store.compact("inboxes", CFG, CFG.as_of)
+        if b == 1:
+            reader = store.read("inboxes", CFG, CFG.as_of)       # holds the second snapshot
+    gone = store.reclaim("inboxes")
+    assert sorted(g.rsplit("/", 1)[1][:9] for g in gone)[:2] == ["batch_id=", "batch_id="] and len(gone) == 3
+    assert reader.count() == 20 and store.read("inboxes", CFG, CFG.as_of).count() == 30
+    assert store.reclaim("inboxes") == []
+
+
+def test_compacted_read_opens_one_bucket(spark):
+    e = spark.createDataFrame([(10, u) for u in range(300)], "uid bigint, follower bigint")
+    store = TimelineStore(spark)
+    store.write_batch("inboxes", timeline_rows(_feed(spark, 4), e, CFG)["inboxes"], 0)
+    store.compact("inboxes", CFG, CFG.as_of)
+    page = R.user_page(store.read("inboxes", CFG, CFG.as_of, uid=7), 7, 3)
+    assert [r["tid"] for r in page.collect()] == [4, 3, 2]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.split("\n") if "FileScan" in line and "uid_bucket" in line)
+    assert "uid_bucket" in scan.split("PartitionFilters")[1].split("]")[0]
+    assert "EqualTo(uid,7)" in scan and "GreaterThan(expire_at" in scan
