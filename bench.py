@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_RUNS (timed runs per query after one warm-up, default 3),
+     BENCH_RUNS (timed runs per query after one warm-up, default 1),
      BENCH_QUERIES (comma list to run a subset).
 Each run executes the whole plan into the no-op sink (nothing is collected
 to the driver); the reported time per query is the median of the runs.
@@ -26,7 +26,7 @@ HEADLINE = ["fanout_norm", "fanout_denorm", "sink_inboxes", "home_timeline",
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
 
     from feedloom.plans.registry import QUERIES

@@ -65,8 +65,8 @@ def _delivery(spark, sf_dir, cfg=CFG):
 
 
 def _payload(col="tweet"):
-    return (F.get_json_object(F.col(col), "$.id_str").try_cast("bigint").alias("payload_id"),
-            _text_md5(col))
+    j = F.from_json(F.col(col), "id_str string, text string")       # parsed once
+    return j["id_str"].try_cast("bigint").alias("payload_id"), F.md5(j["text"].cast("binary")).alias("text_md5")
 
 
 def _text(col="tweet"):
@@ -430,8 +430,8 @@ def q_homepage_topn(spark, sf_dir):
 @query("feed_topn_denorm")
 def q_feed_topn_denorm(spark, sf_dir):
     """Newest 20 payloads per user from the denormalized feed."""
-    f = _tables(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
-    return tl.feed_topn_denorm(f).select("uid", "rn", "time", "tid", _text_md5())
+    f = _stored_rows(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
+    return tl.feed_topn_denorm(f, as_of=CFG.as_of).select("uid", "rn", "time", "tid", _text_md5())
 
 
 @query("feed_topn_norm")
@@ -532,17 +532,17 @@ def q_audience_tiers(spark, sf_dir):
 def q_layout_equivalence(spark, sf_dir):
     """B1 re-aimed: both layouts serve the same newest-20 feed for every user."""
     n = _tables(spark, sf_dir)
-    d = _tables(spark, sf_dir, CFG.with_(layout="denorm"))
-    return tl.layout_equivalence(n["inboxes"], n["tweets"], d["feedslists"])
+    d = _stored_rows(spark, sf_dir, CFG.with_(layout="denorm"))
+    return tl.layout_equivalence(n["inboxes"], n["tweets"], d["feedslists"], as_of=CFG.as_of)
 
 
 @query("layout_equivalence_sample")
 def q_layout_equivalence_sample(spark, sf_dir):
     """B1 + B2: the same audit for a deterministic sample of 40 requested users."""
     n = _tables(spark, sf_dir)
-    d = _tables(spark, sf_dir, CFG.with_(layout="denorm"))
+    d = _stored_rows(spark, sf_dir, CFG.with_(layout="denorm"))
     some = tl.sample_users(fixtures.requests(spark, sf_dir), 40)
-    out = tl.layout_equivalence(n["inboxes"], n["tweets"], d["feedslists"], users=some)
+    out = tl.layout_equivalence(n["inboxes"], n["tweets"], d["feedslists"], users=some, as_of=CFG.as_of)
     return out.agg(F.count(F.lit(1)).alias("n_users"), *[
         F.sum(c).cast("bigint").alias(c) for c in ("n_only_norm", "n_only_denorm")])
 
