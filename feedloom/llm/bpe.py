@@ -31,9 +31,9 @@ from feedloom.llm.common import binary, cut, pack, slices, unpack
 from feedloom.llm.packing import encoder
 from feedloom.llm.pieces import code_point_classes, split
 
-BLOCK_BYTES = 24 << 20        # text behind one list of distinct words
-BUCKET_WORDS = 400_000        # words (counted once a block) of one bucket
-CHUNK = 1 << 20               # pre-tokens put together at a time
+BLOCK_BYTES = 16 << 20        # text behind one list of distinct words
+BUCKET_WORDS = 120_000        # words (counted once a block) of one bucket
+CHUNK = 1 << 18               # pre-tokens put together at a time
 
 
 def rank_file(path: str) -> dict[bytes, int]:

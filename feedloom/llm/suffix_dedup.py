@@ -58,7 +58,7 @@ COVERS = {7: (0, 1, 3), 21: (0, 1, 6, 8, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52),
           183: (0, 12, 19, 20, 22, 43, 60, 71, 76, 85, 89, 115, 121, 168)}
 BLOCK_BYTES = 4 << 20
 PIECE = 1 << 20                       # positions hashed at a time
-SAMPLE_BUCKET, TIE_BUCKET = 24 << 20, 24 << 20  # bytes of text behind one bucket
+SAMPLE_BUCKET, TIE_BUCKET = 16 << 20, 10 << 20  # bytes of text behind one bucket
 BUCKETED = 16 << 20                             # bytes of text in one bucket of the block table
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
@@ -278,7 +278,7 @@ def sample_ranks(table: DataFrame, length: int, n_buckets: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 data, off, role = _open(row)
-                inside = np.arange(len(data)) - np.repeat(off[:-1], np.diff(off))
+                inside = np.arange(len(data), dtype=np.int32) - np.repeat(off[:-1].astype(np.int32), np.diff(off))
                 where = np.flatnonzero(_starts(off, role, length - v + 1, length, len(data)) & residues[inside % v])
                 shown = np.repeat(role == EVIDENCE, np.diff(off))[where]
                 out = list(entries(row["block"], names.at(data, where), where, shown, n_buckets, 4))
