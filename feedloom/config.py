@@ -38,8 +38,8 @@ class FeedConfig:
     default_name: str = "unknown"     # username shown when the user has none
     profile_prefix: str = PROFILE_URL_PREFIX
     as_of: str = "2024-01-31 00:00:00"  # clock for expiry; always an argument
-    # Fan-out skew guard: an author whose follower count exceeds this many
-    # edges has its edge rows split over ceil(count / split) salted tasks.
+    # Fan-out skew guard: an author whose tweets times receivers exceed this many
+    # rows is split over so many tasks that each makes about this many.
     skew_split_rows: int = 2_000_000
     # Largest side (in estimated bytes) broadcast when its size is measured or
     # bounded (a cached micro-batch, the ids of the requested pages).

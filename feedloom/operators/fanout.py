@@ -51,23 +51,16 @@ def delivery_edges(edges: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFram
 
 
 def delivery_plan(edges: DataFrame, cfg: FeedConfig = FeedConfig()) -> tuple[DataFrame, DataFrame]:
-    """(delivery edges, hot authors) from one per-author aggregation.
+    """(delivery edges, receivers per author) from one per-author aggregation.
 
-    Hot authors (more than ``cfg.skew_split_rows`` receivers) come with the
-    number of salt values their edges are split over."""
+    The counts (uid, _n) tell the fan-out which authors to split."""
     if cfg.store == "list":
         e = list_store_edges(edges)
-        stats = author_stats(e, None)
-        followers = e
-        n = F.col("_n")
-    else:
-        e = edges.select("uid", "follower")
-        stats = author_stats(e, cfg.listener)
-        followers = with_listener(e, cfg.listener, stats)
-        n = F.col("_n") + (1 - F.col("_has")) if cfg.listener is not None else F.col("_n")
-    hot = stats.filter(n > cfg.skew_split_rows).select(
-        "uid", F.ceil(n / F.lit(cfg.skew_split_rows)).cast("int").alias("_n_salt"))
-    return followers, hot
+        return e, author_stats(e, None).select("uid", "_n")
+    e = edges.select("uid", "follower")
+    stats = author_stats(e, cfg.listener)
+    more = 1 - F.col("_has") if cfg.listener is not None else F.lit(0)
+    return with_listener(e, cfg.listener, stats), stats.select("uid", (F.col("_n") + more).alias("_n"))
 
 
 def publish_delivery(edges: DataFrame, cfg: FeedConfig, path: str) -> None:
@@ -125,7 +118,7 @@ def authors_without_followers(tweets: DataFrame, followers: DataFrame) -> DataFr
 
 
 def fanout(tweets: DataFrame, followers: DataFrame, cfg: FeedConfig = FeedConfig(),
-           carry: tuple[str, ...] = (), hot: DataFrame | None = None,
+           carry: tuple[str, ...] = (), counts: DataFrame | None = None,
            tweets_bytes: int | None = None) -> DataFrame:
     """J5/J6. One row per (follower, tweet): ``uid`` is the receiving user.
 
@@ -136,11 +129,13 @@ def fanout(tweets: DataFrame, followers: DataFrame, cfg: FeedConfig = FeedConfig
     micro-batch).  When it is within ``cfg.broadcast_bytes`` the tweets are
     broadcast and the edge table is only scanned - never shuffled - so a hot
     author's edges stay spread over the partitions they are read from.
-    Otherwise both sides shuffle on (uid, salt) with hot authors salted."""
+    Otherwise both sides shuffle on (uid, salts); authors whose tweets times
+    receivers exceed ``cfg.skew_split_rows`` are split on both sides."""
     t = tweets.select("uid", "time", "tid", *carry)
     if tweets_bytes is not None and tweets_bytes <= cfg.broadcast_bytes:
         joined = followers.select("uid", "follower").join(F.broadcast(t), "uid", "inner")
     else:
         joined = salted_join(t, followers.select("uid", "follower"), key="uid",
-                             spread_col="follower", split_rows=cfg.skew_split_rows, hot=hot)
+                             spread_col="follower", small_spread="tid", split_rows=cfg.skew_split_rows,
+                             big_counts=counts)
     return joined.select(F.col("follower").alias("uid"), "time", "tid", *carry)

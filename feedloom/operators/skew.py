@@ -1,16 +1,17 @@
-"""Skew-safe equi-join for the fan-out: salt hot keys instead of trusting
-one task to hold a hot author's whole follower list.
+"""Skew-safe equi-join for the fan-out: hot keys are split on both sides.
 
-A key is hot when its row count on the large side exceeds ``split_rows``.
-Its large-side rows are spread over ``ceil(count / split_rows)`` salt values
-(by a hash of a spreading column) and the matching small-side rows are
-replicated once per salt value.  Cold keys keep salt 0, so for them the join
-is the plain equi-join.
+A key's work is the product of its rows on the two sides.  Where that exceeds
+``split_rows``, the large side's rows are dealt over ``_se`` salt values (by a
+hash of a spreading column) and the other side's over ``_st``; each side is
+replicated over the other's salts, so every pair of rows still meets once, in a
+task that makes about ``split_rows`` rows.  An author with many followers, one
+with many tweets and one with both are all split.  Cold keys keep salt 0 on
+both sides, so for them the join is the plain equi-join.
 
 The hot-key table is broadcast.  Its size is bounded without looking at the
-data: every hot key owns more than ``split_rows`` rows, so there are at most
-``rows / split_rows`` hot keys (at split_rows = 2M: 500k keys, ~10 MB, for a
-trillion edges).
+data: every hot key makes more than ``split_rows`` output rows, so there are at
+most (output rows) / ``split_rows`` of them (at 2M: 500k keys, some 10 MB, for a
+trillion rows written).
 """
 
 from __future__ import annotations
@@ -19,29 +20,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(big: DataFrame, key: str, split_rows: int) -> DataFrame:
-    """(key, n_salt) for keys with more than ``split_rows`` rows (partial agg)."""
-    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
-    return counts.filter(F.col("_cnt") > split_rows).select(
-        key, F.ceil(F.col("_cnt") / F.lit(split_rows)).cast("int").alias("_n_salt"))
+def hot_keys(small: DataFrame, big_counts: DataFrame, key: str, split_rows: int) -> DataFrame:
+    """(key, _se, _st) of the keys whose product exceeds ``split_rows``.
 
+    big_counts: (key, _n), rows of the large side per key."""
+    t = small.groupBy(key).agg(F.count(F.lit(1)).alias("_t"))          # partial agg
+    n_, t_, split = F.col("_n"), F.col("_t"), F.lit(split_rows)
+    se = F.least(n_, F.ceil(n_ * t_ / split))
+    return (big_counts.select(key, "_n").join(t, key).filter(n_ * t_ > split)
+            .withColumn("_se", se.cast("int"))
+            .withColumn("_st", F.ceil(t_ * F.ceil(n_ / F.col("_se")) / split).cast("int"))
+            .select(key, "_se", "_st"))
 
-def salted_join(small: DataFrame, big: DataFrame, key: str, spread_col: str,
-                split_rows: int, hot: DataFrame | None = None) -> DataFrame:
+
+def salted_join(small: DataFrame, big: DataFrame, key: str, spread_col: str, small_spread: str,
+                split_rows: int, big_counts: DataFrame | None = None) -> DataFrame:
     """Inner join ``small`` to ``big`` on ``key`` with hot keys split.
 
     Output has the columns of both sides (``key`` once); no helper columns."""
-    if hot is None:
-        hot = hot_keys(big, key, split_rows)
-    hot = F.broadcast(hot)   # size bounded by rows(big) / split_rows, see module doc
-    big_s = (big.join(hot, key, "left")
-                .withColumn("_salt", F.when(F.col("_n_salt").isNull(), F.lit(0))
-                            .otherwise(F.pmod(F.xxhash64(F.col(spread_col)), F.col("_n_salt"))
-                                       .cast("int")))
-                .drop("_n_salt"))
-    small_s = (small.join(hot, key, "left")
-                    .withColumn("_salt", F.explode(
-                        F.when(F.col("_n_salt").isNull(), F.array(F.lit(0)))
-                         .otherwise(F.sequence(F.lit(0), F.col("_n_salt") - 1))))
-                    .drop("_n_salt"))
-    return small_s.join(big_s, [key, "_salt"], "inner").drop("_salt")
+    if big_counts is None:
+        big_counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(hot_keys(small, big_counts, key, split_rows))   # bounded, see module doc
+    own = lambda col, n: F.coalesce(F.pmod(F.xxhash64(F.col(col)), F.col(n)), F.lit(0)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n), F.lit(1)) - 1))
+    big_s = (big.join(hot, key, "left").withColumn("_e", own(spread_col, "_se")).withColumn("_s", every("_st"))
+             .drop("_se", "_st"))
+    small_s = (small.join(hot, key, "left").withColumn("_s", own(small_spread, "_st")).withColumn("_e", every("_se"))
+               .drop("_se", "_st"))
+    return small_s.join(big_s, [key, "_e", "_s"], "inner").drop("_e", "_s")

@@ -62,8 +62,8 @@ def timeline_rows(tweets: DataFrame, edges: DataFrame, cfg: FeedConfig = FeedCon
     meta = ("ingest_ts", "expire_at")
 
     def fan(carry):
-        followers, hot = delivery_plan(edges, cfg)
-        return fanout(t, followers, cfg, carry=carry, hot=hot, tweets_bytes=tweets_bytes)
+        followers, counts = delivery_plan(edges, cfg)
+        return fanout(t, followers, cfg, carry=carry, counts=counts, tweets_bytes=tweets_bytes)
 
     if cfg.layout == "norm":
         return LazyTables({

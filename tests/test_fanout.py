@@ -96,3 +96,24 @@ def test_list_store_round_trip(spark):
     tw = _tweets(spark, [(1, 10, T0)])
     rows = timeline_rows(tw, J.read_list_store(spark, path), FeedConfig(store="list"))["inboxes"]
     assert _rows(rows, "uid", "tid") == [(5, 1), (5, 1)]
+
+
+def test_author_with_many_tweets_is_split_too(spark):
+    # 400 tweets x 5 receivers, 3 x 200, 100 x 90: hot by product on either side or both
+    sizes = {10: (400, 5), 11: (3, 200), 12: (100, 90), 13: (2, 2)}
+    tid, tweets, edges = 0, [], []
+    for uid, (t, n) in sizes.items():
+        tweets += [(tid + i, uid, T0 + dt.timedelta(seconds=tid + i)) for i in range(t)]
+        tid += t
+        edges += [(uid, 1000 + f) for f in range(n)]
+    tw, e = _tweets(spark, tweets), _edges(spark, edges)
+    got = J.fanout(tw, e, FeedConfig(listener=None, skew_split_rows=50))
+    plain = tw.join(e, "uid").select(F.col("follower").alias("uid"), "time", "tid")
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    from feedloom.operators.skew import hot_keys
+    counts = e.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
+    hot = {r["uid"]: (r["_se"], r["_st"]) for r in hot_keys(tw, counts, "uid", 50).collect()}
+    assert set(hot) == {10, 11, 12}
+    for uid, (se, st) in hot.items():
+        t, n = sizes[uid]
+        assert (t / st) * (n / se) <= 2 * 50
