@@ -4,11 +4,9 @@ import io
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from feedloom.llm import ann, toxicity, warc
 from feedloom.session import scratch_path
-from tests.llm import brute
 
 # -- toxicity ---------------------------------------------------------------
 
