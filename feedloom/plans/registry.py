@@ -196,9 +196,10 @@ def q_fanout_norm(spark, sf_dir):
 
 @query("fanout_denorm")
 def q_fanout_denorm(spark, sf_dir):
-    """Fan-out carrying the raw payload."""
+    """Fan-out carrying the raw payload; per tweet, the payloads delivered and to whom."""
     f = batch.batch_tables(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
-    return f.select("uid", "time", "tid", *_payload())
+    return f.select("uid", "tid", *_payload()).groupBy("tid", "payload_id", "text_md5").agg(
+        F.count(F.lit(1)).alias("n_receivers"), F.sum("uid").alias("sum_uid"))
 
 
 @query("fanout_list_store")
