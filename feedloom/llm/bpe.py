@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from feedloom.llm.common import binary, cut, pack, slices, unpack
+from feedloom.llm.common import binary, cut_bucketed, pack, slices, unpack
 from feedloom.llm.packing import encoder
 from feedloom.llm.pieces import code_point_classes, split
 
@@ -51,9 +51,10 @@ def _join(words: list[bytes]) -> tuple[bytes, bytes]:
     return pack(np.frombuffer(b"".join(words), np.uint8)), pack(np.fromiter(map(len, words), np.uint32, len(words)))
 
 
-def blocks(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def blocks(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, int]:
     """(block, rows, pieces, low, high, words, word_size, n_words): a block's documents as
-    positions into its distinct words, the most frequent word first."""
+    positions into its distinct words, the most frequent word first; a table bucketed by block, and
+    its number of buckets."""
     others = [c for c in docs.columns if c != "text"]
     src = docs.select(F.struct(*others).alias("row"), "text")
     schema = (StructType().add("block", StringType()).add("rows", ArrayType(src.schema["row"].dataType))
@@ -98,7 +99,8 @@ def blocks(spark: SparkSession, docs: DataFrame) -> DataFrame:
         if rows:
             yield flush()
 
-    return cut(spark, src.mapInArrow(run, schema), "bpe-blocks")
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return cut_bucketed(spark, src.mapInArrow(run, schema), "block", -(-total // BLOCK_BYTES), "bpe-blocks")
 
 
 def word_ids(table: DataFrame, ranks: dict[bytes, int], n_buckets: int) -> DataFrame:
@@ -146,17 +148,49 @@ def spread(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
     return values[np.repeat(start - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)]
 
 
-def encode(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(row struct of the other columns, n_tokens, ids binary: little-endian unsigned 32-bit) per row."""
-    table = blocks(spark, docs)
+def token_table(ranks: dict[bytes, int]) -> tuple[bytes, bytes]:
+    """The token-byte table, packed: all tokens' bytes by id, and their sizes."""
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, i in ranks.items():
+        tokens[i] = token
+    return _join(tokens)
+
+
+class Decoder:
+    """Joins ids with the token-byte table."""
+
+    def __init__(self, blob: bytes, sizes: bytes):
+        self.data, self.size = unpack(blob, np.uint8), unpack(sizes, np.uint32).astype(np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def texts(self, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+        """Bytes of ids[cuts[i]:cuts[i + 1]] for all i."""
+        size = self.size[ids]
+        raw = spread(self.data, self.start[ids], size).tobytes()
+        at = np.concatenate([[0], np.cumsum(size)])[cuts].tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+
+def encode(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, int], decoded: bool = False) -> DataFrame:
+    """(row struct of the other columns, n_tokens, ids binary: little-endian unsigned 32-bit) per row.
+
+    With ``decoded`` there is one more column, the bytes that the ids decode to; they
+    are decoded where they were put together, which saves moving them to another task."""
+    table, ways = blocks(spark, docs)
     n_words = table.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     found = word_ids(table, ranks, max(1, -(-n_words // BUCKET_WORDS)))
-    back = found.groupBy("block").agg(F.collect_list(F.struct("code", "n_ids", "ids")).alias("found"))
-    joined = table.join(back, "block", "left").select("rows", "pieces", "low", "high", "n_words", "found")
+    # dealt out as the table is, so that neither moves again for the join
+    back = found.repartition(ways, "block").groupBy("block").agg(
+        F.collect_list(F.struct("code", "n_ids", "ids")).alias("found"))
+    joined = table.join(back.hint("merge"), "block", "left").select("rows", "pieces", "low", "high", "n_words", "found")
     schema = (StructType().add("row", table.schema["rows"].dataType.elementType)
               .add("n_tokens", LongType()).add("ids", BinaryType()))
+    if decoded:
+        schema = schema.add("decoded", BinaryType())
+    vocabulary = token_table(ranks) if decoded else None
 
     def run(batches):
+        decoder = Decoder(*vocabulary) if vocabulary else None
         for batch in batches:
             for k in range(len(batch)):
                 get = lambda c: batch.column(c)[k].as_py()  # noqa: B023, E731
@@ -177,11 +211,14 @@ def encode(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, int]) -> Dat
                     b = max(a + 1, int(np.searchsorted(end, before + CHUNK, side="right")))
                     own = code[before:int(end[b - 1])]
                     n = size[own]
-                    text = spread(ids, start[own], n).astype("<u4").tobytes()
+                    tokens = spread(ids, start[own], n)
+                    raw = tokens.astype("<u4").tobytes()
                     cuts = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[before], end[a:b]]) - before]
-                    yield pa.RecordBatch.from_arrays(
-                        [rows.slice(a, b - a), pa.array(np.diff(cuts)),
-                         pa.array([text[4 * x:4 * y] for x, y in zip(cuts, cuts[1:])], pa.binary())], names=["row", "n_tokens", "ids"])
+                    out = [rows.slice(a, b - a), pa.array(np.diff(cuts)),
+                           pa.array([raw[4 * x:4 * y] for x, y in zip(cuts, cuts[1:])], pa.binary())]
+                    if decoder:
+                        out.append(pa.array(decoder.texts(tokens, cuts), pa.binary()))
+                    yield pa.RecordBatch.from_arrays(out, names=schema.names)
                     a = b
 
     return joined.mapInArrow(run, schema)
@@ -191,21 +228,16 @@ def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``rows`` with the binary column ids replaced by decoded, the bytes of its tokens."""
     keep = [c for c in rows.columns if c != "ids"]
     schema = StructType([rows.schema[c] for c in keep]).add("decoded", BinaryType())
-    n = max(ranks.values(), default=-1) + 1
-    tokens = [b""] * n
-    for token, i in ranks.items():
-        tokens[i] = token
-    blob, sizes = _join(tokens)
+    vocabulary = token_table(ranks)
 
     def run(batches):
-        data, size = unpack(blob, np.uint8), unpack(sizes, np.uint32).astype(np.int64)
-        start = np.cumsum(size) - size
+        decoder = Decoder(*vocabulary)
         for batch in batches:
             for part, arr in slices(batch, binary(batch.column("ids"))):
                 out = []
                 for x in arr.to_pylist():
                     ids = np.frombuffer(x, "<u4").astype(np.int64)
-                    out.append(spread(data, start[ids], size[ids]).tobytes())
+                    out += decoder.texts(ids, np.array([0, len(ids)]))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(out, pa.binary())],
                                                  names=[*keep, "decoded"])
 

@@ -3,6 +3,7 @@ views of Arrow text columns, and a lookup join that survives hot keys."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,20 @@ def cut(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_bucketed(spark: SparkSession, df: DataFrame, key: str, ways: int, label: str) -> tuple[DataFrame, int]:
+    """Like ``cut``, as a table bucketed by ``key``, and its number of buckets: later joins
+    on the key move the other side only.
+
+    No fewer buckets than shuffle partitions, or joins would rather shuffle the table."""
+    ways = max(ways, *(int(spark.conf.get(k, None) or 1) for k in (
+        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")))
+    name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.bucketBy(ways, key).option("path", scratch_path(spark, label)).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")          # of the catalog; the files stay
+    return table, ways
+
+
 def pack(a: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
 

@@ -97,10 +97,10 @@ def op8_best_fit_packing(spark, sf_dir):
 @query
 def op4_byte_bpe(spark, sf_dir):
     ranks = q4.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    rows = q4.encode(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
-    rows = rows.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    return (q4.decode(rows, ranks)
-            .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
+    rows = q4.encode(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, decoded=True)
+    return rows.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
 
 
 @query

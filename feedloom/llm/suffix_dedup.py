@@ -50,8 +50,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from feedloom.llm.common import binary, cut, lookup, pack, per_row, slices, unpack, view
-from feedloom.session import scratch_path
+from feedloom.llm.common import binary, cut, cut_bucketed, lookup, pack, per_row, slices, unpack, view
 
 # fixed values: perfect difference sets, {period: residues}
 COVERS = {7: (0, 1, 3), 21: (0, 1, 6, 8, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52),
@@ -143,15 +142,7 @@ def blocks(spark: SparkSession, docs: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    # no fewer buckets than shuffle partitions, or joins would rather shuffle the table
-    ways = max(math.ceil(total / BUCKETED), *(int(spark.conf.get(k, None) or 1) for k in (
-        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")))
-    name = f"suffix_blocks_{uuid.uuid4().hex}"
-    (src.mapInArrow(run, schema).write.bucketBy(ways, "block")
-     .option("path", scratch_path(spark, "suffix-blocks")).saveAsTable(name))
-    table = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")          # of the catalog; the files stay
-    return table
+    return cut_bucketed(spark, src.mapInArrow(run, schema), "block", math.ceil(total / BUCKETED), "suffix-blocks")[0]
 
 
 def copies(spark: SparkSession, table: DataFrame, length: int) -> DataFrame:

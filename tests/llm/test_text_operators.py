@@ -197,6 +197,9 @@ def test_bpe_round_trip(spark, docs, none):
     cols = ("n_tokens", "same", "decoded")
     assert by_row([{**r.asDict(), "same": bytes(r["same"]), "decoded": bytes(r["decoded"])} for r in out], *cols) == by_row(want, *cols)
     assert bpe.decode(bpe.encode(spark, none, ranks), ranks).count() == 0
+    at_once = bpe.encode(spark, docs, ranks, decoded=True).select("row.doc_id", "decoded").collect()
+    assert by_row([{"doc_id": r["doc_id"], "d": bytes(r["decoded"])} for r in at_once], "d") == \
+        by_row([{"doc_id": d, "d": (t or "").encode()} for d, t in TEXTS], "d")
 
 
 def packed_rightly(rows, capacity):
