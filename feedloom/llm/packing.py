@@ -11,8 +11,13 @@ The packing is planned on the histogram of piece lengths, which has at most
   capacity that finds the configurations of largest price; each is taken with a
   step of ``STEP`` of what its scarcest length still needs, and the weights of
   the lengths that it covers shrink by the part covered.
+* Column generation: weights alone take only exactly full configurations.  If
+  that plan lies more than one sequence above the material bound, the program
+  is also solved by simplex, where configurations of any fill enter by their
+  dual value, and weights with configurations over half full are tried.
 * Rounding: whole multiples of configurations are kept; what rounding leaves is
-  packed by best fit, longest first, so every piece has a place.
+  packed by weights or best fit, longest first, so every piece has a place.  The
+  shortest of the plans counts.
 
 The corpus itself never meets on the driver: pieces are numbered within their
 length by Spark (bucket counts, then a running sum over buckets), and a piece's
@@ -41,6 +46,7 @@ from feedloom.llm.pieces import code_point_classes, split
 CAPACITY, SEPARATOR = 2048, 0
 STEP, EPS = 0.5, 0.5
 ROUNDS, TAKES = 400, 48
+PIVOTS = 2000               # of the configuration program
 NUMBER_ROWS = 250_000       # pieces numbered in one group
 CACHE_WORDS = 300_000       # encoded words that a task remembers
 
@@ -130,12 +136,29 @@ def price(size: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[np.ndarra
     return value, pick
 
 
+def sequences(plan: list[tuple[dict[int, int], int]]) -> int:
+    return sum(times for _, times in plan)
+
+
 def configurations(size: np.ndarray, count: np.ndarray, capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
-    """(configuration {length: copies}, number of sequences) that hold every piece."""
+    """(configuration {length: copies}, number of sequences) that hold every piece: the shortest plan found."""
     order = np.argsort(size)
-    size, need = np.asarray(size, np.int64)[order], np.asarray(count, np.int64)[order].copy()
-    total = need.astype(float)
-    weight = total * (size / capacity) ** 1.2          # long pieces a little dearer: short ones fill later
+    size, need = np.asarray(size, np.int64)[order], np.asarray(count, np.int64)[order]
+    bound = -(-int((size * need).sum()) // capacity)
+    plans = [weighted(size, need, capacity, capacity)]
+    if sequences(plans[0]) > bound + 1:
+        plans.append(weighted(size, need, capacity, capacity // 2 + 1))
+        kept, rest = program(size, need, capacity, plans[0] + plans[1])
+        plans += [kept + weighted(size, rest, capacity, fill) for fill in (capacity, capacity // 2 + 1)]
+        plans.append(kept + best_fit(size, rest, capacity))
+    return min(plans, key=sequences)
+
+
+def weighted(size: np.ndarray, need: np.ndarray, capacity: int, least: int) -> list[tuple[dict[int, int], int]]:
+    """Plan by multiplicative weights from configurations that fill ``least`` tokens, the rest by best fit."""
+    need = need.copy()
+    total = np.maximum(need, 1).astype(float)
+    weight = need * (size / capacity) ** 1.2          # long pieces a little dearer: short ones fill later
     plan: dict[tuple, int] = {}
     for _ in range(ROUNDS):
         live = np.flatnonzero(need > 0)
@@ -163,7 +186,7 @@ def configurations(size: np.ndarray, count: np.ndarray, capacity: int = CAPACITY
             if most < 1:
                 continue
             fill = int((size[at] * a).sum())
-            if fill < capacity:             # rounding has an easier time with the rest
+            if fill < least:                # rounding has an easier time with the rest
                 continue
             times = max(1, int(most * STEP))
             need[at] -= times * a
@@ -176,6 +199,76 @@ def configurations(size: np.ndarray, count: np.ndarray, capacity: int = CAPACITY
     return [(dict(k), m) for k, m in plan.items()] + best_fit(size, need, capacity)
 
 
+def program(size: np.ndarray, need: np.ndarray, capacity: int,
+            known: list[tuple[dict[int, int], int]]) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
+    """(configurations of the program's fractional solution rounded down, pieces left by length).
+
+    Revised simplex: first over the ``known`` configurations, then with generated ones.  Whatever
+    a configuration fills, it enters if its lengths are worth more than one sequence by the dual
+    values.  The solution covers every piece at each step, so it may end early: at PIVOTS, or when
+    less than half a sequence lies between it and the bound that the dual values prove."""
+    m = len(size)
+    columns = np.diag(capacity // size).astype(float)        # configurations of one length each
+    inverse, x = np.diag(1 / np.diag(columns)), need / np.diag(columns)
+    dual = inverse.sum(axis=0)
+    pool = np.zeros((len(known), m))
+    for k, (config, _) in enumerate(known):
+        pool[k, np.searchsorted(size, list(config))] = list(config.values())
+    pivots = 0
+
+    def enter(new: np.ndarray) -> None:
+        nonlocal inverse, x, dual, pivots
+        step = inverse @ new
+        ratio = np.full(m, np.inf)
+        np.divide(x, step, out=ratio, where=step > 1e-9)
+        out = int(ratio.argmin())
+        x = np.maximum(x - ratio[out] * step, 0)
+        x[out] = ratio[out]
+        columns[:, out] = new
+        row = inverse[out] / step[out]
+        inverse -= step[:, None] * row
+        inverse[out] = row
+        dual = dual + (1 - dual @ new) * row
+        pivots += 1
+        if pivots % 500 == 0:                                 # against rounding errors
+            inverse = np.linalg.inv(columns)
+            x, dual = np.maximum(inverse @ need, 0), inverse.sum(axis=0)
+
+    while pivots < PIVOTS and len(pool):
+        worth = pool @ dual
+        best = int(worth.argmax())
+        if worth[best] <= 1 + 1e-7:
+            break
+        enter(pool[best])
+    while pivots < PIVOTS:
+        value, pick = price(size, np.maximum(dual, 0), capacity)
+        if value[capacity] <= 1 + 1e-7 or x.sum() - need @ np.maximum(dual, 0) / value[capacity] < 0.5:
+            break
+        whole = dual + value[capacity - size]
+        before = pivots
+        for f in np.argsort(-whole, kind="stable")[:TAKES]:
+            new, c = np.zeros(m), capacity - int(size[f])
+            new[f] = 1
+            while c > 0:
+                i = int(pick[c])
+                if i >= 0:
+                    new[i] += 1
+                c -= int(size[i]) if i >= 0 else 1
+            if dual @ new > 1 + 1e-7:                         # still worth it after the last pivots
+                enter(new)
+        if pivots == before:
+            break
+    rest, kept = need.copy(), []
+    for j in np.argsort(-x, kind="stable"):
+        a = columns[:, j].astype(np.int64)
+        at = np.flatnonzero(a)
+        times = min(int(x[j] + 1e-6), int((rest[at] // a[at]).min()))
+        if times > 0 and 2 * int(size @ a) > capacity:
+            rest -= times * a
+            kept.append((dict(zip(size[at].tolist(), a[at].tolist())), times))
+    return kept, rest
+
+
 def best_fit(size: np.ndarray, need: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
     """Longest first, each into the fullest sequence that takes it; equal sequences are kept as one."""
     room: list[dict[tuple, int]] = [{} for _ in range(capacity + 1)]     # free tokens -> {configuration: number}
