@@ -51,7 +51,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents placed in sequences of 2048 tokens."""
-    return pack_documents(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), encode_special_tokens=False)
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("SimHash near-dedup", near_duplicates),

@@ -30,6 +30,7 @@ null doc_id are packed as separate documents; an empty table gives no rows."""
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import binary, cut, dictionary, pack, slices, unpack
+from feedloom.llm.common import binary, cut, dictionary, pack, slices, unpack, view
 from feedloom.llm.pieces import code_point_classes, split
 
 CAPACITY, SEPARATOR = 2048, 0
@@ -62,6 +63,17 @@ def byte_ranks(path: str) -> dict[bytes, int]:
     return {bytes(to_byte[c] for c in token): i for token, i in vocab.items()}
 
 
+def added_tokens(path: str) -> dict[bytes, int]:
+    """Literal -> id of the added tokens of a file of the tokenizers library, which stand
+    for themselves in a text before it is split into pieces."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"]:
+            raise ValueError(f"added token {t['content']!r} takes its surroundings into account")
+    return {t["content"].encode(): t["id"] for t in tokens}
+
+
 def encoder(ranks: dict[bytes, int]) -> tiktoken.Encoding:
     """An encoder of single pieces: merges only, whatever the piece holds."""
     return tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
@@ -88,7 +100,32 @@ def encoded(arr: pa.LargeBinaryArray, classes: np.ndarray, enc: tiktoken.Encodin
     return flat[at], np.concatenate([[0], end])[before]
 
 
-def token_pieces(docs: DataFrame, ranks: dict[bytes, int], capacity: int) -> DataFrame:
+def encoded_apart(arr: pa.LargeBinaryArray, classes: np.ndarray, enc: tiktoken.Encoding,
+                  cache: dict[bytes, list[int]], added: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``encoded``, where the literals in ``added`` are tokens and part the text around them.
+
+    Of literals that begin at one place the longest counts, as in the tokenizers library."""
+    raw = view(arr)[0].tobytes()
+    if not any(t in raw for t in added):
+        return encoded(arr, classes, enc, cache)
+    literal = re.compile(b"|".join(map(re.escape, sorted(added, key=len, reverse=True))))
+    parts, first, marked, marks = [], [], [], []
+    for text in arr.to_pylist():
+        first.append(len(parts))
+        at = 0
+        for hit in literal.finditer(text):
+            marked.append(len(parts))
+            marks.append(added[hit[0]])
+            parts.append(text[at:hit.start()])
+            at = hit.end()
+        parts.append(text[at:])
+    ids, off = encoded(pa.array(parts, pa.large_binary()), classes, enc, cache)
+    first.append(len(parts))
+    return (np.insert(ids, off[np.array(marked, np.int64) + 1], np.array(marks, ids.dtype)),
+            off[first] + np.searchsorted(marked, first))
+
+
+def token_pieces(docs: DataFrame, ranks: dict[bytes, int], capacity: int, added: dict[bytes, int]) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every piece; no shuffle."""
     table = pack(code_point_classes())
 
@@ -96,7 +133,7 @@ def token_pieces(docs: DataFrame, ranks: dict[bytes, int], capacity: int) -> Dat
         classes, enc, cache = unpack(table, np.uint8), encoder(ranks), {}
         for batch in batches:
             for part, arr in slices(batch, binary(batch.column("text"))):
-                ids, off = encoded(arr, classes, enc, cache)
+                ids, off = encoded_apart(arr, classes, enc, cache, added)
                 row, piece, start, length, crc = [], [], [], [], []
                 for d in range(len(arr)):
                     own = np.append(ids[off[d]:off[d + 1]], np.uint32(SEPARATOR)).astype("<u4")
@@ -323,9 +360,14 @@ def numbered(pieces: DataFrame, n_buckets: int) -> DataFrame:
             .withColumn("_rank", F.col("_base") + F.col("_local")).drop("_b", "_base", "_local"))
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    pieces = cut(spark, token_pieces(docs, byte_ranks(tokenizer_path), capacity), "packing-pieces")
+def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
+                   encode_special_tokens: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece.
+
+    encode_special_tokens: as in the tokenizers library; True merges the literals of added
+    tokens like any text, False gives them their own ids."""
+    added = {} if encode_special_tokens else added_tokens(tokenizer_path)
+    pieces = cut(spark, token_pieces(docs, byte_ranks(tokenizer_path), capacity, added), "packing-pieces")
     hist = pieces.groupBy("length").count().collect()          # at most ``capacity`` rows
     size = np.array([r["length"] for r in hist], np.int64)
     count = np.array([r["count"] for r in hist], np.int64)

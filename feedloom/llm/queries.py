@@ -91,7 +91,8 @@ def op5_suffix_dedup(spark, sf_dir):
 
 @query
 def op8_best_fit_packing(spark, sf_dir):
-    return q8.pack_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return q8.pack_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             encode_special_tokens=False)
 
 
 @query

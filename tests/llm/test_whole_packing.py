@@ -1,9 +1,13 @@
 """Packing where no configuration is exactly full, and the tokenizer's added tokens."""
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
-from feedloom.llm import packing
+import corpus_pipeline
+from feedloom.llm import packing, queries
+from tests.llm import brute
 
 
 @pytest.mark.parametrize("hist,best", [
@@ -20,3 +24,18 @@ def test_configurations_below_capacity_are_taken(hist, best):
             held[s] = held.get(s, 0) + a * times
     assert held == hist
     assert sum(times for _, times in plan) <= best
+
+
+def test_queries_know_the_added_tokens(spark, tmp_path):
+    end = "<|endoftext|>"
+    texts = [f"a b{end} c", end, f"{end}{end}", f"x  {end}  it's{end}", "<|endof", "text|> tail", None, f"<{end}>",
+             f"word {end} " * 1500, "plain words"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert 50256 in t.encode(texts[0], add_special_tokens=False).ids
+    want = sorted((d, *p) for d, x in rows for p in brute.pieces([*t.encode(x or "", add_special_tokens=False).ids, 0]))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for out in (queries.op8_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        got = [(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out.collect()]
+        assert sorted(got) == want
