@@ -8,7 +8,7 @@ repeated or lost task leaves nothing behind that a reader would see.
 
 Reader: files are cut into byte ranges, and every range is read on its own.  The
 task looks for the gzip magic, and a candidate counts if its first bytes decode
-to the beginning of a WARC header.  A record belongs to the range in which its
+to the beginning of a WARC header, however long that is.  A record belongs to the range in which its
 member starts, even if it ends beyond; so all ranges together give each record
 once, whatever their size.  From a record's end the task goes on with the next
 member.  Payload digests of response records are checked against the header.
@@ -43,7 +43,6 @@ FILE_BYTES = 64 << 20         # a writer begins another file after so many
 RANGE_BYTES = 4 << 20         # of a file that one task scans
 READ_BYTES = 1 << 20          # of a file read at once
 PIECE_BYTES = 1 << 14         # decoded or searched at once, doubling within a record
-HEADER_BYTES = 1 << 16        # a header must be complete within so many decoded bytes
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -144,16 +143,17 @@ class Window:
 
 def begins_record(source: Window, at: int) -> Member | None:
     """The member at ``at`` if it decodes to a whole WARC header; otherwise None."""
-    m = Member(source, at)
+    m, searched = Member(source, at), 0
     try:
         while True:
             going = m.more()
             if m.data and not m.data.startswith(b"WARC/1."[:len(m.data)]):
                 return None
-            if b"\r\n\r\n" in m.data:
+            if m.data.find(b"\r\n\r\n", max(0, searched - 3)) >= 0:
                 return m
-            if not going or len(m.data) > HEADER_BYTES:
+            if not going:
                 return None
+            searched = len(m.data)
     except zlib.error:
         return None
 
@@ -233,7 +233,14 @@ def page_number(urn: str):
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """Write ``pages`` to an archive in the shared folder and read it back: one row per record."""
+    """Write ``pages`` to an archive in the shared folder and read it back: one row per record.
+
+    Fails if a file gives more or fewer records than were written to it."""
     files = write_warc(spark, pages, scratch_path(spark, "warc"), min_revisit)
-    return read_warc(files).withColumn("page_id", page_number("record_id")).withColumn(
+    records = cut(spark, read_warc(files), "warc-records")
+    found = records.groupBy("path").agg(F.count(F.lit(1)).alias("found"))
+    lost = files.join(found, "path", "left").filter(F.col("records") != F.coalesce("found", F.lit(0))).first()
+    if lost is not None:
+        raise ValueError(f"{lost['path']}: {lost['records']} records written, {lost['found'] or 0} read")
+    return records.withColumn("page_id", page_number("record_id")).withColumn(
         "refers_page", page_number("refers_to"))
