@@ -118,6 +118,9 @@ ORACLE["fanout_norm"] = _q("SELECT uid, time, tid FROM fan")
 ORACLE["fanout_denorm"] = _q("""SELECT f.tid, f.tid AS payload_id, en.text_md5, count(*) AS n_receivers,
   CAST(sum(f.uid) AS BIGINT) AS sum_uid FROM fan f JOIN en ON en.tid = f.tid GROUP BY f.tid, en.text_md5""")
 
+ORACLE["fanout_denorm_receivers"] = _q("""SELECT f.uid, f.time, f.tid, f.tid AS payload_id, en.text_md5
+FROM fan f JOIN en ON en.tid = f.tid""")
+
 ORACLE["fanout_list_store"] = _q("""SELECT l.follower AS uid, en.time, en.tid FROM en JOIN ledges l ON l.uid = en.uid""")
 
 ORACLE["list_store_following"] = _q("""SELECT follower AS uid, uid AS followee, count(*) AS n_pushed

@@ -202,6 +202,13 @@ def q_fanout_denorm(spark, sf_dir):
         F.count(F.lit(1)).alias("n_receivers"), F.sum("uid").alias("sum_uid"))
 
 
+@query("fanout_denorm_receivers")
+def q_fanout_denorm_receivers(spark, sf_dir):
+    """One payload row per (follower, tweet): who receives which payload, and when."""
+    f = batch.batch_tables(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
+    return f.select("uid", "time", "tid", *_payload())
+
+
 @query("fanout_list_store")
 def q_fanout_list_store(spark, sf_dir):
     """The edges loaded into the list store (both directions, as
@@ -230,14 +237,14 @@ def q_fanout_variants(spark, sf_dir):
     """ST5: the four (layout, store) variants - receiving-side rows before and
     after key resolution."""
     out = None
-    for store in ("set", "list"):
-        # both layouts fan out to the same (uid, time): one evaluation a store gives all counts
-        rows = batch.batch_tables(spark, sf_dir, CFG.with_(store=store))["inboxes"]
-        keys = rows.groupBy("uid", "time").agg(F.count(F.lit(1)).alias("n"))
-        counts = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_resolved"))
-        both = counts.select(F.explode(F.array(F.lit("norm"), F.lit("denorm"))).alias("layout"),
-                             F.lit(store).alias("store"), "n_rows", "n_resolved")
-        out = both if out is None else out.unionByName(both)
+    # denormalized rows count by their payload, so that it travels with them
+    for layout, sink, what in (("norm", "inboxes", "tid"), ("denorm", "feedslists", "tweet")):
+        for store in ("set", "list"):
+            rows = batch.batch_tables(spark, sf_dir, CFG.with_(layout=layout, store=store))[sink]
+            keys = rows.groupBy("uid", "time").agg(F.count(what).alias("n"))
+            counts = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_resolved"))
+            one = counts.select(F.lit(layout).alias("layout"), F.lit(store).alias("store"), "n_rows", "n_resolved")
+            out = one if out is None else out.unionByName(one)
     return out
 
 
