@@ -3,9 +3,10 @@
 A document's features are the tokens of its distinct words and their beginnings,
 hashed; its score is the logistic of their weights' sum.  Besides the usual
 logistic loss, training penalises score changes under identity swaps: in every
-labelled sentence that names a group, the term is replaced by each other term of
-its kind, and the squared difference of the two scores, times ``swap_weight``,
-is added to the loss.  So a group's name cannot carry toxicity of its own, and
+labelled sentence that names a group by a term of the table ``identities``, the
+term is replaced by each other term of the same kind, form and language, and the
+squared difference of the two scores, times ``swap_weight``, is added to the
+loss.  So the name of a group in the table cannot carry toxicity of its own, and
 neutral mentions of it are not taken for toxic ones.
 
 Training takes at most ``per_class`` labelled rows of each class (those with the
@@ -31,16 +32,97 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import binary, cut, dictionary, slices, view
 
-# fixed values: identity terms by kind; a term is swapped with the others of its kind
+# identity terms by kind, form and language (English plural nouns and adjectives where nothing
+# is said): a term is swapped with the others of its line, so like forms stand for like forms
 IDENTITIES = {
-    "gender": ("women", "men", "girls", "boys", "frauen", "männer", "femmes", "hommes", "mujeres", "hombres"),
-    "faith": ("muslims", "christians", "jews", "hindus", "buddhists", "atheists", "muslime", "christen", "juden",
-              "musulmans", "chrétiens", "juifs", "musulmanes", "cristianos", "judíos"),
-    "origin": ("immigrants", "refugees", "foreigners", "natives", "africans", "asians", "europeans", "americans",
-               "ausländer", "flüchtlinge", "étrangers", "réfugiés", "extranjeros", "refugiados"),
-    "orientation": ("gay", "lesbian", "straight", "bisexual", "transgender"),
-    "age": ("elderly", "young", "teenagers", "children"),
-    "ability": ("disabled", "blind", "deaf"),
+    "gender": ("women", "men", "girls", "boys"),
+    "gender, one": ("woman", "man", "girl", "boy"),
+    "gender, adjective": ("female", "male"),
+    "gender, adjective as noun": ("females", "males"),
+    "gender, de": ("frauen", "männer", "mädchen", "jungen"),
+    "gender, one, de": ("frau", "mann", "mädchen", "junge"),
+    "gender, adjective, de": ("weiblich", "männlich"),
+    "gender, adjective -e, de": ("weibliche", "männliche"),
+    "gender, adjective -en, de": ("weiblichen", "männlichen"),
+    "gender, fr": ("femmes", "hommes", "filles", "garçons"),
+    "gender, one, fr": ("femme", "homme", "fille", "garçon"),
+    "gender, es": ("mujeres", "hombres", "chicas", "chicos", "niñas", "niños"),
+    "gender, one, es": ("mujer", "hombre", "chica", "chico", "niña", "niño"),
+    "faith": ("muslims", "christians", "jews", "hindus", "buddhists", "atheists", "sikhs", "catholics", "protestants"),
+    "faith, one": ("muslim", "christian", "jew", "hindu", "buddhist", "atheist", "sikh", "catholic", "protestant"),
+    "faith, adjective": ("muslim", "islamic", "christian", "jewish", "hindu", "buddhist", "atheist", "sikh", "catholic",
+                         "protestant"),
+    "faith, de": ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten", "katholiken", "protestanten"),
+    "faith, one, de": ("muslim", "christ", "jude", "hindu", "buddhist", "atheist", "katholik", "protestant"),
+    "faith, women, de": ("musliminnen", "christinnen", "jüdinnen", "buddhistinnen", "atheistinnen"),
+    "faith, one woman, de": ("muslimin", "christin", "jüdin", "buddhistin", "atheistin"),
+    "faith, adjective, de": ("muslimisch", "christlich", "jüdisch", "buddhistisch", "katholisch", "evangelisch"),
+    "faith, adjective -e, de": ("muslimische", "christliche", "jüdische", "buddhistische", "katholische", "evangelische"),
+    "faith, adjective -en, de": ("muslimischen", "christlichen", "jüdischen", "buddhistischen", "katholischen",
+                                 "evangelischen"),
+    "faith, adjective -er, de": ("muslimischer", "christlicher", "jüdischer", "buddhistischer", "katholischer",
+                                 "evangelischer"),
+    "faith, fr": ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées", "catholiques"),
+    "faith, one, fr": ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée", "catholique"),
+    "faith, women, fr": ("musulmanes", "chrétiennes", "juives", "hindoues", "bouddhistes", "athées", "catholiques"),
+    "faith, one woman, fr": ("musulmane", "chrétienne", "juive", "hindoue", "bouddhiste", "athée", "catholique"),
+    "faith, es": ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos", "católicos"),
+    "faith, one, es": ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo", "católico"),
+    "faith, women, es": ("musulmanas", "cristianas", "judías", "hindúes", "budistas", "ateas", "católicas"),
+    "faith, one woman, es": ("musulmana", "cristiana", "judía", "hindú", "budista", "atea", "católica"),
+    "origin": ("africans", "asians", "europeans", "americans", "arabs", "mexicans", "latinos", "turks", "indians"),
+    "origin, one": ("african", "asian", "european", "american", "arab", "mexican", "latino", "turk", "indian"),
+    "origin, adjective": ("african", "asian", "european", "american", "arab", "mexican", "latino", "turkish", "indian"),
+    "origin, de": ("afrikaner", "asiaten", "europäer", "amerikaner", "araber", "türken"),
+    "origin, one, de": ("afrikaner", "asiate", "europäer", "amerikaner", "araber", "türke"),
+    "origin, adjective -e, de": ("afrikanische", "asiatische", "europäische", "amerikanische", "arabische", "türkische"),
+    "origin, adjective -en, de": ("afrikanischen", "asiatischen", "europäischen", "amerikanischen", "arabischen", "türkischen"),
+    "origin, fr": ("africains", "asiatiques", "européens", "américains", "arabes", "turcs"),
+    "origin, one, fr": ("africain", "asiatique", "européen", "américain", "arabe", "turc"),
+    "origin, one woman, fr": ("africaine", "asiatique", "européenne", "américaine", "arabe", "turque"),
+    "origin, es": ("africanos", "asiáticos", "europeos", "americanos", "árabes", "turcos"),
+    "origin, one, es": ("africano", "asiático", "europeo", "americano", "árabe", "turco"),
+    "origin, one woman, es": ("africana", "asiática", "europea", "americana", "árabe", "turca"),
+    "standing": ("immigrants", "migrants", "refugees", "foreigners", "natives", "citizens"),
+    "standing, one": ("immigrant", "migrant", "refugee", "foreigner", "native", "citizen"),
+    "standing, de": ("ausländer", "flüchtlinge", "einwanderer", "migranten", "einheimische"),
+    "standing, one, de": ("ausländer", "flüchtling", "einwanderer", "migrant", "einheimischer"),
+    "standing, fr": ("étrangers", "réfugiés", "immigrés", "migrants", "citoyens"),
+    "standing, one, fr": ("étranger", "réfugié", "immigré", "migrant", "citoyen"),
+    "standing, es": ("extranjeros", "refugiados", "inmigrantes", "migrantes", "ciudadanos"),
+    "standing, one, es": ("extranjero", "refugiado", "inmigrante", "migrante", "ciudadano"),
+    "colour, adjective": ("black", "white", "brown"),
+    "colour": ("blacks", "whites", "browns"),
+    "colour, adjective -e, de": ("schwarze", "weiße"),
+    "colour, adjective -en, de": ("schwarzen", "weißen"),
+    "colour, fr": ("noirs", "blancs"),
+    "colour, one, fr": ("noir", "blanc"),
+    "colour, one woman, fr": ("noire", "blanche"),
+    "colour, women, fr": ("noires", "blanches"),
+    "colour, es": ("negros", "blancos"),
+    "colour, one, es": ("negro", "blanco"),
+    "colour, one woman, es": ("negra", "blanca"),
+    "colour, women, es": ("negras", "blancas"),
+    "orientation": ("gays", "lesbians", "bisexuals", "homosexuals", "heterosexuals"),
+    "orientation, one": ("homosexual", "lesbian", "bisexual", "heterosexual"),
+    "orientation, adjective": ("gay", "lesbian", "straight", "bisexual", "transgender", "trans", "queer", "homosexual",
+                               "heterosexual"),
+    "orientation, de": ("schwule", "lesben", "bisexuelle", "homosexuelle", "heterosexuelle"),
+    "orientation, fr": ("homosexuels", "lesbiennes", "bisexuels", "hétérosexuels"),
+    "orientation, one, fr": ("homosexuel", "lesbienne", "bisexuel", "hétérosexuel"),
+    "orientation, es": ("homosexuales", "lesbianas", "bisexuales", "heterosexuales"),
+    "orientation, one, es": ("homosexual", "lesbiana", "bisexual", "heterosexual"),
+    "age": ("teenagers", "children", "adults", "seniors"),
+    "age, one": ("teenager", "child", "adult", "senior"),
+    "age, adjective": ("elderly", "young", "old"),
+    "age, adjective -e, de": ("alte", "junge"),
+    "age, adjective -en, de": ("alten", "jungen"),
+    "age, fr": ("vieux", "jeunes"),
+    "age, es": ("viejos", "jóvenes"),
+    "ability, adjective": ("disabled", "blind", "deaf", "autistic"),
+    "ability, adjective -e, de": ("behinderte", "blinde", "taube"),
+    "ability, fr": ("handicapés", "aveugles", "sourds"),
+    "ability, es": ("discapacitados", "ciegos", "sordos"),
 }
 PER_CLASS, MAX_FEATURES, MIN_DOCS = 6000, 50_000, 3
 SPACE_BITS = 22               # features are hashed to so many bits
@@ -78,18 +160,19 @@ def words_of(arr: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, pa.Array
     return both // (len(words) + 1), both % (len(words) + 1), words
 
 
-def swaps(text: str) -> list[tuple[list[int], list[int]]]:
+def swaps(text: str, identities: dict[str, tuple[str, ...]] = IDENTITIES) -> list[tuple[list[int], list[int]]]:
     """(features gained, features lost) of every identity swap in the sentences of a text."""
     out = []
     for sentence in _SENTENCE.findall(text):
         tokens = set(_TOKEN.findall(sentence.lower()))
-        for terms in IDENTITIES.values():
+        for terms in identities.values():
             for own in tokens.intersection(terms):
                 out += [(token_features(other), token_features(own)) for other in terms if other not in tokens]
     return sorted(set((tuple(a), tuple(b)) for a, b in out))
 
 
-def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
+def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_class: int,
+                  identities: dict[str, tuple[str, ...]] = IDENTITIES) -> DataFrame:
     """(toxic, features array<int>, gained array<array<int>>, lost array<array<int>>) of the bounded sample."""
     lab = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id")
            .agg(F.max("toxic").cast("int").alias("toxic")))
@@ -108,7 +191,7 @@ def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_c
                 feats = [word_features(w.decode("utf-8", "replace")) for w in words.to_pylist()]
                 cuts = np.searchsorted(doc, np.arange(len(part) + 1))
                 rows = [[f for c in code[a:b].tolist() for f in feats[c]] for a, b in zip(cuts, cuts[1:])]
-                pairs = [swaps(t.decode("utf-8", "replace")) for t in arr.to_pylist()]
+                pairs = [swaps(t.decode("utf-8", "replace"), identities) for t in arr.to_pylist()]
                 ints = pa.list_(pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("toxic"), pa.array(rows, ints), pa.array([[p[0] for p in x] for x in pairs], pa.list_(ints)),
@@ -207,9 +290,12 @@ def boundary(z: np.ndarray, y: np.ndarray) -> float:
 
 
 def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
-          swap_weight: float = SWAP_WEIGHT) -> tuple[float, dict[int, float]]:
-    """The classifier: (intercept, {feature: weight}), at most MAX_FEATURES and the identity terms."""
-    rows = cut(spark, training_rows(spark, docs, labels, per_class), "toxicity-training")
+          swap_weight: float = SWAP_WEIGHT,
+          identities: dict[str, tuple[str, ...]] = IDENTITIES) -> tuple[float, dict[int, float]]:
+    """The classifier: (intercept, {feature: weight}), at most MAX_FEATURES and the identity terms.
+
+    identities: terms (lower-case tokens) that are swapped for each other, by any name."""
+    rows = cut(spark, training_rows(spark, docs, labels, per_class, identities), "toxicity-training")
 
     def run(batches):
         toxic, features, pairs = [], [], set()
