@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from feedloom.llm import ann as q7
 from feedloom.llm import bpe as q4
 from feedloom.llm import line_dedup as q10
+from feedloom.llm import merkle as q12
 from feedloom.llm import packing as q8
 from feedloom.llm import quality_rules as q6
 from feedloom.llm import sharding as q9
@@ -159,3 +160,72 @@ def op1_toxicity(spark, sf_dir):
     rows = q1.score(docs, bias, weights)
     return rows.select("doc_id", held_out.alias("held_out"), "score",
                        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    tampered = q12.leaf(*[F.col(c) + F.when(hit, 1).otherwise(0) if c == "n_chars" else F.col(c) for c in columns])
+    rows = q12.merkle_manifest(spark, table(spark, sf_dir, "documents"), columns, carry={"seen": tampered})
+    back = q12.folded(F.col("seen"), F.col("path"))
+    return rows.select("doc_id", "leaf", "subroot", "root", q12.siblings_digest(F.col("path")).alias("proof_sha256"),
+                       back.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+ORACLE["op12_merkle_manifest"] = r"""
+WITH RECURSIVE bits AS (
+  SELECT DISTINCT doc_id, list_reduce(
+      list_concat([CAST(4294967295 AS BIGINT)],
+                  flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                         lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda a, x: xor(xor(a, x) >> 1, CAST(3988292384 AS BIGINT) * (xor(a, x) & 1))) AS reg
+  FROM documents WHERE doc_id IS NOT NULL),
+hit AS (SELECT doc_id FROM bits WHERE xor(reg, CAST(4294967295 AS BIGINT)) % 7 = 0),
+parts AS (
+  SELECT d.doc_id, d.lang,
+         coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || CAST(d.doc_id AS VARCHAR), '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS size,
+         CASE WHEN h.doc_id IS NOT NULL
+              THEN coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || CAST(n_chars + 1 AS VARCHAR), '-') END AS other,
+         coalesce(strlen(text) || ':' || text, '-') AS body
+  FROM documents d LEFT JOIN hit h ON h.doc_id = d.doc_id),
+hashed AS (SELECT doc_id, lang, sha256(head || size || body) AS leaf,
+                  sha256(head || coalesce(other, size) || body) AS seen FROM parts),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                  dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM hashed),
+nodes AS (
+  SELECT g, 0 AS lvl, pos, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM leaves
+  UNION ALL
+  SELECT g, lvl, pos, h, count(*) OVER (PARTITION BY g) FROM (
+    SELECT g, lvl + 1 AS lvl, pos // 2 AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h
+    FROM nodes WHERE n > 1 GROUP BY g, lvl, pos // 2)),
+subs AS (SELECT g, h AS subroot, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, g AS pos, subroot AS h, n FROM subs
+  UNION ALL
+  SELECT lvl, pos, h, count(*) OVER () FROM (
+    SELECT lvl + 1 AS lvl, pos // 2 AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h
+    FROM tops WHERE n > 1 GROUP BY lvl, pos // 2)),
+fold AS (
+  SELECT l.doc_id, l.g, l.leaf, l.pos AS start, 0 AS lvl, l.pos, l.seen AS h, '' AS sibs, FALSE AS up,
+         count(*) OVER (PARTITION BY l.g) AS n
+  FROM leaves l
+  UNION ALL
+  SELECT f.doc_id, f.g, f.leaf, f.start,
+         CASE WHEN f.up OR f.n > 1 THEN f.lvl + 1 ELSE 0 END,
+         CASE WHEN f.up OR f.n > 1 THEN f.pos // 2 ELSE f.g END,
+         CASE WHEN NOT f.up AND f.n = 1 THEN f.h
+              WHEN f.pos % 2 = 0 THEN sha256(f.h || coalesce(s.h, t.h, '')) ELSE sha256(coalesce(s.h, t.h) || f.h) END,
+         CASE WHEN NOT f.up AND f.n = 1 THEN f.sibs ELSE f.sibs || coalesce(s.h, t.h, '') END,
+         f.up OR f.n = 1,
+         CASE WHEN f.up OR f.n > 1 THEN (f.n + 1) // 2 ELSE (SELECT count(*) FROM subs) END
+  FROM fold f
+  LEFT JOIN nodes s ON NOT f.up AND f.n > 1 AND s.g = f.g AND s.lvl = f.lvl AND s.pos = xor(f.pos, CAST(1 AS BIGINT))
+  LEFT JOIN tops t ON f.up AND t.lvl = f.lvl AND t.pos = xor(f.pos, CAST(1 AS BIGINT))
+  WHERE NOT f.up OR f.n > 1)
+SELECT f.doc_id, f.leaf, s.subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(f.sibs) AS proof_sha256,
+       f.h AS folded_root, f.h = (SELECT h FROM tops WHERE n = 1) AS verified
+FROM fold f JOIN subs s ON s.g = f.g WHERE f.up AND f.n = 1
+"""
