@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm import alignment as q13
 from feedloom.llm import ann as q7
 from feedloom.llm import bpe as q4
 from feedloom.llm import line_dedup as q10
@@ -229,3 +230,11 @@ SELECT f.doc_id, f.leaf, s.subroot, (SELECT h FROM tops WHERE n = 1) AS root, sh
        f.h AS folded_root, f.h = (SELECT h FROM tops WHERE n = 1) AS verified
 FROM fold f JOIN subs s ON s.g = f.g WHERE f.up AND f.n = 1
 """
+
+
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    rows = q13.align(spark, table(spark, sf_dir, "documents").select("doc_id", "text"),
+                     public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best",
+                       "count_sum", "groups_sha256")
