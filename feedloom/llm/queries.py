@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from feedloom.llm import alignment as q13
 from feedloom.llm import ann as q7
 from feedloom.llm import bpe as q4
+from feedloom.llm import cover_tree as q11
 from feedloom.llm import line_dedup as q10
 from feedloom.llm import merkle as q12
 from feedloom.llm import packing as q8
@@ -238,3 +239,27 @@ def op13_tokenizer_alignment(spark, sf_dir):
                      public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     return rows.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best",
                        "count_sum", "groups_sha256")
+
+
+@query
+def op11_cover_tree(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("x"))
+    rows = q11.near_duplicates(spark, v, cosine=0.95)
+    return rows.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+ORACLE["op11_cover_tree"] = """
+WITH RECURSIVE d AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE embedding IS NOT NULL),
+v AS (SELECT vec_id, x FROM d WHERE len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+                                AND len(list_filter(x, lambda c: c <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+          ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS root FROM v
+          UNION SELECT l.a, r.root FROM reach r JOIN links l ON l.b = r.vec_id WHERE r.root < l.a),
+least AS (SELECT vec_id, min(root) AS root FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(l.root, e.vec_id) AS component_id,
+       e.vec_id = coalesce(l.root, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN least l ON l.vec_id = e.vec_id LEFT JOIN n ON n.vec_id = e.vec_id
+"""
