@@ -48,6 +48,8 @@ CAPACITY, SEPARATOR = 2048, 0
 STEP, EPS = 0.5, 0.5
 ROUNDS, TAKES = 400, 48
 PIVOTS = 2000               # of the configuration program
+REFACTOR = 250              # pivots between two fresh inverses of the basis
+TINY = 1e-7                 # pivots of a smaller share of their column are refused
 NUMBER_ROWS = 250_000       # pieces numbered in one group
 CACHE_WORDS = 300_000       # encoded words that a task remembers
 
@@ -177,17 +179,32 @@ def sequences(plan: list[tuple[dict[int, int], int]]) -> int:
     return sum(times for _, times in plan)
 
 
+def least_sequences(size: np.ndarray, count: np.ndarray, capacity: int) -> int:
+    """A number of sequences that no plan can go below (size ascending): pieces of over half a
+    sequence need one each, and what those leave free takes the others that are not too long."""
+    n, tokens = np.concatenate([[0], np.cumsum(count)]), np.concatenate([[0], np.cumsum(size * count)])
+    half = int(np.searchsorted(size, capacity // 2, side="right"))
+    best = -(-int(tokens[-1]) // capacity)
+    for k in range(half):                   # leave out pieces shorter than size[k]
+        alone = int(np.searchsorted(size, capacity - int(size[k]), side="right"))
+        free = int((n[alone] - n[half]) * capacity - (tokens[alone] - tokens[half]))
+        best = max(best, int(n[-1] - n[half]) + max(0, -(-(int(tokens[half] - tokens[k]) - free) // capacity)))
+    return max(best, int(n[-1] - n[half]))
+
+
 def configurations(size: np.ndarray, count: np.ndarray, capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
     """(configuration {length: copies}, number of sequences) that hold every piece: the shortest plan found."""
     order = np.argsort(size)
     size, need = np.asarray(size, np.int64)[order], np.asarray(count, np.int64)[order]
-    bound = -(-int((size * need).sum()) // capacity)
+    bound = least_sequences(size, need, capacity)
     plans = [weighted(size, need, capacity, capacity)]
     if sequences(plans[0]) > bound + 1:
         plans.append(weighted(size, need, capacity, capacity // 2 + 1))
-        kept, rest = program(size, need, capacity, plans[0] + plans[1])
-        plans += [kept + weighted(size, rest, capacity, fill) for fill in (capacity, capacity // 2 + 1)]
-        plans.append(kept + best_fit(size, rest, capacity))
+        solved = program(size, need, capacity, plans[0] + plans[1], min(map(sequences, plans)))
+        if solved is not None:              # else the basis was lost to rounding: the weighted plans stand
+            kept, rest = solved
+            plans += [kept + weighted(size, rest, capacity, fill) for fill in (capacity, capacity // 2 + 1)]
+            plans.append(kept + best_fit(size, rest, capacity))
     return min(plans, key=sequences)
 
 
@@ -237,8 +254,10 @@ def weighted(size: np.ndarray, need: np.ndarray, capacity: int, least: int) -> l
 
 
 def program(size: np.ndarray, need: np.ndarray, capacity: int,
-            known: list[tuple[dict[int, int], int]]) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
-    """(configurations of the program's fractional solution rounded down, pieces left by length).
+            known: list[tuple[dict[int, int], int]], most: int) -> tuple[list[tuple[dict[int, int], int]], np.ndarray] | None:
+    """(configurations of the program's fractional solution rounded down, pieces left by length);
+    None if the basis cannot be inverted or no longer gives the pieces, or if the dual values
+    prove that no plan has fewer than ``most`` sequences.
 
     Revised simplex: first over the ``known`` configurations, then with generated ones.  Whatever
     a configuration fills, it enters if its lengths are worth more than one sequence by the dual
@@ -253,48 +272,72 @@ def program(size: np.ndarray, need: np.ndarray, capacity: int,
         pool[k, np.searchsorted(size, list(config))] = list(config.values())
     pivots = 0
 
-    def enter(new: np.ndarray) -> None:
+    def enter(new: np.ndarray) -> bool:
+        """False if no pivot of the column can be trusted."""
         nonlocal inverse, x, dual, pivots
         step = inverse @ new
+        sure = step > TINY * max(1.0, float(np.abs(step).max()))
+        if not sure.any():
+            return False
         ratio = np.full(m, np.inf)
-        np.divide(x, step, out=ratio, where=step > 1e-9)
-        out = int(ratio.argmin())
-        x = np.maximum(x - ratio[out] * step, 0)
-        x[out] = ratio[out]
+        np.divide(x, step, out=ratio, where=sure)
+        # of rows that leave at about the same time, the one with the largest pivot keeps the basis regular
+        ties = ratio <= ratio.min() * (1 + 1e-9) + 1e-12
+        out = int(np.where(ties, step, -1.0).argmax())
+        take = ratio[out]
+        x = np.maximum(x - take * step, 0)
+        x[out] = take
         columns[:, out] = new
         row = inverse[out] / step[out]
-        inverse -= step[:, None] * row
+        some = np.flatnonzero(step)
+        inverse[some] -= step[some, None] * row
         inverse[out] = row
         dual = dual + (1 - dual @ new) * row
         pivots += 1
-        if pivots % 500 == 0:                                 # against rounding errors
-            inverse = np.linalg.inv(columns)
-            x, dual = np.maximum(inverse @ need, 0), inverse.sum(axis=0)
-
-    while pivots < PIVOTS and len(pool):
-        worth = pool @ dual
-        best = int(worth.argmax())
-        if worth[best] <= 1 + 1e-7:
-            break
-        enter(pool[best])
-    while pivots < PIVOTS:
-        value, pick = price(size, np.maximum(dual, 0), capacity)
-        if value[capacity] <= 1 + 1e-7 or x.sum() - need @ np.maximum(dual, 0) / value[capacity] < 0.5:
-            break
-        whole = dual + value[capacity - size]
-        before = pivots
-        for f in np.argsort(-whole, kind="stable")[:TAKES]:
-            new, c = np.zeros(m), capacity - int(size[f])
-            new[f] = 1
-            while c > 0:
-                i = int(pick[c])
-                if i >= 0:
-                    new[i] += 1
-                c -= int(size[i]) if i >= 0 else 1
-            if dual @ new > 1 + 1e-7:                         # still worth it after the last pivots
-                enter(new)
-        if pivots == before:
-            break
+        if pivots % REFACTOR == 0:                            # against rounding errors
+            refactor()
+        return True
+
+    def refactor() -> None:
+        nonlocal inverse, x, dual
+        inverse = np.linalg.inv(columns)
+        x, dual = inverse @ need, inverse.sum(axis=0)
+        if not np.isfinite(inverse).all() or x.min() < -1e-6 * max(1.0, x.max()):
+            raise np.linalg.LinAlgError("the basis no longer gives the pieces")
+        x = np.maximum(x, 0)
+
+    try:
+        barred = np.zeros(len(pool), bool)
+        while pivots < PIVOTS and len(pool):
+            worth = np.where(barred, 0.0, pool @ dual)
+            best = int(worth.argmax())
+            if worth[best] <= 1 + 1e-7:
+                break
+            barred[best] = not enter(pool[best])
+        while pivots < PIVOTS:
+            value, pick = price(size, np.maximum(dual, 0), capacity)
+            proven = need @ np.maximum(dual, 0) / max(1.0, value[capacity])
+            if proven > most - 1 + 1e-6:
+                return None
+            if value[capacity] <= 1 + 1e-7 or x.sum() - proven < 0.5:
+                break
+            whole = dual + value[capacity - size]
+            before = pivots
+            for f in np.argsort(-whole, kind="stable")[:TAKES]:
+                new, c = np.zeros(m), capacity - int(size[f])
+                new[f] = 1
+                while c > 0:
+                    i = int(pick[c])
+                    if i >= 0:
+                        new[i] += 1
+                    c -= int(size[i]) if i >= 0 else 1
+                if dual @ new > 1 + 1e-7:                     # still worth it after the last pivots
+                    enter(new)
+            if pivots == before:
+                break
+        refactor()
+    except np.linalg.LinAlgError:
+        return None
     rest, kept = need.copy(), []
     for j in np.argsort(-x, kind="stable"):
         a = columns[:, j].astype(np.int64)
