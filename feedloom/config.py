@@ -44,6 +44,10 @@ class FeedConfig:
     # Largest side (in estimated bytes) broadcast when its size is measured or
     # bounded (a cached micro-batch, the ids of the requested pages).
     broadcast_bytes: int = 64 * 1024 * 1024
+    # Size of the Bloom filter of an id set that is too large to be broadcast (1 MB).
+    bloom_bits: int = 1 << 23
+    # Parts of the delivery table, by author; a micro-batch reads those of its authors.
+    author_buckets: int = 64
 
     def with_(self, **kw) -> "FeedConfig":
         return replace(self, **kw)

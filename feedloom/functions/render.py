@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.config import LOCAL_TIME_FORMAT, FeedConfig
-from feedloom.functions.parse import parse_created_at, parse_json
+from feedloom.functions.parse import parse_created_at
+from feedloom.functions.payload import TAGS, as_payload, field
 
 
 def local_time(ts_utc: Column, tz: str) -> Column:
@@ -26,17 +27,15 @@ def profile_url(screen_name: Column, prefix: str) -> Column:
 
 def render(df: DataFrame, payload_col: str = "tweet", cfg: FeedConfig = FeedConfig(),
            keep: tuple[str, ...] = ()) -> DataFrame:
-    """V1-V3, V5 over a column of stored raw JSON.
-
-    from_json without options lets Catalyst parse only the fields used."""
-    j = parse_json(F.col(payload_col))
-    p = df.select(*keep, j.alias("j"))
+    """V1-V3, V5 over a column of stored payloads (or raw records): fields taken from the VARIANT."""
+    p = df.select(*keep, as_payload(df, payload_col).alias("p"))
+    get = lambda path, kind="string": field(F.col("p"), path, kind)
     return p.select(
         *keep,
-        local_time(parse_created_at(F.col("j.created_at")), cfg.local_tz).alias("local_time"),
-        F.col("j.text").alias("text"),
-        F.col("j.user.name").alias("author_name"),
-        F.col("j.user.screen_name").alias("author_screen_name"),
-        join_hashtags(F.col("j.entities.hashtags.text")).alias("hashtags"),
-        profile_url(F.col("j.user.screen_name"), cfg.profile_prefix).alias("profile_url"),
+        local_time(parse_created_at(get("created_at")), cfg.local_tz).alias("local_time"),
+        get("text").alias("text"),
+        get("user.name").alias("author_name"),
+        get("user.screen_name").alias("author_screen_name"),
+        join_hashtags(get("entities.hashtags", TAGS)["text"]).alias("hashtags"),
+        profile_url(get("user.screen_name"), cfg.profile_prefix).alias("profile_url"),
     )

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from feedloom.config import FeedConfig
 from feedloom.operators.skew import salted_join
 
+AUTHOR_BUCKET = "author_bucket"
+
 
 def list_store_edges(edges: DataFrame) -> DataFrame:
     """J2/J7/W8. List-store adjacency: edge rows as pushed (duplicates kept),
@@ -63,12 +65,30 @@ def delivery_plan(edges: DataFrame, cfg: FeedConfig = FeedConfig()) -> tuple[Dat
     return with_listener(e, cfg.listener, stats), stats.select("uid", (F.col("_n") + more).alias("_n"))
 
 
+def author_bucket(uid, buckets: int):
+    return F.pmod(F.xxhash64(uid), F.lit(buckets)).cast("int")
+
+
 def publish_delivery(edges: DataFrame, cfg: FeedConfig, path: str) -> None:
     """Append the delivery rows of ``edges`` (listener injected) to the delivery
     table.  A stream re-reads the table every batch (ST3) and runs with
     ``listener=None``, so no batch re-aggregates the edges; appending never
     touches files that a running batch reads."""
-    delivery_edges(edges, cfg).write.mode("append").parquet(path)
+    append_delivery(delivery_edges(edges, cfg), cfg, path)
+
+
+def append_delivery(rows: DataFrame, cfg: FeedConfig, path: str) -> None:
+    """ST3. Delivery rows, parted by author bucket.
+
+    Rows of a bucket meet in one task (the rebalance splits a bucket that is too large
+    for one), so an append adds about one file a bucket."""
+    parted = rows.withColumn(AUTHOR_BUCKET, author_bucket(F.col("uid"), cfg.author_buckets))
+    parted.hint("rebalance", AUTHOR_BUCKET).write.mode("append").partitionBy(AUTHOR_BUCKET).parquet(path)
+
+
+def read_delivery(spark, path: str) -> DataFrame:
+    """The delivery table as it is now: (uid, follower, author_bucket)."""
+    return spark.read.schema(f"uid bigint, follower bigint, {AUTHOR_BUCKET} int").parquet(path)
 
 
 def list_store_rows(edges: DataFrame) -> DataFrame:
@@ -93,6 +113,17 @@ def read_list_store(spark, path: str, direction: str = "followers") -> DataFrame
     return rows.select(F.col("owner").alias("uid"), F.col("member").alias("follower"))
 
 
+def of_buckets(delivery: DataFrame, buckets: list[int] | None) -> DataFrame:
+    """The parts of a delivery table that hold the authors of a measured batch.
+
+    The optimizer's own pruning by a broadcast side is lost where that side is a cached
+    micro-batch, so the buckets, at most ``cfg.author_buckets`` numbers, are a filter on
+    the partition column: the other parts are not even listed as input."""
+    if buckets is None or AUTHOR_BUCKET not in delivery.columns:
+        return delivery
+    return delivery.filter(F.col(AUTHOR_BUCKET).isin(buckets) if buckets else F.lit(False))
+
+
 def follower_stats(followers: DataFrame) -> DataFrame:
     """Per-author size and id sum of the delivery set (pre-aggregated lookup side)."""
     return followers.groupBy("uid").agg(F.count(F.lit(1)).alias("n_followers"),
@@ -120,10 +151,10 @@ def authors_without_followers(tweets: DataFrame, followers: DataFrame) -> DataFr
 def fanout(tweets: DataFrame, followers: DataFrame, cfg: FeedConfig = FeedConfig(),
            carry: tuple[str, ...] = (), counts: DataFrame | None = None,
            tweets_bytes: int | None = None) -> DataFrame:
-    """J5/J6. One row per (follower, tweet): ``uid`` is the receiving user.
+    """J5. One row per (follower, tweet): ``uid`` is the receiving user.
 
-    ``carry`` adds tweet columns (e.g. the raw payload for the denormalized
-    layout).  Authors without a follower row produce nothing (inner join).
+    ``carry`` adds tweet columns.  Authors without a follower row produce nothing
+    (inner join).
 
     ``tweets_bytes`` is the measured size of the tweet side (a cached
     micro-batch).  When it is within ``cfg.broadcast_bytes`` the tweets are
@@ -132,10 +163,58 @@ def fanout(tweets: DataFrame, followers: DataFrame, cfg: FeedConfig = FeedConfig
     Otherwise both sides shuffle on (uid, salts); authors whose tweets times
     receivers exceed ``cfg.skew_split_rows`` are split on both sides."""
     t = tweets.select("uid", "time", "tid", *carry)
-    if tweets_bytes is not None and tweets_bytes <= cfg.broadcast_bytes:
+    if fits(tweets_bytes, cfg):
         joined = followers.select("uid", "follower").join(F.broadcast(t), "uid", "inner")
     else:
         joined = salted_join(t, followers.select("uid", "follower"), key="uid",
                              spread_col="follower", small_spread="tid", split_rows=cfg.skew_split_rows,
                              big_counts=counts)
     return joined.select(F.col("follower").alias("uid"), "time", "tid", *carry)
+
+
+def fits(tweets_bytes: int | None, cfg: FeedConfig) -> bool:
+    """Is the tweet side measured, and small enough to be broadcast?"""
+    return tweets_bytes is not None and tweets_bytes <= cfg.broadcast_bytes
+
+
+#: a version of a tweet's payload
+VERSION = ["tid", "tweet_hash"]
+
+
+def payloads(tweets: DataFrame, *columns: str) -> DataFrame:
+    """(tid, tweet_hash, columns): one row a version, however often it was delivered."""
+    return tweets.select(*VERSION, *(columns or ("tweet",))).dropDuplicates(VERSION)
+
+
+def receivers(tweets: DataFrame, counts: DataFrame) -> DataFrame:
+    """(tid, tweet_hash, _n): rows that the fan-out makes of each version, from the receivers of
+    its author: no pass over the fan-out."""
+    return tweets.select("uid", *VERSION).join(counts, "uid").groupBy(*VERSION).agg(F.sum("_n").alias("_n"))
+
+
+def attach_payloads(rows: DataFrame, versions: DataFrame, cfg: FeedConfig = FeedConfig(),
+                    counts: DataFrame | None = None) -> DataFrame:
+    """J6. Narrow fan-out rows (uid, ..., tid, tweet_hash) with their payload.
+
+    A payload moves once a version, never once a receiver: what is shuffled per receiver
+    is the narrow row.  A tweet with more than ``cfg.skew_split_rows`` receivers is split
+    over tasks.  ``counts`` (tid, tweet_hash, _n): rows of ``rows`` a version."""
+    return salted_join(versions, rows, key=VERSION, spread_col="uid", small_spread="tid",
+                       split_rows=cfg.skew_split_rows, big_counts=counts)
+
+
+def fanout_denorm(tweets: DataFrame, followers: DataFrame, cfg: FeedConfig = FeedConfig(),
+                  carry: tuple[str, ...] = (), payload: tuple[str, ...] = ("tweet",),
+                  counts: DataFrame | None = None, tweets_bytes: int | None = None) -> DataFrame:
+    """J6. Fan-out carrying the payload columns.
+
+    A measured, small batch is broadcast with its payloads; otherwise the fan-out is
+    narrow and the payloads are attached behind it."""
+    carry = tuple(c for c in carry if c != "tweet_hash")
+    if fits(tweets_bytes, cfg):
+        return fanout(tweets, followers, cfg, (*carry, "tweet_hash", *payload), counts, tweets_bytes)
+    narrow = fanout(tweets, followers, cfg, (*carry, "tweet_hash"), counts)
+    if counts is None:
+        counts = followers.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
+    rows = attach_payloads(narrow, payloads(tweets, *payload), cfg, receivers(tweets, counts))
+    return rows.select("uid", "time", "tid", *carry, "tweet_hash", *payload)

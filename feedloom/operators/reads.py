@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.config import PAGE_CAP, PAGE_STEP, FeedConfig
+from feedloom.operators.bloom import may_hold
+from feedloom.operators.skew import salted_join
 from feedloom.operators.store import resolve
+from feedloom.sources.tables import cut
 
 
 def page_size(n: Column) -> Column:
@@ -30,9 +33,9 @@ def newest_n(df: DataFrame, n: int, key: str = "uid") -> DataFrame:
 
 
 def user_page(df: DataFrame, uid: int, n: int) -> DataFrame:
-    """R1 for one user (the per-request read).  ``df`` is ``store.read(..., uid=uid)``,
-    which opens one uid bucket of the snapshot; the uid filter reaches the parquet
-    scans, and the limit plans as a top-n."""
+    """R1 for one user (the per-request read).  The uid filter reaches the parquet scans,
+    where sorted row groups and Bloom filters leave few of them to read; the limit plans
+    as a top-n."""
     return df.filter(F.col("uid") == F.lit(uid)).orderBy(*_order(df)).limit(n)
 
 
@@ -54,22 +57,30 @@ def newest_for_requests(df: DataFrame, requests: DataFrame, bounds=None,
     first - whole uid groups, so exact - and only those are resolved (T1,
     then T4 at ``as_of``)."""
     pages, mx, _ = bounds or page_bounds(requests)
-    cut = df.join(pages.select("uid"), "uid", "left_semi")
-    if "ingest_ts" in cut.columns:
-        cut = resolve("inboxes", cut, cfg, as_of)
-    ranked = newest_n(cut.select("uid", "time", "tid"), mx)
+    mine = df.join(pages.select("uid"), "uid", "left_semi")
+    if "ingest_ts" in mine.columns:
+        mine = resolve("inboxes", mine, cfg, as_of)
+    ranked = newest_n(mine.select("uid", "time", "tid"), mx)
     return ranked.join(pages, "uid", "inner").filter(F.col("rn") <= F.col("page_size"))
 
 
-def _id_keys(ids: DataFrame, max_ids: int | None, broadcast_bytes: int) -> DataFrame:
+def _cut_to(tweets: DataFrame, ids: DataFrame, max_ids: int | None, cfg: FeedConfig) -> DataFrame:
+    """Tweet rows whose tid is among ``ids``.
+
+    ``max_ids``: a proven bound on the id rows.  Within ``cfg.broadcast_bytes`` the ids are
+    broadcast and the tweets only scanned.  Beyond it the ids make a Bloom filter of
+    bounded size, which thins the tweets out before both sides shuffle; the join
+    removes what the filter lets through by chance."""
     keys = ids.select("tid")
-    if max_ids is not None and max_ids * 16 <= broadcast_bytes:
-        return F.broadcast(keys)   # bounded: at most max_ids rows
-    return keys.distinct()         # shuffled: one row per id (partial agg first)
+    if max_ids is not None and max_ids * 16 <= cfg.broadcast_bytes:
+        return tweets.join(F.broadcast(keys), "tid", "left_semi")
+    # one row an id (partial aggregation first), written once: the filter and the join read it
+    keys = cut(ids.sparkSession, keys.distinct(), "id-set")
+    return tweets.filter(may_hold(F.col("tid"), keys, "tid", cfg.bloom_bits)).join(keys, "tid", "left_semi")
 
 
 def resolve_tweets(ids: DataFrame, tweets: DataFrame, max_ids: int | None = None,
-                   broadcast_bytes: int = 64 * 1024 * 1024, as_of: str | None = None) -> DataFrame:
+                   cfg: FeedConfig = FeedConfig(), as_of: str | None = None) -> DataFrame:
     """J8. Attach the stored payload by tid; missing tweets vanish (inner).
 
     ``tweets`` are stored tweet rows (all written versions).  They are first
@@ -77,19 +88,21 @@ def resolve_tweets(ids: DataFrame, tweets: DataFrame, max_ids: int | None = None
     groups, so resolving afterwards (T2, then T4 at ``as_of``) gives exactly
     the resolved table's rows - and only those few tweets are resolved and
     joined.  ``max_ids`` is a proven upper bound on the id rows (the sum of
-    page sizes); within ``broadcast_bytes`` the ids are broadcast and the
-    tweets table is scanned once and never shuffled."""
-    needed = tweets.join(_id_keys(ids, max_ids, broadcast_bytes), "tid", "left_semi")
-    if "ingest_ts" in needed.columns:
-        needed = resolve("tweets", needed, as_of=as_of)
-    return ids.join(needed.select("tid", "tweet"), "tid", "inner")
+    page sizes).  Without one the ids may be of any number: they are written once,
+    and a tid that more than ``cfg.skew_split_rows`` of them name is split."""
+    if max_ids is None:
+        ids = cut(ids.sparkSession, ids, "resolve-ids")
+    needed = tweets_in_set(tweets, ids, max_ids, cfg, as_of).select("tid", "tweet")
+    if max_ids is None:
+        return salted_join(needed, ids, "tid", "uid", "tid", cfg.skew_split_rows)
+    return ids.join(needed, "tid", "inner")
 
 
 def tweets_in_set(tweets: DataFrame, ids: DataFrame, max_ids: int | None = None,
-                  broadcast_bytes: int = 64 * 1024 * 1024, as_of: str | None = None) -> DataFrame:
+                  cfg: FeedConfig = FeedConfig(), as_of: str | None = None) -> DataFrame:
     """J9. Stored tweets whose tid is in the id set (semi join, empty set ok);
     stored rows are resolved after the cut, as in ``resolve_tweets``."""
-    found = tweets.join(_id_keys(ids, max_ids, broadcast_bytes), "tid", "left_semi")
+    found = _cut_to(tweets, ids, max_ids, cfg)
     if "ingest_ts" in found.columns:
         found = resolve("tweets", found, as_of=as_of)
     return found

@@ -20,26 +20,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(small: DataFrame, big_counts: DataFrame, key: str, split_rows: int) -> DataFrame:
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def hot_keys(small: DataFrame, big_counts: DataFrame, key: str | list[str], split_rows: int) -> DataFrame:
     """(key, _se, _st) of the keys whose product exceeds ``split_rows``.
 
     big_counts: (key, _n), rows of the large side per key."""
-    t = small.groupBy(key).agg(F.count(F.lit(1)).alias("_t"))          # partial agg
+    key = _keys(key)
+    t = small.groupBy(*key).agg(F.count(F.lit(1)).alias("_t"))         # partial agg
     n_, t_, split = F.col("_n"), F.col("_t"), F.lit(split_rows)
     se = F.least(n_, F.ceil(n_ * t_ / split))
-    return (big_counts.select(key, "_n").join(t, key).filter(n_ * t_ > split)
+    return (big_counts.select(*key, "_n").join(t, key).filter(n_ * t_ > split)
             .withColumn("_se", se.cast("int"))
             .withColumn("_st", F.ceil(t_ * F.ceil(n_ / F.col("_se")) / split).cast("int"))
-            .select(key, "_se", "_st"))
+            .select(*key, "_se", "_st"))
 
 
-def salted_join(small: DataFrame, big: DataFrame, key: str, spread_col: str, small_spread: str,
+def salted_join(small: DataFrame, big: DataFrame, key: str | list[str], spread_col: str, small_spread: str,
                 split_rows: int, big_counts: DataFrame | None = None) -> DataFrame:
-    """Inner join ``small`` to ``big`` on ``key`` with hot keys split.
+    """Inner join ``small`` to ``big`` on ``key`` (a column or several) with hot keys split.
 
     Output has the columns of both sides (``key`` once); no helper columns."""
+    key = _keys(key)
     if big_counts is None:
-        big_counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        big_counts = big.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(hot_keys(small, big_counts, key, split_rows))   # bounded, see module doc
     own = lambda col, n: F.coalesce(F.pmod(F.xxhash64(F.col(col)), F.col(n)), F.lit(0)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n), F.lit(1)) - 1))
@@ -47,4 +53,4 @@ def salted_join(small: DataFrame, big: DataFrame, key: str, spread_col: str, sma
              .drop("_se", "_st"))
     small_s = (small.join(hot, key, "left").withColumn("_s", own(small_spread, "_st")).withColumn("_e", every("_se"))
                .drop("_se", "_st"))
-    return small_s.join(big_s, [key, "_e", "_s"], "inner").drop("_e", "_s")
+    return small_s.join(big_s, [*key, "_e", "_s"], "inner").drop("_e", "_s")

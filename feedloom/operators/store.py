@@ -3,7 +3,7 @@
 Plain parquet has no keys or TTL, so the stores are merge-on-read:
 every write appends rows stamped with ``ingest_ts``, ``expire_at`` and
 ``batch_id``; readers resolve keys (last write wins) and hide expired rows;
-compaction applies the same resolution once and rewrites the table.
+compaction applies the same resolution once and writes a new table.
 
 Resolution is built from hash-aggregatable ``max`` aggregates wherever the
 table has no payload column, so it runs map-side partial aggregation and
@@ -37,32 +37,40 @@ def with_expiry(df: DataFrame, cfg: FeedConfig = FeedConfig(), ingest_col: str |
 
 def upsert_uid_time(df: DataFrame, policy: str = "upsert", payload: tuple[str, ...] = ()) -> DataFrame:
     """T1. One row per (uid, time): the largest tid wins, of its writes the latest
-    (then the longest lived, then the largest payload), and every column is that
+    (then the longest lived, then the largest payload hash), and every column is that
     row's.  ``keep_all`` keys rows by (uid, time, tid) instead."""
     meta = [c for c in META if c in df.columns]
     key = ["uid", "time", "tid"] if policy == "keep_all" else ["uid", "time"]
-    order = [c for c in ("tid", *meta, *payload) if c not in key]
+    hashed = ["tweet_hash"] if "tweet_hash" in df.columns else []
+    order = [c for c in ("tid", *meta, *(hashed or payload)) if c not in key]
     if not order:
         return df.groupBy(*key).count().drop("count")
-    if payload or len(order) > 3 or not meta:
+    if payload and hashed:
+        # payloads (VARIANT) have no order of their own
+        last = F.struct(*order)
+        out = df.groupBy(*key).agg(F.max(last).alias("_w"), F.max_by(F.struct(*payload), last).alias("_p"))
+        return out.select(*key, *[F.col("_w")[c].alias(c) for c in order], *[F.col("_p")[c].alias(c) for c in payload])
+    if payload or not meta:
         best = F.max(F.struct(*order)).alias("_w") if len(order) > 1 else F.max(order[0]).alias(order[0])
         out = df.groupBy(*key).agg(best)
         return out.select(*key, *[F.col("_w")[c].alias(c) for c in order]) if len(order) > 1 else out
     # fixed-width columns only: the same order by hash aggregates, inside one partitioning
-    ingest, expire = META
-    rows = df.repartition(*key).groupBy("uid", "time", "tid", ingest).agg(F.max(expire).alias(expire))
-    rows = rows.groupBy("uid", "time", "tid").agg(F.max(ingest).alias(ingest), F.max_by(expire, ingest).alias(expire))
-    if policy == "keep_all":
-        return rows
-    return rows.groupBy("uid", "time").agg(F.max("tid").alias("tid"), F.max_by(ingest, "tid").alias(ingest),
-                                           F.max_by(expire, "tid").alias(expire))
+    rows = df.repartition(*key)
+    for k in range(len(order) - 1, -1, -1):
+        by, after = order[k], order[k + 1:]
+        rows = rows.groupBy(*key, *order[:k]).agg(F.max(by).alias(by), *[F.max_by(c, by).alias(c) for c in after])
+    return rows
 
 
 def upsert_tid(df: DataFrame, payload: str = "tweet") -> DataFrame:
-    """T2. One row per tid; the latest write wins, ties broken by payload."""
-    w = F.max(F.struct(*[F.col(c) for c in META if c in df.columns], F.col(payload))).alias("_w")
-    cols = [F.col(f"_w.{c}").alias(c) for c in META if c in df.columns]
-    return df.groupBy("tid").agg(w).select("tid", F.col(f"_w.{payload}").alias(payload), *cols)
+    """T2. One row per tid; the latest write wins, ties broken by payload hash (or raw payload)."""
+    meta = [c for c in META if c in df.columns]
+    if "tweet_hash" in df.columns:
+        last = F.struct(*meta, "tweet_hash")
+        out = df.groupBy("tid").agg(F.max(last).alias("_w"), F.max_by(payload, last).alias(payload))
+        return out.select("tid", payload, *[F.col("_w")[c].alias(c) for c in ("tweet_hash", *meta)])
+    w = F.max(F.struct(*meta, F.col(payload))).alias("_w")
+    return df.groupBy("tid").agg(w).select("tid", F.col(f"_w.{payload}").alias(payload), *[F.col(f"_w.{c}").alias(c) for c in meta])
 
 
 def visible(df: DataFrame, as_of: str) -> DataFrame:
@@ -78,10 +86,13 @@ def clustered(df: DataFrame) -> DataFrame:
 def resolve(table: str, df: DataFrame, cfg: FeedConfig = FeedConfig(), as_of: str | None = None) -> DataFrame:
     """Expiry, then the key semantics of ``table`` (``as_of`` None: keep expired).
 
+    Columns that are neither key nor stamp are payload: the winning row's.
+
     Expired writes leave first, as in a store where each written cell lives for
     its own time: they can neither hide nor outlive another write of their key.
     The filter is on a stored column, so it reaches the scan."""
     live = df if as_of is None else visible(df, as_of)
     if table == "tweets":
         return upsert_tid(live)
-    return upsert_uid_time(live, cfg.policy, ("tweet",) if "tweet" in df.columns else ())
+    own = ("uid", "time", "tid", "tweet_hash", *META)
+    return upsert_uid_time(live, cfg.policy, tuple(c for c in df.columns if c not in own))

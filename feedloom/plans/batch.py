@@ -10,10 +10,12 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedloom.config import FeedConfig
 from feedloom.functions.parse import ingest
-from feedloom.operators.fanout import delivery_plan, fanout
+from feedloom.functions.payload import to_payload
+from feedloom.operators.fanout import delivery_plan, fanout, fanout_denorm, of_buckets, payloads
 from feedloom.operators.store import resolve, with_expiry
 from feedloom.sources import fixtures
 
@@ -52,31 +54,50 @@ class LazyTables(Mapping):
 
 
 def timeline_rows(tweets: DataFrame, edges: DataFrame, cfg: FeedConfig = FeedConfig(),
-                  ingest_col: str | None = "time", tweets_bytes: int | None = None) -> LazyTables:
+                  ingest_col: str | None = "time", tweets_bytes: int | None = None,
+                  buckets: list[int] | None = None) -> LazyTables:
     """P7 + J5/J6 + W1-W5/W9: the per-sink rows of one input (batch or micro-batch).
 
     norm:   tweets(tid, tweet), homepages(author), inboxes(follower) with tid
     denorm: historytweets(author), feedslists(follower) with the payload
-    ``tweets_bytes``: measured size of the fan-out side, if known (see fanout)."""
-    t = with_expiry(tweets.select("tid", "uid", "time", "tweet"), cfg, ingest_col)
+    The payload is parsed here, once a tweet, into a VARIANT.
+    ``tweets_bytes``, ``buckets``: measured size and author buckets of the fan-out side, if
+    known (see fanout, of_buckets)."""
+    t = stamped(tweets, cfg, ingest_col)
     meta = ("ingest_ts", "expire_at")
 
-    def fan(carry):
-        followers, counts = delivery_plan(edges, cfg)
-        return fanout(t, followers, cfg, carry=carry, counts=counts, tweets_bytes=tweets_bytes)
+    def fan(denorm=False):
+        followers, counts = delivery_plan(of_buckets(edges, buckets), cfg)
+        return (fanout_denorm if denorm else fanout)(t, followers, cfg, carry=meta, counts=counts, tweets_bytes=tweets_bytes)
 
     if cfg.layout == "norm":
         return LazyTables({
-            "tweets": lambda: t.select("tid", "tweet", *meta),
+            "tweets": lambda: t.select("tid", "tweet", "tweet_hash", *meta),
             "homepages": lambda: t.select("uid", "time", "tid", *meta),
-            "inboxes": lambda: fan(meta),
+            "inboxes": fan,
         })
     return LazyTables({
-        "historytweets": lambda: t.select("uid", "time", "tid", "tweet", *meta),
-        "feedslists": lambda: fan(("tweet",) + meta),
+        "historytweets": lambda: t.select("uid", "time", "tid", "tweet", "tweet_hash", *meta),
+        "feedslists": lambda: fan(denorm=True),
     })
 
 
+def stamped(tweets: DataFrame, cfg: FeedConfig = FeedConfig(), ingest_col: str | None = "time") -> DataFrame:
+    """Valid tweets as they are stored: (tid, uid, time, payload, hash of the raw record, stamps)."""
+    rows = tweets.select("tid", "uid", "time", to_payload(F.col("tweet")).alias("tweet"),
+                         F.xxhash64("tweet").alias("tweet_hash"))
+    return with_expiry(rows, cfg, ingest_col)
+
+
+def denorm_parts(spark: SparkSession, sf_dir: str, cfg: FeedConfig = FeedConfig()) -> tuple[DataFrame, DataFrame]:
+    """The denormalized feed of the whole fixture feed in its two parts: narrow receiver rows
+    (uid, time, tid, tweet_hash, stamps) and payloads (tid, tweet_hash, tweet)."""
+    inp = load_inputs(spark, sf_dir, cfg)
+    t = stamped(ingest(inp.raw, cfg), cfg)
+    followers, counts = delivery_plan(inp.edges, cfg)
+    return fanout(t, followers, cfg, ("tweet_hash", "ingest_ts", "expire_at"), counts), payloads(t)
+
+
 def batch_tables(spark: SparkSession, sf_dir: str, cfg: FeedConfig = FeedConfig()) -> LazyTables:
     """Sink rows of the whole fixture feed as one batch."""
     inp = load_inputs(spark, sf_dir, cfg)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from feedloom.config import FEED_READ_SIZE, FeedConfig
 from feedloom.functions import parse as P
+from feedloom.functions import payload as PL
 from feedloom.functions.render import join_hashtags, local_time, render
 from feedloom.operators import fanout as J
 from feedloom.operators import graph as G
@@ -23,7 +24,7 @@ from feedloom.plans import batch
 from feedloom.plans import timelines as tl
 from feedloom.session import scratch_path
 from feedloom.sources import fixtures, ingest
-from feedloom.sources.store import TimelineStore
+from feedloom.sources.store import TimelineStore, compact, read_compacted
 from feedloom.streaming import fanout_stream as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,18 +65,17 @@ def _delivery(spark, sf_dir, cfg=CFG):
     return J.delivery_edges(fixtures.edges(spark, sf_dir, distinct=(cfg.store == "set")), cfg)
 
 
-def _payload(col="tweet"):
-    j = F.from_json(F.col(col), "id_str string, text string")       # parsed once
-    return j["id_str"].try_cast("bigint").alias("payload_id"), F.md5(j["text"].cast("binary")).alias("text_md5")
-
-
 def _text(col="tweet"):
-    return F.get_json_object(F.col(col), "$.text").alias("text")
+    return PL.text(F.col(col)).alias("text")
 
 
 def _text_md5(col="tweet"):
-    """Digest of the whole text, where a payload comes once per receiving user."""
-    return F.md5(F.get_json_object(F.col(col), "$.text").cast("binary")).alias("text_md5")
+    return PL.text_md5(F.col(col)).alias("text_md5")
+
+
+def _digest():
+    """What a query shows of a payload that comes once per receiving user."""
+    return {"text_md5": PL.text_md5(F.col("tweet"))}
 
 
 def _halves(df, col="time"):
@@ -196,17 +196,23 @@ def q_fanout_norm(spark, sf_dir):
 
 @query("fanout_denorm")
 def q_fanout_denorm(spark, sf_dir):
-    """Fan-out carrying the raw payload; per tweet, the payloads delivered and to whom."""
-    f = batch.batch_tables(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
-    return f.select("uid", "tid", *_payload()).groupBy("tid", "payload_id", "text_md5").agg(
+    """Fan-out carrying the payload; per tweet, the payloads delivered and to whom."""
+    return _receiver_rows(spark, sf_dir).groupBy("tid", "payload_id", "text_md5").agg(
         F.count(F.lit(1)).alias("n_receivers"), F.sum("uid").alias("sum_uid"))
 
 
+def _receiver_rows(spark, sf_dir):
+    """The denormalized fan-out with what the queries show of each payload: worked out once a
+    version of a tweet, then attached to the narrow rows of its receivers."""
+    rows, versions = batch.denorm_parts(spark, sf_dir, CFG)
+    shown = versions.select("tid", "tweet_hash", PL.payload_id(F.col("tweet")).alias("payload_id"), _text_md5())
+    return J.attach_payloads(rows, shown, CFG)
+
+
 @query("fanout_denorm_receivers")
 def q_fanout_denorm_receivers(spark, sf_dir):
     """One payload row per (follower, tweet): who receives which payload, and when."""
-    f = batch.batch_tables(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
-    return f.select("uid", "time", "tid", *_payload())
+    return _receiver_rows(spark, sf_dir).select("uid", "time", "tid", "payload_id", "text_md5")
 
 
 @query("fanout_list_store")
@@ -302,7 +308,7 @@ def q_sink_feedslists(spark, sf_dir):
     """W5 + T1 + T4 (denormalized inbox)."""
     cfg = CFG.with_(layout="denorm")
     s = _stored(spark, sf_dir, cfg, ("feedslists",))
-    return s.read("feedslists", cfg, cfg.as_of).select("uid", "time", "tid", _text_md5(), "expire_at")
+    return s.read("feedslists", cfg, cfg.as_of, facts=_digest()).select("uid", "time", "tid", "text_md5", "expire_at")
 
 
 def _csv(col):
@@ -344,13 +350,11 @@ def q_upsert_uid_time(spark, sf_dir):
 def q_upsert_tid(spark, sf_dir):
     """The tweets delivered twice (an hour later with an added field); the
     later write wins, one row per tid."""
-    t = _tweets(spark, sf_dir).select("tid", "tweet", "time")
-    first = T.with_expiry(t, CFG)
+    t = _tweets(spark, sf_dir).select("tid", "uid", "tweet", "time")
     edited = F.regexp_replace("tweet", "}$", ',"edited":1}')
-    again = T.with_expiry(t.withColumn("time", F.col("time") + F.expr("INTERVAL 1 HOUR"))
-                          .withColumn("tweet", edited), CFG)
-    res = T.upsert_tid(first.unionByName(again).drop("time"))
-    return res.select("tid", _text(), F.get_json_object("tweet", "$.edited").cast("int").alias("edited"), "ingest_ts")
+    again = t.withColumn("time", F.col("time") + F.expr("INTERVAL 1 HOUR")).withColumn("tweet", edited)
+    res = T.upsert_tid(batch.stamped(t, CFG).unionByName(batch.stamped(again, CFG)).drop("uid", "time"))
+    return res.select("tid", _text(), PL.field(F.col("tweet"), "edited", "int").alias("edited"), "ingest_ts")
 
 
 @query("ttl_visible")
@@ -363,27 +367,25 @@ def q_ttl_visible(spark, sf_dir):
 
 @query("compact_store")
 def q_compact_store(spark, sf_dir):
-    """Two deliveries, compaction at as_of twice (the second without new
-    batches), the second delivery replayed, another compaction, and old folders
-    reclaimed: the reader sees each key once, unexpired."""
+    """Two deliveries compacted at as_of, the second delivery replayed as a later
+    batch, and that compacted with the table before: each key once, unexpired."""
     s = _stored(spark, sf_dir, CFG, ("inboxes",))
-    s.compact("inboxes", CFG, CFG.as_of)
-    s.compact("inboxes", CFG, CFG.as_of)
+    compact(s.raw("inboxes"), "inboxes", f"{s.root}/compact-0", CFG, CFG.as_of)
     late = _half_tweets(spark, sf_dir, CFG, 1)
     s.write_batch("inboxes", batch.timeline_rows(late, fixtures.edges(spark, sf_dir), CFG)["inboxes"], 2)
-    s.compact("inboxes", CFG, CFG.as_of)
-    s.reclaim("inboxes")
-    return s.read("inboxes", CFG, CFG.as_of).select("uid", "time", "tid", "expire_at")
+    both = read_compacted(spark, "inboxes", f"{s.root}/compact-0").unionByName(s.raw("inboxes", after=1).drop("batch_id"))
+    compact(both, "inboxes", f"{s.root}/compact-1", CFG, CFG.as_of)
+    return read_compacted(spark, "inboxes", f"{s.root}/compact-1").select("uid", "time", "tid", "expire_at")
 
 
 @query("user_page")
 def q_user_page(spark, sf_dir):
-    """R1 + T3: one request - the listener's newest 20 - read from the one uid
-    bucket of the compacted store that holds the user."""
+    """R1 + T3: one request - the listener's newest 20 - read from the compacted table
+    by the uid filter of its sorted row groups."""
     s = _stored(spark, sf_dir, CFG, ("inboxes",))
-    s.compact("inboxes", CFG, CFG.as_of)
-    page = R.user_page(s.read("inboxes", CFG, CFG.as_of, uid=CFG.listener), CFG.listener, FEED_READ_SIZE)
-    return page.select("uid", "time", "tid")
+    compact(s.raw("inboxes"), "inboxes", f"{s.root}/compact", CFG, CFG.as_of)
+    rows = T.visible(read_compacted(spark, "inboxes", f"{s.root}/compact"), CFG.as_of)
+    return R.user_page(rows, CFG.listener, FEED_READ_SIZE).select("uid", "time", "tid")
 
 
 # ---------------------------------------------------------------------------
@@ -438,8 +440,8 @@ def q_homepage_topn(spark, sf_dir):
 @query("feed_topn_denorm")
 def q_feed_topn_denorm(spark, sf_dir):
     """Newest 20 payloads per user from the denormalized feed."""
-    f = _stored_rows(spark, sf_dir, CFG.with_(layout="denorm"))["feedslists"]
-    return tl.feed_topn_denorm(f, as_of=CFG.as_of).select("uid", "rn", "time", "tid", _text_md5())
+    rows, versions = batch.denorm_parts(spark, sf_dir, CFG)
+    return tl.feed_topn_denorm(rows, as_of=CFG.as_of, versions=versions).select("uid", "rn", "time", "tid", _text_md5())
 
 
 @query("feed_topn_norm")
@@ -540,17 +542,17 @@ def q_audience_tiers(spark, sf_dir):
 def q_layout_equivalence(spark, sf_dir):
     """B1 re-aimed: both layouts serve the same newest-20 feed for every user."""
     n = _tables(spark, sf_dir)
-    d = _stored_rows(spark, sf_dir, CFG.with_(layout="denorm"))
-    return tl.layout_equivalence(n["inboxes"], n["tweets"], d["feedslists"], as_of=CFG.as_of)
+    rows, versions = batch.denorm_parts(spark, sf_dir, CFG)
+    return tl.layout_equivalence(n["inboxes"], n["tweets"], rows, as_of=CFG.as_of, versions=versions)
 
 
 @query("layout_equivalence_sample")
 def q_layout_equivalence_sample(spark, sf_dir):
     """B1 + B2: the same audit for a deterministic sample of 40 requested users."""
     n = _tables(spark, sf_dir)
-    d = _stored_rows(spark, sf_dir, CFG.with_(layout="denorm"))
+    rows, versions = batch.denorm_parts(spark, sf_dir, CFG)
     some = tl.sample_users(fixtures.requests(spark, sf_dir), 40)
-    out = tl.layout_equivalence(n["inboxes"], n["tweets"], d["feedslists"], users=some, as_of=CFG.as_of)
+    out = tl.layout_equivalence(n["inboxes"], n["tweets"], rows, users=some, as_of=CFG.as_of, versions=versions)
     return out.agg(F.count(F.lit(1)).alias("n_users"), *[
         F.sum(c).cast("bigint").alias(c) for c in ("n_only_norm", "n_only_denorm")])
 
@@ -563,10 +565,10 @@ def _edges_table(spark, sf_dir, root, df=None, store="set"):
     ``root``; the stream re-reads it each batch and runs with listener=None."""
     path = f"{root}/delivery"
     if df is not None:
-        df.write.mode("append").parquet(path)
+        J.append_delivery(df, CFG, path)
     else:
         J.publish_delivery(fixtures.edges(spark, sf_dir, distinct=(store == "set")), CFG.with_(store=store), path)
-    return lambda: spark.read.parquet(path)
+    return lambda: J.read_delivery(spark, path)
 
 
 STREAM_CFG = CFG.with_(listener=None)   # listener rows live in the delivery table

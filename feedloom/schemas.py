@@ -31,11 +31,12 @@ TWEET_TEXTS = T.StructType([T.StructField(f.name, T.StringType()) for f in TWEET
 ENTITIES = TWEET["entities"].dataType
 
 # Stored table layouts (key columns first); every stored row also carries
-# ingest_ts, expire_at and batch_id.
+# ingest_ts, expire_at and batch_id.  tweet is the payload (VARIANT), tweet_hash
+# a hash of the raw record: it names a version of the payload and orders them.
 STORE_TABLES = {
-    "tweets": ("tid", "tweet"),
+    "tweets": ("tid", "tweet", "tweet_hash"),
     "homepages": ("uid", "time", "tid"),
     "inboxes": ("uid", "time", "tid"),
-    "historytweets": ("uid", "time", "tid", "tweet"),
-    "feedslists": ("uid", "time", "tid", "tweet"),
+    "historytweets": ("uid", "time", "tid", "tweet", "tweet_hash"),
+    "feedslists": ("uid", "time", "tid", "tweet", "tweet_hash"),
 }

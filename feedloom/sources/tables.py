@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedloom.session import scratch_path
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A scan that lists its files anew, so files added to a table are seen."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
+
+
+def cut(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: whoever uses the result
+    several times evaluates its plan once."""
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,11 +5,15 @@ from pyspark.sql import functions as F
 from conftest import raw_df, tweet_json
 from feedloom.config import FeedConfig
 from feedloom.functions.parse import ingest
+from feedloom.functions.payload import text
 from feedloom.operators import reads as R
 from feedloom.operators import store as T
+from feedloom.operators.bloom import may_hold
 from feedloom.plans import timelines as tl
 from feedloom.plans.batch import timeline_rows
-from feedloom.sources.store import TimelineStore
+from feedloom.session import scratch_path
+from feedloom.sources import store as store_module
+from feedloom.sources.store import TimelineStore, columns, compact, read_compacted
 
 T0 = dt.datetime(2024, 1, 30, 12, 0, 0)
 CFG = FeedConfig(listener=None)
@@ -77,15 +81,24 @@ def test_store_replay_and_compaction(spark):
     for t, df in rows.items():
         once.write_batch(t, df, 0)
     for t in rows:
-        a, b = store.read(t, CFG, CFG.as_of), once.read(t, CFG, CFG.as_of)
+        a, b = comparable(store.read(t, CFG, CFG.as_of)), comparable(once.read(t, CFG, CFG.as_of))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     store.write_batch("inboxes", rows["inboxes"], 0)                  # replay of batch 0: no-op
     assert store.raw("inboxes").count() == 2 * 40
-    assert store.compact("inboxes", CFG, CFG.as_of) == 1
-    assert store.raw("inboxes").count() == 40                         # snapshot only
+    first, second = (scratch_path(spark, f"t-compact{k}") for k in range(2))
+    compact(store.raw("inboxes"), "inboxes", first, CFG, CFG.as_of)
+    assert read_compacted(spark, "inboxes", first).count() == 40
     store.write_batch("inboxes", rows["inboxes"], 2)
-    assert store.read("inboxes", CFG, CFG.as_of).count() == 40
-    assert store.raw("inboxes").count() == 80
+    assert store.raw("inboxes", after=1).count() == 40
+    compact(read_compacted(spark, "inboxes", first).unionByName(store.raw("inboxes", after=1).drop("batch_id")),
+            "inboxes", second, CFG, CFG.as_of)
+    a, b = read_compacted(spark, "inboxes", second), once.read("inboxes", CFG, CFG.as_of).select(*columns("inboxes"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def comparable(df):
+    """Set operations know no VARIANT."""
+    return df.withColumn("tweet", F.to_json("tweet")) if "tweet" in df.columns else df
 
 
 def test_layout_equivalence_and_feed_reads(spark):
@@ -99,7 +112,7 @@ def test_layout_equivalence_and_feed_reads(spark):
     eq = {r["uid"]: tuple(r)[1:] for r in tl.layout_equivalence(ib, tws, fl).collect()}
     assert eq == {1: (20, 20, 0, 0), 2: (20, 20, 0, 0)}
     # break one payload in the denormalized copy: the audit sees it
-    bad = fl.withColumn("tweet", F.when(F.col("tid") == 30, F.lit("x")).otherwise(F.col("tweet")))
+    bad = fl.withColumn("tweet", F.when(F.col("tid") == 30, F.parse_json(F.lit('"x"'))).otherwise(F.col("tweet")))
     eq = {r["uid"]: tuple(r)[1:] for r in tl.layout_equivalence(ib, tws, bad).collect()}
     assert eq[1] == (20, 20, 1, 1)
 
@@ -136,22 +149,6 @@ def test_write_time_expiry_stamp(spark):
     assert r["expire_at"] - r["ingest_ts"] == dt.timedelta(seconds=CFG.ttl_seconds)
 
 
-def test_repeated_compaction_uses_newest_snapshot(spark):
-    e = spark.createDataFrame([(10, 1)], "uid bigint, follower bigint")
-    store = TimelineStore(spark)
-    a, b, c = _feed(spark, 5), _feed(spark, 5, start=T0 + dt.timedelta(hours=1)), \
-        _feed(spark, 5, start=T0 + dt.timedelta(hours=2))
-    store.write_batch("inboxes", timeline_rows(a, e, CFG)["inboxes"], 0)
-    assert store.compact("inboxes", CFG, CFG.as_of) == 0
-    store.write_batch("inboxes", timeline_rows(b, e, CFG)["inboxes"], 1)
-    assert store.compact("inboxes", CFG, CFG.as_of) == 1
-    store.write_batch("inboxes", timeline_rows(c, e, CFG)["inboxes"], 2)
-    assert store.compacted_upto("inboxes") == 1
-    assert store.raw("inboxes").count() == 10 + 5        # snapshot upto=1 + batch 2
-    times = sorted(r["time"] for r in store.read("inboxes", CFG, CFG.as_of).collect())
-    assert len(times) == 15 and times[0] == T0 + dt.timedelta(minutes=1)
-
-
 STAMPED = "uid bigint, time timestamp_ntz, tid bigint, ingest_ts timestamp_ntz, expire_at timestamp_ntz"
 
 
@@ -166,10 +163,11 @@ def test_expired_write_neither_hides_nor_outlives_another(spark):
     for s in (direct, between):
         for b, r in enumerate(rows):
             s.write_batch("inboxes", spark.createDataFrame([r], STAMPED), b)
-    assert between.compact("inboxes", CFG, "2024-01-19 00:00:00") == 1
-    for s in (direct, between):
-        got = [tuple(r) for r in s.read("inboxes", CFG, "2024-01-20 00:00:00").select("tid", "expire_at").collect()]
-        assert got == [(3, _day(25))]
+    path = scratch_path(spark, "t-between")
+    compact(between.raw("inboxes"), "inboxes", path, CFG, "2024-01-19 00:00:00")
+    late = T.visible(read_compacted(spark, "inboxes", path), "2024-01-20 00:00:00")
+    for df in (direct.read("inboxes", CFG, "2024-01-20 00:00:00"), late):
+        assert [tuple(r) for r in df.select("tid", "expire_at").collect()] == [(3, _day(25))]
     early = direct.read("inboxes", CFG, "2024-01-16 00:00:00").select("tid", "ingest_ts", "expire_at").collect()
     assert [tuple(r) for r in early] == [(9, _day(10), _day(17))]       # all columns from the winning row
 
@@ -183,45 +181,72 @@ def test_one_tid_with_two_payloads(spark):
         assert (got["tweet"], got["ingest_ts"], got["expire_at"]) == ("new", _day(11), _day(18))
 
 
-def test_second_compaction_without_new_batches(spark):
-    e = spark.createDataFrame([(10, u) for u in range(40)], "uid bigint, follower bigint")
-    for aqe in ("true", "false"):
-        old = spark.conf.get("spark.sql.adaptive.enabled")
-        try:
-            spark.conf.set("spark.sql.adaptive.enabled", aqe)
-            store = TimelineStore(spark)
-            store.write_batch("inboxes", timeline_rows(_feed(spark, 5), e, CFG)["inboxes"], 0)
-            reader = store.read("inboxes", CFG, CFG.as_of)
-            for _ in range(3):
-                assert store.compact("inboxes", CFG, CFG.as_of) == 0
-            assert store.read("inboxes", CFG, CFG.as_of).count() == reader.count() == 200
-        finally:
-            spark.conf.set("spark.sql.adaptive.enabled", old)
+def test_payload_versions_by_hash(spark):
+    rows = [(1, _day(10), 5, "old", 7, _day(10), _day(17)), (1, _day(10), 5, "new", 3, _day(11), _day(18)),
+            (1, _day(10), 5, "newest", 9, _day(11), _day(18)), (1, _day(10), 5, "newest", 9, _day(11), _day(18)),
+            (1, _day(10), 4, "other", 99, _day(12), _day(19)), (2, _day(10), 4, None, None, _day(12), _day(19))]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "uid bigint, time timestamp_ntz, tid bigint, tweet string, tweet_hash bigint, "
+                                          "ingest_ts timestamp_ntz, expire_at timestamp_ntz").coalesce(1)
+        df = df.withColumn("tweet", F.parse_json(F.to_json(F.struct(F.col("tweet").alias("text")))))
+        got = T.resolve("feedslists", df, CFG, None).orderBy("uid").select("uid", "tid", "tweet_hash", F.to_json("tweet")).collect()
+        assert [tuple(r) for r in got] == [(1, 5, 9, '{"text":"newest"}'), (2, 4, None, "{}")]
+        # the keys without their payload resolve to the same versions
+        keys = T.resolve("inboxes", df.drop("tweet"), CFG, None).orderBy("uid").select("uid", "tid", "tweet_hash").collect()
+        assert [tuple(r) for r in keys] == [tuple(r)[:3] for r in got]
+        feed = tl.feed_topn_denorm(df, 3, None, CFG).orderBy("uid").select("uid", "rn", "tid", F.to_json("tweet")).collect()
+        assert [tuple(r) for r in feed][0] == (1, 1, 5, '{"text":"newest"}')
 
 
-def test_reclaim_spares_current_readers(spark):
+def test_facts_stand_in_for_payloads(spark):
+    tw = _feed(spark, 12)
     e = spark.createDataFrame([(10, 1), (10, 2)], "uid bigint, follower bigint")
+    cfg = CFG.with_(layout="denorm")
     store = TimelineStore(spark)
-    for b in range(3):
-        store.write_batch("inboxes", timeline_rows(_feed(spark, 5, start=T0 + dt.timedelta(hours=b)), e, CFG)["inboxes"], b)
-        assert b or store.reclaim("inboxes") == []
-        store.compact("inboxes", CFG, CFG.as_of)
-        if b == 1:
-            reader = store.read("inboxes", CFG, CFG.as_of)       # holds the second snapshot
-    gone = store.reclaim("inboxes")
-    assert sorted(g.rsplit("/", 1)[1][:9] for g in gone)[:2] == ["batch_id=", "batch_id="] and len(gone) == 3
-    assert reader.count() == 20 and store.read("inboxes", CFG, CFG.as_of).count() == 30
-    assert store.reclaim("inboxes") == []
-
-
-def test_compacted_read_opens_one_bucket(spark):
-    e = spark.createDataFrame([(10, u) for u in range(300)], "uid bigint, follower bigint")
+    store.write_batch("feedslists", timeline_rows(tw, e, cfg)["feedslists"], 0)
+    facts = store.read("feedslists", cfg, cfg.as_of, facts={"shown": F.upper(text(F.col("tweet")))})
+    assert "tweet" not in facts.columns
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "variant" not in plan[:plan.rindex("Exchange")] and "tweet" in plan[plan.rindex("Exchange"):]
+    assert sorted((r["uid"], r["tid"], r["shown"]) for r in facts.collect()) == [(u, i, f"T{i}") for u in (1, 2) for i in range(1, 13)]
+
+
+def test_point_read_of_a_compacted_table_reads_few_row_groups(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
     store = TimelineStore(spark)
-    store.write_batch("inboxes", timeline_rows(_feed(spark, 4), e, CFG)["inboxes"], 0)
-    store.compact("inboxes", CFG, CFG.as_of)
-    page = R.user_page(store.read("inboxes", CFG, CFG.as_of, uid=7), 7, 3)
-    assert [r["tid"] for r in page.collect()] == [4, 3, 2]
+    e = spark.createDataFrame([(10, u) for u in range(4000)], "uid bigint, follower bigint")
+    store.write_batch("inboxes", timeline_rows(_feed(spark, 30), e, CFG)["inboxes"], 0)
+    path = scratch_path(spark, "t-page")
+    monkeypatch.setattr(store_module, "ROW_GROUP", 64 << 10)
+    compact(store.raw("inboxes"), "inboxes", path, CFG, CFG.as_of)
+    page = R.user_page(T.visible(read_compacted(spark, "inboxes", path), CFG.as_of), 1234, 3)
+    assert [r["tid"] for r in page.collect()] == [30, 29, 28]
     plan = page._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in plan.split("\n") if "FileScan" in line and "uid_bucket" in line)
-    assert "uid_bucket" in scan.split("PartitionFilters")[1].split("]")[0]
-    assert "EqualTo(uid,7)" in scan and "GreaterThan(expire_at" in scan
+    assert "EqualTo(uid,1234)" in plan and "GreaterThan(expire_at" in plan and "TakeOrderedAndProject" in plan
+    groups = [(f, g) for f in glob.glob(f"{path}/*.parquet") for g in range(pq.ParquetFile(f).num_row_groups)]
+    stats = [pq.ParquetFile(f).metadata.row_group(g).column(0).statistics for f, g in groups]
+    assert len(groups) > 2 and sum(s.min <= 1234 <= s.max for s in stats) <= 2
+    uid = pq.ParquetFile(groups[0][0]).metadata.row_group(0).column(0)
+    assert uid.path_in_schema == "uid"
+
+
+def test_bloom_filter_keeps_every_member(spark):
+    ids = spark.range(0, 30_000, 3).withColumnRenamed("id", "tid").unionByName(spark.createDataFrame([(None,)], "tid bigint"))
+    tweets = spark.range(60_000).select(F.col("id").alias("tid"), F.lit("x").alias("tweet"))
+    kept = tweets.filter(may_hold(F.col("tid"), ids, "tid", 1 << 17))
+    assert kept.join(ids, "tid", "left_semi").count() == 10_000        # none of the set is lost
+    assert kept.count() < 10_000 + 0.03 * 50_000                       # few others pass
+    small = CFG.with_(bloom_bits=1 << 17)
+    assert R.tweets_in_set(tweets, ids, cfg=small).count() == 10_000   # the join removes them
+    assert R.tweets_in_set(tweets, ids.limit(0), cfg=small).count() == 0
+    assert R.tweets_in_set(tweets, ids, max_ids=10_001, cfg=small).count() == 10_000
+
+
+def test_hot_tid_is_split(spark):
+    ids = spark.range(5000).select(F.col("id").alias("uid"), F.lit(1).alias("rn"), F.lit(7).cast("long").alias("tid")) \
+        .unionByName(spark.createDataFrame([(1, 2, 8), (2, 2, 9)], "uid bigint, rn int, tid bigint"))
+    tweets = spark.createDataFrame([(7, "hot"), (8, "cold")], "tid bigint, tweet string")
+    got = R.resolve_tweets(ids, tweets, cfg=CFG.with_(skew_split_rows=100, bloom_bits=1 << 12))
+    assert got.columns[:1] == ["tid"] and got.groupBy("tid", "tweet").count().orderBy("tid").collect() == [(7, "hot", 5000), (8, "cold", 1)]

@@ -1,19 +1,71 @@
+import glob
+import os
+
+from pyspark.sql import functions as F
+
 from feedloom.config import FeedConfig
+from feedloom.operators import fanout as J
 from feedloom.plans import batch
 from feedloom.plans.registry import STREAM_CFG, _edges_table, _feed_source, _publish_feed
 from feedloom.session import scratch_path
 from feedloom.sources.store import TimelineStore
 from feedloom.streaming import fanout_stream as ST
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, raw_df, tweet_json
 
 CFG = FeedConfig()
 
 
 def _same(a, b):
+    a, b = (x.withColumn("tweet", F.to_json("tweet")) if "tweet" in x.columns else x for x in (a, b))
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_a_small_batch_opens_the_buckets_of_its_authors(spark, tmp_path):
+    path, cfg = f"{tmp_path}/delivery", CFG.with_(author_buckets=16, listener=None)
+    edges = spark.createDataFrame([(a, 1000 + a * f) for a in range(60) for f in range(1, 4)], "uid bigint, follower bigint")
+    J.publish_delivery(edges, cfg, path)
+    assert len(glob.glob(f"{path}/author_bucket=*")) > 8
+    few = spark.createDataFrame([(3, "2024-01-30 10:00:00", 1, 5), (3, "2024-01-30 10:00:01", 2, 5), (8, "2024-01-30 10:00:02", 3, 5)],
+                                "uid bigint, time string, tid bigint, n int").withColumn("time", F.col("time").cast("timestamp_ntz"))
+    few = few.persist()
+    buckets = [r[0] for r in few.select(J.author_bucket(F.col("uid"), 16)).distinct().collect()]
+    delivery = J.of_buckets(J.read_delivery(spark, path), buckets)
+    rows = J.fanout(few, delivery, cfg, tweets_bytes=200)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "author_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    want = sorted((1000 + a * f, t) for a, t in ((3, 1), (3, 2), (8, 3)) for f in range(1, 4))
+    assert sorted((r["uid"], r["tid"]) for r in rows.collect()) == want
+    # files of the other buckets are not read: they may hold anything
+    need = set(buckets)
+    for f in glob.glob(f"{path}/author_bucket=*/*.parquet"):
+        if int(f.split("author_bucket=")[1].split("/")[0]) not in need:
+            with open(f, "wb") as out:
+                out.write(b"no parquet")
+            crc = f.rsplit("/", 1)[0] + "/." + f.rsplit("/", 1)[1] + ".crc"
+            if os.path.exists(crc):
+                os.remove(crc)
+    assert len(need) < 3
+    for size in (200, None):             # broadcast, and shuffled
+        rows = J.fanout(few, J.of_buckets(J.read_delivery(spark, path), buckets), cfg, tweets_bytes=size)
+        assert sorted((r["uid"], r["tid"]) for r in rows.collect()) == want
+    assert J.of_buckets(J.read_delivery(spark, path), []).count() == 0
+    # a whole micro-batch through the job finds its buckets itself
+    raw = raw_df(spark, [tweet_json(1, 3, "Tue Jan 30 10:00:00 +0000 2024"), tweet_json(2, 8, "Tue Jan 30 10:00:01 +0000 2024"), "no"])
+    store = TimelineStore(spark, f"{tmp_path}/store")
+    ST.process_batch(raw, 0, store, lambda: J.read_delivery(spark, path), cfg)
+    assert store.read("inboxes", cfg, None).count() == 6 and store.dead_letter().count() == 1
+    few.unpersist()
+
+
+def test_appended_follows_are_seen(spark, tmp_path):
+    path, cfg = f"{tmp_path}/delivery", CFG.with_(author_buckets=4, listener=None)
+    J.append_delivery(spark.createDataFrame([(1, 5)], "uid bigint, follower bigint"), cfg, path)
+    assert J.read_delivery(spark, path).count() == 1
+    J.append_delivery(spark.createDataFrame([(1, 6), (2, 6)], "uid bigint, follower bigint"), cfg, path)
+    assert J.read_delivery(spark, path).select("uid", "follower").orderBy("uid", "follower").collect() == [(1, 5), (1, 6), (2, 6)]
+
+
 def test_stream_equals_batch_and_replay(spark):
     root = scratch_path(spark, "t-stream")
     _publish_feed(spark, SF_SMALL, root, "early")
