@@ -35,6 +35,7 @@ in ``row`` and may have any name."""
 from __future__ import annotations
 
 import hashlib
+import itertools
 import pickle
 import uuid
 from typing import NamedTuple
@@ -50,13 +51,14 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 
 from feedloom.llm.bpe import spread, token_table
 from feedloom.llm.common import binary, cut, cut_bucketed, dictionary, pack, slices, unpack, view
-from feedloom.llm.packing import CACHE_WORDS, byte_ranks, encoded, encoder
-from feedloom.llm.pieces import code_point_classes
+from feedloom.llm.packing import byte_ranks, encoder
+from feedloom.llm.pieces import code_point_classes, split
 
 CHUNK_BYTES = 32 << 10        # byte range of one fragment
 FAN = 8                       # fragments composed in one group
-SLICE = 1 << 20               # text worked out at a time
-BLOCK_BYTES = 16 << 20        # text behind one list of distinct pairs
+SLICE = 512 << 10             # text worked out at a time
+KNOWN = 60_000                # encoded words of a side that a task remembers
+BLOCK_BYTES = 4 << 20         # text behind one list of distinct pairs
 BUCKET_PAIRS = 1 << 20        # pairs (counted once a block) of one bucket
 BLANK = "▁"              # fixed value: the blank of the pieces
 
@@ -73,6 +75,12 @@ class Side(NamedTuple):
 NONE = Side(np.empty(0, np.int64), np.empty(0, np.int64))
 
 
+def among(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of x, both ascending, are in y?"""
+    at = np.searchsorted(y, x)
+    return (y[np.minimum(at, len(y) - 1)] == x) if len(y) else np.zeros(len(x), bool)
+
+
 def chained(x: Side, y: Side) -> Side:
     return Side(np.concatenate([x.ids, y.ids]), np.concatenate([x.ends, y.ends]))
 
@@ -100,10 +108,27 @@ class Vocabularies:
         self.shown_size = np.fromiter(map(len, shown), np.int64, len(shown))
         self.shown_start = np.cumsum(self.shown_size) - self.shown_size
 
+    def looked_up(self, data: np.ndarray, off: np.ndarray, known: dict, encode_all) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids before each word) of the words data[off[i]:off[i + 1]], every distinct one encoded once."""
+        code, words = dictionary(data, off)
+        words = words.to_pylist()
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > KNOWN:
+            known.clear()
+            new = words
+        known.update(zip(new, encode_all(new)))
+        found = [known[w] for w in words]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(size.sum()))
+        n = size[code]
+        return spread(flat, (np.cumsum(size) - size)[code], n), np.concatenate([[0], np.cumsum(n)])
+
     def side_a(self, arr: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets per text)."""
-        ids, off = encoded(arr, self.classes, self.enc, self.known_a)
-        return ids.astype(np.int64), off
+        data, off, before = split(arr, self.classes)
+        ids, at = self.looked_up(data, off, self.known_a,
+                                 lambda new: [tuple(self.enc.encode_ordinary(w.decode("utf-8", "replace"))) for w in new])
+        return ids, at[before]
 
     def side_b(self, arr: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets per text) of texts that begin with a blank."""
@@ -115,21 +140,12 @@ class Vocabularies:
             blank = data == 32
             begins[1:] |= blank[1:] & ~blank[:-1]
         at = np.flatnonzero(begins)
-        code, words = dictionary(data, np.append(at, len(data)))
-        words = words.to_pylist()
-        new = [w for w in words if w not in self.known_b]
-        if len(self.known_b) + len(new) > CACHE_WORDS:
-            self.known_b.clear()
-            new = words
-        texts = [w[1:].decode("utf-8", "replace") for w in new]
-        for w, t, ids in zip(new, texts, self.sp.encode(texts, num_threads=1) if texts else []):
-            self.known_b[w] = ids if t else [self.blank]
-        found = [self.known_b[w] for w in words]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int64, int(size.sum()))
-        n = size[code]
-        return (spread(flat, (np.cumsum(size) - size)[code], n),
-                np.concatenate([[0], np.cumsum(n)])[np.searchsorted(at, off)])
+
+        def encode_all(new):
+            texts = [w[1:].decode("utf-8", "replace") for w in new]       # the model puts a blank before each
+            return [tuple(ids) if t else (self.blank,) for t, ids in zip(texts, self.sp.encode(texts, num_threads=1))] if texts else []
+        ids, before = self.looked_up(data, np.append(at, len(data)), self.known_b, encode_all)
+        return ids, before[np.searchsorted(at, off)]
 
     def same(self, ids: np.ndarray, off: np.ndarray, bytes_: tuple, arr: pa.LargeBinaryArray) -> np.ndarray:
         """Per text: are the tokens' bytes those of the text?"""
@@ -154,7 +170,7 @@ class Vocabularies:
     def groups(self, a: Side, b: Side) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text of the groups, each with ``;`` behind it; where each token's part of it ends, in the
         text's order; are A's tokens the last of a group) of tokens that end at a common place."""
-        last_a, last_b = np.isin(a.ends, b.ends, assume_unique=True), np.isin(b.ends, a.ends, assume_unique=True)
+        last_a, last_b = among(a.ends, b.ends), among(b.ends, a.ends)
         n = int(last_a.sum())
         of_a, of_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         before_a = np.concatenate([[0], np.cumsum(np.bincount(of_a, minlength=n))])
@@ -168,7 +184,8 @@ class Vocabularies:
     def pairs(self, a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
         """(pair, end of the bytes in common) of every two tokens that overlap: one for each stretch
         between neighbouring ends."""
-        ends = np.union1d(a.ends, b.ends)
+        ends = np.concatenate([a.ends, b.ends[~among(b.ends, a.ends)]])
+        ends.sort(kind="stable")
         key = a.ids[np.searchsorted(a.ends, ends)] * self.n_b + b.ids[np.searchsorted(b.ends, ends)]
         return key, ends
 
@@ -202,7 +219,7 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def settled(v: Vocabularies, a: Side, b: Side, after_end: bool) -> Fragment:
     """The fragment of neighbouring tokens; ``after_end``: they begin at a common end."""
-    common = np.intersect1d(a.ends, b.ends, assume_unique=True)
+    common = a.ends[among(a.ends, b.ends)]
     n_a, n_b = len(a.ids), len(b.ids)
     if not len(common):
         rest = (NONE, NONE), (a, b)
