@@ -63,14 +63,16 @@ def fold_user(uid_raw: Column, n_users: int) -> Column:
     return F.pmod(uid_raw, F.lit(n_users).cast("bigint"))
 
 
-def parse_raw(raw: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
+def parse_raw(raw: DataFrame, cfg: FeedConfig = FeedConfig(), keep: list[str] | None = None) -> DataFrame:
     """P1-P6 in one projection over ``value``: typed fields plus ``reason``
-    (null for a valid record).  Parse happens once; callers split on reason."""
+    (null for a valid record).  Parse happens once; callers split on reason.
+    ``keep``: columns of the source that go along."""
+    keep = keep or []
     # Parse through a one-row Generate: filters on parsed fields (reason,
     # lang) then stay above it, instead of being pushed below the projection
     # with from_json inlined once per referenced field.
-    p = raw.select("value", F.explode(F.array(parse_texts(F.col("value")))).alias("j"))
-    p = p.select("value", "j", F.explode(F.array(F.struct(
+    p = raw.select("value", *keep, F.explode(F.array(parse_texts(F.col("value")))).alias("j"))
+    p = p.select("value", *keep, "j", F.explode(F.array(F.struct(
         F.from_json("j.user", USER).alias("user"), F.from_json("j.entities", ENTITIES).alias("entities")))).alias("k"))
     tid = to_long(F.col("j.id_str"))
     time = parse_created_at(F.col("j.created_at"))
@@ -96,6 +98,7 @@ def parse_raw(raw: DataFrame, cfg: FeedConfig = FeedConfig()) -> DataFrame:
         F.col("k.user.screen_name").alias("author_screen_name"),
         F.col("k.entities.hashtags.text").alias("hashtags"),
         reason.alias("reason"),
+        *keep,
     )
 
 

@@ -291,8 +291,24 @@ SELECT 'tweets' AS "table", CAST(NULL AS BIGINT) AS uid, CAST(NULL AS TIMESTAMP)
 UNION ALL SELECT 'homepages', uid, time, tid, NULL, {_EXPIRE} FROM home_vis2
 UNION ALL SELECT 'inboxes', uid, time, tid, NULL, {_EXPIRE} FROM inbox_vis""")
 
-ORACLE["stream_denorm"] = _q(f"""SELECT h.uid, h.time, h.tid, en.text_md5, h.{_EXPIRE} AS expire_at
-FROM home_vis2 h JOIN en ON en.tid = h.tid""")
+ORACLE["stream_denorm"] = _q(f"""SELECT 'historytweets' AS "table", h.uid, h.time, h.tid, en.text_md5, h.{_EXPIRE} AS expire_at
+FROM home_vis2 h JOIN en ON en.tid = h.tid
+UNION ALL SELECT 'feedslists', i.uid, i.time, i.tid, en.text_md5, i.{_EXPIRE} FROM inbox_vis i JOIN en ON en.tid = i.tid""")
+
+ORACLE["stream_list_denorm"] = _q(f"""
+, lbox AS (SELECT l.follower AS uid, en.time, max(en.tid) AS tid FROM en JOIN ledges l ON l.uid = en.uid
+           GROUP BY l.follower, en.time)
+SELECT b.uid, b.time, b.tid, en.text_md5, b.{_EXPIRE} AS expire_at FROM lbox b JOIN en ON en.tid = b.tid
+WHERE b.{_EXPIRE} > {AS_OF}""")
+
+ORACLE["stream_static_join"] = ORACLE["join_followers_left"]
+
+ORACLE["stream_topics"] = _q("SELECT tid, uid, time, lang, 't' || CAST(tid % 3 AS VARCHAR) AS topic FROM en")
+
+ORACLE["stream_dedup"] = _q("""SELECT en.tid, count(DISTINCT en.tid) AS n_written, CAST(0 AS BIGINT) AS n_edited,
+  count(f.uid) AS n_receivers FROM en LEFT JOIN fan f ON f.tid = en.tid GROUP BY en.tid""")
+
+ORACLE["stream_inbox_topn"] = _q(_topn("inbox_vis"))
 
 ORACLE["stream_list_store"] = _q(f"""
 , lbox AS (SELECT l.follower AS uid, en.time, max(en.tid) AS tid FROM en JOIN ledges l ON l.uid = en.uid

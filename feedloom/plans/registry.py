@@ -26,6 +26,7 @@ from feedloom.session import scratch_path
 from feedloom.sources import fixtures, ingest
 from feedloom.sources.store import TimelineStore, compact, read_compacted
 from feedloom.streaming import fanout_stream as ST
+from feedloom.streaming import newest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CFG = FeedConfig()
@@ -608,9 +609,82 @@ def _streamed_feed(spark, sf_dir, layout, store):
 
 @query("stream_denorm")
 def q_stream_denorm(spark, sf_dir):
-    """ST5: the denormalized layout streamed; own tweets of every author."""
+    """ST5: the denormalized layout streamed; own tweets of every author and the feed of
+    every receiver."""
     s, cfg = _streamed_feed(spark, sf_dir, "denorm", "set")
-    return s.read("historytweets", cfg, cfg.as_of).select("uid", "time", "tid", _text_md5(), "expire_at")
+    own, feed = (s.read(t, cfg, cfg.as_of, facts=_digest()).select(F.lit(t).alias("table"), "uid", "time", "tid", "text_md5", "expire_at")
+                 for t in ("historytweets", "feedslists"))
+    return own.unionByName(feed)
+
+
+@query("stream_list_denorm")
+def q_stream_list_denorm(spark, sf_dir):
+    """ST5: the list store and the denormalized layout streamed together (no listener); the
+    feed of every receiver."""
+    s, cfg = _streamed_feed(spark, sf_dir, "denorm", "list")
+    return s.read("feedslists", cfg, cfg.as_of, facts=_digest()).select("uid", "time", "tid", "text_md5", "expire_at")
+
+
+@query("stream_static_join")
+def q_stream_static_join(spark, sf_dir):
+    """J1 as a stream-static left join inside the streaming plan."""
+    root = scratch_path(spark, "stream-join")
+    _publish_feed(spark, sf_dir, root)
+    followers = _delivery(spark, sf_dir)
+    return ST.joined_stream_to_parquet(spark, _feed_source(spark, root), followers, f"{root}/out", f"{root}/ckpt", CFG).select(
+        "tid", "uid", "n_followers", "sum_followers")
+
+
+@query("stream_topics")
+def q_stream_topics(spark, sf_dir):
+    """The feed published to three topics by user, streamed with two of them subscribed,
+    then restarted from the checkpoint with the third as well, after more had come."""
+    root = scratch_path(spark, "stream-topics")
+    raw = fixtures.raw_tweets(spark, sf_dir, keep_ts=True)
+    topic = F.concat(F.lit("t"), F.get_json_object("value", "$.id_str").cast("bigint") % 3)
+    out = None
+    for part, topics in enumerate(("t0,t1", "t0, t1, t2")):
+        for k in range(3):
+            rows = _halves(raw, "ts")[part].filter(topic == f"t{k}")
+            ingest.publish_text(rows, f"{root}/feed/t{k}/d{part}")
+        source = ingest.read_topic_files(spark, f"{root}/feed", topics)
+        out = ST.parsed_stream_to_parquet(spark, source, f"{root}/out", f"{root}/ckpt", CFG)
+    return out.select("tid", "uid", "time", "lang", "topic")
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """ST6 with a watermark: the feed delivered, then delivered again with an added field
+    after a restart; redelivered tids write nothing."""
+    root = scratch_path(spark, "stream-dedup")
+    store = TimelineStore(spark, f"{root}/store")
+    loader = _edges_table(spark, sf_dir, root)
+    edited = F.regexp_replace("value", "}$", ',"edited":1}').alias("value")
+    for part, value in (("first", F.col("value")), ("again", edited)):
+        ingest.publish_text(fixtures.raw_tweets(spark, sf_dir).select(value), f"{root}/feed/{part}")
+        # the span of the feed: no first delivery may count as late, whatever file order
+        ST.run_available(_feed_source(spark, root), store, loader, f"{root}/ckpt", STREAM_CFG, dedup_delay="60 days")
+    written = store.raw("tweets").groupBy("tid").agg(
+        F.count(F.lit(1)).alias("n_written"), F.count(PL.field(F.col("tweet"), "edited", "int")).alias("n_edited"))
+    inbox = store.raw("inboxes").groupBy("tid").agg(F.count(F.lit(1)).alias("n_receivers"))
+    return written.join(inbox, "tid", "left").select("tid", "n_written", "n_edited",
+                                                     F.coalesce("n_receivers", F.lit(0)).alias("n_receivers"))
+
+
+@query("stream_inbox_topn")
+def q_stream_inbox_topn(spark, sf_dir):
+    """R1/T4 as streaming state: newest 20 inbox rows per user, held by the stream over two
+    deliveries and a restart; expired rows leave at the read."""
+    root = scratch_path(spark, "stream-topn")
+    followers = _delivery(spark, sf_dir)
+    out = None
+    for part in ("early", "late"):
+        _publish_feed(spark, sf_dir, root, part)
+        tweets = P.ingest(_feed_source(spark, root), STREAM_CFG)
+        inbox = tweets.join(followers, "uid").select(F.col("follower").alias("uid"), "time", "tid")
+        out = newest.run_newest(spark, inbox, f"{root}/pages", f"{root}/ckpt", FEED_READ_SIZE)
+    live = T.visible(T.with_expiry(out, CFG), CFG.as_of)
+    return R.newest_n(live.select("uid", "time", "tid"), FEED_READ_SIZE).select("uid", "rn", "time", "tid")
 
 
 @query("stream_list_store")

@@ -1,15 +1,20 @@
 import glob
 import os
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from feedloom.config import FeedConfig
+from feedloom.functions import parse as P
 from feedloom.operators import fanout as J
 from feedloom.plans import batch
 from feedloom.plans.registry import STREAM_CFG, _edges_table, _feed_source, _publish_feed
 from feedloom.session import scratch_path
 from feedloom.sources.store import TimelineStore
+from feedloom.sources import ingest
 from feedloom.streaming import fanout_stream as ST
+from feedloom.streaming import newest
 
 from conftest import SF_SMALL, raw_df, tweet_json
 
@@ -96,3 +101,74 @@ def test_stream_dead_letters(spark):
     got = sorted(r["reason"] for r in store.dead_letter().select("reason").collect())
     assert got == ["malformed_json", "missing_id"]
     assert store.read("inboxes", CFG, None).count() == 0
+
+
+def _at(minute, author=3):
+    return f"Tue Jan 30 10:{minute:02d}:00 +0000 2024"
+
+
+def test_redelivery_inside_the_watermark_writes_nothing(spark, tmp_path):
+    path, cfg = f"{tmp_path}/delivery", CFG.with_(listener=None)
+    J.append_delivery(spark.createDataFrame([(3, 30), (3, 31)], "uid bigint, follower bigint"), cfg, path)
+    store = TimelineStore(spark, f"{tmp_path}/store")
+
+    def deliver(name, values):
+        ingest.publish_text(raw_df(spark, values).coalesce(1), f"{tmp_path}/feed/{name}")
+        ST.run_available(_feed_source(spark, str(tmp_path)), store, lambda: J.read_delivery(spark, path), f"{tmp_path}/ckpt", cfg,
+                         dedup_delay="30 minutes")
+
+    deliver("a", [tweet_json(1, 3, _at(1)), tweet_json(2, 3, _at(2)), tweet_json(2, 3, _at(2)), "no json", "no json"])
+    assert store.raw("tweets").count() == 2 and store.raw("inboxes").count() == 4
+    assert store.dead_letter().count() == 2                         # no id: nothing to tell them apart by
+    # a restart from the checkpoint knows them still; a new tweet goes through
+    deliver("b", [tweet_json(1, 3, _at(1), text="again"), tweet_json(3, 3, _at(20))])
+    assert sorted(r["tid"] for r in store.raw("tweets").collect()) == [1, 2, 3]
+    assert store.raw("inboxes").count() == 6
+    # beyond the watermark the state lets go of old ids, and late records are dropped
+    deliver("c", [tweet_json(4, 3, _at(59))])
+    deliver("d", [tweet_json(1, 3, _at(1)), tweet_json(5, 3, _at(58))])
+    assert sorted(r["tid"] for r in store.raw("tweets").collect()) == [1, 2, 3, 4, 5]
+    late = store.read("inboxes", cfg, None).groupBy("tid").count().collect()
+    assert {r["tid"]: r["count"] for r in late} == {t: 2 for t in range(1, 6)}
+
+
+def test_topics_taken_up_after_a_restart(spark, tmp_path):
+    def publish(topic, part, ids):
+        ingest.publish_text(raw_df(spark, [tweet_json(i, 3, _at(i)) for i in ids]).coalesce(1), f"{tmp_path}/feed/{topic}/{part}")
+
+    def run(topics):
+        source = ingest.read_topic_files(spark, f"{tmp_path}/feed", topics, max_files_per_trigger=1)
+        out = ST.parsed_stream_to_parquet(spark, source, f"{tmp_path}/out", f"{tmp_path}/ckpt", CFG)
+        return sorted((r["tid"], r["topic"]) for r in out.collect())
+
+    publish("x", "d0", [1, 2])
+    publish("y", "d0", [3])
+    publish("z", "d0", [4])
+    assert run("x, y") == [(1, "x"), (2, "x"), (3, "y")]
+    publish("x", "d1", [5])
+    assert run("x,y,z") == [(1, "x"), (2, "x"), (3, "y"), (4, "z"), (5, "x")]
+    for bad in ("", " ,", "a/b", "{a}"):
+        with pytest.raises(ValueError):
+            ingest.read_topic_files(spark, f"{tmp_path}/feed", bad)
+
+
+def test_newest_rows_are_bounded_and_keep_the_largest_tid():
+    t = pd.to_datetime(["2024-01-01 00:00:01", "2024-01-01 00:00:01", "2024-01-01 00:00:03", "2024-01-01 00:00:02", "2024-01-01 00:00:09"])
+    rows = pd.DataFrame({"uid": [1, 1, 1, 1, 2], "time": t, "tid": [5, 6, 1, 9, 4]})
+    assert newest.newest_rows(rows, 2)[["uid", "tid"]].values.tolist() == [[1, 1], [1, 9], [2, 4]]
+    assert newest.newest_rows(rows, 9)[["uid", "tid"]].values.tolist() == [[1, 1], [1, 9], [1, 6], [2, 4]]
+
+
+def test_pages_held_by_the_stream(spark, tmp_path):
+    followers = spark.createDataFrame([(3, 30), (3, 31), (8, 30)], "uid bigint, follower bigint")
+
+    def run(name, values):
+        ingest.publish_text(raw_df(spark, values).coalesce(1), f"{tmp_path}/feed/{name}")
+        inbox = P.ingest(_feed_source(spark, str(tmp_path)), CFG).join(followers, "uid").select(F.col("follower").alias("uid"), "time", "tid")
+        out = newest.run_newest(spark, inbox, f"{tmp_path}/pages", f"{tmp_path}/ckpt", 3)
+        return sorted((r["uid"], r["time"].minute, r["tid"]) for r in out.collect())
+
+    assert run("a", [tweet_json(k, 3, _at(k)) for k in range(1, 6)]) == [(u, k, k) for u in (30, 31) for k in (3, 4, 5)]
+    # an old row changes no page, the same second keeps the larger tid, a new row pushes the oldest out
+    got = run("b", [tweet_json(9, 3, _at(2)), tweet_json(7, 8, _at(5)), tweet_json(8, 8, _at(30))])
+    assert got == [(30, 4, 4), (30, 5, 7), (30, 30, 8), (31, 3, 3), (31, 4, 4), (31, 5, 5)]
