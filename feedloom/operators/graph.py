@@ -1,17 +1,19 @@
 """Follower-graph preparation (G1-G6) from an edge frame (uid, follower).
 
-Set-valued views (followerslists / followinglists) have one row shape at every
-size: a user's ids are dealt into a fixed number of chunks by a hash of the id,
-so no single group - not even a user who is followed by a third of everyone -
-is collected into one array, and a chunk's share does not depend on the ids.
+Set-valued views (followerslists / followinglists) are chunked: a user's ids are dealt
+by a hash of the id into ``DEFAULT_CHUNKS`` chunks, or, for a user with more than
+``CHUNK_IDS`` ids a chunk, into as many as keep to that size.  So no group - not even a
+user who is followed by a third of everyone - is collected into a large array; the
+row says in how many chunks its user's set lies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNKS = 16
+CHUNK_IDS = 65_536
 
 
 def follower_edges(edges: DataFrame) -> DataFrame:
@@ -21,29 +23,34 @@ def follower_edges(edges: DataFrame) -> DataFrame:
 
 def chunk_of(member, chunks: int):
     """Chunk of an id: the first hex digits of the MD5 of its text, mod ``chunks``."""
+    chunks = chunks if isinstance(chunks, Column) else F.lit(chunks)
     return F.pmod(F.conv(F.substring(F.md5(member.cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint"),
-                  F.lit(chunks).cast("bigint"))
+                  chunks.cast("bigint"))
 
 
-def _chunked_sets(pairs: DataFrame, key: str, member: str, chunks: int) -> DataFrame:
-    return pairs.groupBy(key, chunk_of(F.col(member), chunks).alias("chunk")).agg(
+def _chunked_sets(pairs: DataFrame, key: str, member: str, chunks: int, chunk_ids: int) -> DataFrame:
+    # users with large sets: at most (pairs) / (chunks * chunk_ids) of them, so they are broadcast
+    large = (pairs.groupBy(key).count().filter(F.col("count") > chunks * chunk_ids)
+             .select(key, F.ceil(F.col("count") / chunk_ids).cast("int").alias("chunks")))
+    dealt = pairs.join(F.broadcast(large), key, "left").withColumn("chunks", F.coalesce("chunks", F.lit(chunks)))
+    return dealt.groupBy(key, chunk_of(F.col(member), F.col("chunks")).alias("chunk"), "chunks").agg(
         F.array_sort(F.collect_list(member)).alias("ids"))
 
 
-def followers_lists(edges: DataFrame, chunks: int = DEFAULT_CHUNKS) -> DataFrame:
-    """G1/W6. (uid, chunk, followerslist) - distinct followers, self excluded."""
-    return _chunked_sets(follower_edges(edges), "uid", "follower", chunks) \
+def followers_lists(edges: DataFrame, chunks: int = DEFAULT_CHUNKS, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+    """G1/W6. (uid, chunk, chunks, followerslist) - distinct followers, self excluded."""
+    return _chunked_sets(follower_edges(edges), "uid", "follower", chunks, chunk_ids) \
         .withColumnRenamed("ids", "followerslist")
 
 
-def following_lists(edges: DataFrame, users: DataFrame, chunks: int = DEFAULT_CHUNKS) -> DataFrame:
-    """G2/W7. Inverted sets: (uid, chunk, followinglist); every user appears,
+def following_lists(edges: DataFrame, users: DataFrame, chunks: int = DEFAULT_CHUNKS, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+    """G2/W7. Inverted sets: (uid, chunk, chunks, followinglist); every user appears,
     users following nobody with one empty chunk 0 (a full inversion, not the
     reference's partial flush)."""
     inv = follower_edges(edges).select(F.col("follower").alias("uid"), F.col("uid").alias("followee"))
-    sets = _chunked_sets(inv, "uid", "followee", chunks).withColumnRenamed("ids", "followinglist")
+    sets = _chunked_sets(inv, "uid", "followee", chunks, chunk_ids).withColumnRenamed("ids", "followinglist")
     none = users.select("uid").join(sets.select("uid"), "uid", "left_anti").select(
-        "uid", F.lit(0).cast("bigint").alias("chunk"),
+        "uid", F.lit(0).cast("bigint").alias("chunk"), F.lit(chunks).alias("chunks"),
         F.array().cast("array<bigint>").alias("followinglist"))
     return sets.unionByName(none)
 

@@ -56,3 +56,17 @@ def test_audience_tiers(spark):
     assert per[0]["tier"] == "t1" and per[1999]["tier"] == "t8" and per[1999]["n_followers"] == 5
     summary = {r["tier"]: r for r in G.tier_summary(G.audience_tiers(users, counts, 2000)).collect()}
     assert summary["t8"]["n_in_bounds"] == 1
+
+
+def test_large_sets_lie_in_more_chunks(spark):
+    edges = spark.range(1, 2001).select(F.lit(1).cast("long").alias("uid"), F.col("id").alias("follower")) \
+        .unionByName(spark.createDataFrame([(2, 5), (2, 6), (2, 6)], "uid bigint, follower bigint"))
+    lists = G.followers_lists(edges, chunks=4, chunk_ids=50)
+    got = {u: lists.filter(F.col("uid") == u).collect() for u in (1, 2)}
+    assert {r["chunks"] for r in got[1]} == {40} and {r["chunks"] for r in got[2]} == {4}
+    assert sorted(i for r in got[1] for i in r["followerslist"]) == list(range(2, 2001))     # self excluded
+    assert max(len(r["followerslist"]) for r in got[1]) < 110 and len(got[1]) == 40
+    assert sorted(i for r in got[2] for i in r["followerslist"]) == [5, 6]
+    users = spark.createDataFrame([(9999,), (5,)], "uid bigint")
+    back = {(r["uid"], tuple(r["followinglist"])) for r in G.following_lists(edges, users, chunks=1, chunk_ids=50).collect()}
+    assert (9999, ()) in back and (5, (1, 2)) in back
