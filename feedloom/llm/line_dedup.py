@@ -1,24 +1,26 @@
 """Line dedup: later copies of repeated runs of lines are deleted.
 
 The corpus is read as one sequence of line ids per document (lines with a word;
-blank lines stay where they are and belong to no run).  Suffixes of these
-sequences are ranked by prefix doubling: the rank at length 1 is the line's
-128-bit id, and the rank at length 2k of suffix i is made of the ranks at length
-k of suffixes i and i + k.  Suffixes with equal ranks at length L form the
-intervals of the suffix array with a longest common prefix of L lines or more.
-Every maximal repeated run of at least L lines is the union of such length-L
-windows, so deleting each window that has an earlier equal window deletes the
-later copies of all maximal repeated runs, whatever their lengths.
+blank lines stay where they are and belong to no run).  A repeated run of at least
+L lines is the union of repeated windows of L lines, so deleting every window that
+has an earlier equal window deletes the later copies of all repeated runs, whatever
+their lengths.  With L = ``MIN_LINES`` = 2 a window's name is the hash of two
+neighbouring 128-bit line ids.
+
+What this is not: no suffix array is built, no rank is doubled beyond two lines, and
+no longest common prefixes or maximal runs are computed; ``n_runs`` counts deleted
+stretches, in which copies of two sources may meet.  Prefix doubling would settle the
+same windows in its first round and then go on for results that the deletion does not use.
 
 A run counts when it has ``min_lines`` lines, or when it is a single line of at
 least ``min_words`` words (a passage written on one line).  Earlier means
 smaller (doc_id, line); null doc_id comes last.  The first copy of a run stays.
 
-Scale: ranks are names made by hashing pairs of ranks, so a round needs the
-next suffix of the same document only (inside its row) and no global sort.  An
-interval may hold a third of all lines: it is reduced to its earliest member by
-a map-side combined minimum, never gathered.  The way back from interval to
-suffixes is the skew-safe ``lookup``; only intervals with two members travel.
+Scale: a window's name needs the next line of the same document only (inside its
+row) and no sort.  A group of equal windows may hold a third of all lines: it is
+reduced to its earliest member by a map-side combined minimum, never gathered.  The
+way back from group to windows is the skew-safe ``lookup``; only groups with two
+members travel.
 
 Defined cases: null text stays null and has no lines; empty text has no runs;
 null doc_id rows come after all others in their order; rows equal in doc_id and

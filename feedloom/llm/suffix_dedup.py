@@ -1,27 +1,30 @@
-"""Exact-substring dedup by a suffix array built bucket by bucket.
+"""Exact-substring dedup, bucket by bucket, with a difference cover as the filter.
 
 Removed is every byte that a ``length``-byte string covers which also starts
 anywhere else, in the same document or another.  Strings are judged on the
-input.  In terms of the suffix array: suffix i is removed from i to i + length
-when its longest common prefix with a neighbour is at least ``length``.
+input.
 
 Difference cover.  D is a set of residues mod v such that for any two positions
 i, j some d < v puts both i + d and j + d into the sample (positions with a
-residue in D).  So two suffixes that agree on ``length`` bytes agree at a pair
-of sample positions on the ``length - v + 1`` bytes from there.
+residue in D).  So two positions with equal ``length``-byte strings have a pair of
+sample positions with equal strings of ``length - v + 1`` bytes, at the same distance.
 
-1. Sample ranks: the sample suffixes (|D| / v of all positions) are named by
-   their first length - v + 1 bytes, and sorted one bucket at a time.  A sample
-   suffix whose name is unique cannot take part in a tie of ``length`` bytes.
-2. Long ties: only suffixes within v before a tied sample suffix are left; they
-   are named by their first ``length`` bytes and sorted one bucket at a time.
-   Equal names are neighbours there; both are removed.
+1. Candidates: the sample positions (|D| / v of all) are named by their first
+   length - v + 1 bytes, and names are grouped one bucket at a time.  A sample
+   position whose name is unique cannot take part in a tie of ``length`` bytes.
+2. Ties: only positions within v before a repeated sample position are left; they
+   are named by their first ``length`` bytes and grouped one bucket at a time.
+   Positions with equal names are removed.
+
+What this is not: the sample is not ranked and no suffix is put in its lexicographic
+order; a tie is decided by the name of its whole ``length`` bytes, not by ranks, and
+without a comparison of the bytes (see Names for the chance of confusion).
 
 Memory is bounded by the block (about ``BLOCK_BYTES`` of text) and the bucket;
 neither the text nor the suffix array is ever whole in one place.  Names are
-64-bit polynomial fingerprints of two bases, and the order between different
-names is the order of the fingerprints: only ties matter for the result, and
-shipping text for a lexicographic order would cost about ``v`` bytes a suffix.
+64-bit polynomial fingerprints of two bases: two different strings among n are
+confused with a chance of about n ** 2 / 2 ** 65.  Only ties matter for the result,
+and shipping text for a lexicographic order would cost about ``v`` bytes a position.
 
 Hot groups: a block sends a name once, however often it has it, so the most
 frequent passage adds one row a block to its bucket.  Texts that occur as a
@@ -260,7 +263,7 @@ def _batches(rows) -> pa.RecordBatch:
                                       names=["bucket", "block", "names", "places", "more"])
 
 
-def sample_ranks(table: DataFrame, length: int, n_buckets: int) -> DataFrame:
+def repeated_samples(table: DataFrame, length: int, n_buckets: int) -> DataFrame:
     """(block, places): sample positions whose length - v + 1 bytes occur at another sample position."""
     v, residues = cover_for(length)
 
@@ -310,7 +313,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = 400, as_tex
     n_bytes = table.agg(F.coalesce(F.sum(F.expr("aggregate(size, 0L, (a, x) -> a + x)")), F.lit(0))).first()[0]
     table = table.drop("digest").join(cut(spark, copies(spark, table, length), "suffix-whole").hint("merge"), "block", "left")
     by_block = lambda hits: hits.groupBy("block").agg(F.collect_list("places").alias("hits")).hint("merge")
-    sample = by_block(sample_ranks(table, length, max(1, math.ceil(n_bytes / SAMPLE_BUCKET))))
+    sample = by_block(repeated_samples(table, length, max(1, math.ceil(n_bytes / SAMPLE_BUCKET))))
     tied = by_block(long_ties(table.join(sample, "block", "left"), length, max(1, math.ceil(n_bytes / TIE_BUCKET))))
     joined = table.join(tied, "block", "left")
     row_type = table.schema["rows"].dataType.elementType
