@@ -6,7 +6,11 @@ are learned from labelled documents, separately per stratum, so that the share
 of good documents (quality 1) that the rules together reject is at most
 ``alpha`` in every stratum, with probability at least 1 - ``delta``.
 
-1. One half of the labelled rows (by a hash of doc_id) proposes: level t of a
+Trials are distinct texts: labelled copies of one text count once (in each stratum, as
+the lowest quality), and all of them are in the same half, so the trials are what the
+bound takes them for.
+
+1. One half of the labelled texts (by a hash of the text) proposes: level t of a
    ladder puts every rule's cutoff at a quantile of the good documents' ratios
    (the loosest levels at their largest value with a margin), so rejection sets
    are nested from loose to tight.
@@ -165,12 +169,30 @@ def _bins(df: DataFrame) -> DataFrame:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(Bin(n, p) <= k), exactly summed in logarithms."""
+    """P(Bin(n, p) <= k) to double precision, by the continued fraction of the incomplete beta
+    function: some sqrt(n) steps at most, whatever k."""
     if n == 0 or k >= n:
         return 1.0
-    i = np.arange(k + 1)
-    lg = np.array([math.lgamma(n + 1) - math.lgamma(x + 1) - math.lgamma(n - x + 1) for x in i])
-    return float(min(1.0, np.exp(lg + i * math.log(p) + (n - i) * math.log1p(-p)).sum()))
+    if k < 0:
+        return 0.0
+    # P(Bin(n, p) <= k) = I_{1-p}(n - k, k + 1); the fraction converges below the mean
+    a, b, x = n - k, k + 1, 1 - p
+    turned = x > (a + 1) / (a + b + 2)
+    if turned:
+        a, b, x = b, a, p
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny, c, d = 1e-300, 1.0, 1 - (a + b) * x / (a + 1)
+    d = 1 / (d if abs(d) > tiny else tiny)
+    h = d
+    for m in range(1, 100 + 20 * math.isqrt(n)):
+        for t in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+                  -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1 + t * d, 1 + t / c
+            d, c = 1 / (d if abs(d) > tiny else tiny), c if abs(c) > tiny else tiny
+            h *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return min(1.0, max(0.0, 1 - front * h if turned else front * h))
 
 
 def choose_level(good: np.ndarray, gain: np.ndarray, n_good: int, alpha: float, level: float) -> int:
@@ -186,17 +208,22 @@ def choose_level(good: np.ndarray, gain: np.ndarray, n_good: int, alpha: float,
     return best
 
 
-def learn_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
+def learn_cutoffs(spark: SparkSession, counts: DataFrame, labels: DataFrame, alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
     """One row per stratum with a certified level: (stratum_key, cuts array<int>).
 
+    counts: (doc_id, stratum, text_md5, COUNTS).
+
     Everything is aggregated to histograms (strata x rules x BINS) before a group
     meets in one task; no labelled row is dropped or sampled."""
     lab = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
            .groupBy("doc_id").agg(F.min("quality").alias("quality")))
+    # one trial a text: copies are no further evidence, and never on both halves
     rows = (_bins(counts).join(lab, "doc_id")
-            .select(F.coalesce(F.concat(F.lit("="), "stratum"), F.lit("")).alias("stratum_key"), "bins",
-                    (F.col("quality") == 1).alias("good"),
-                    (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("proposes")))
+            .groupBy(F.coalesce(F.concat(F.lit("="), "stratum"), F.lit("")).alias("stratum_key"), "text_md5")
+            .agg(F.min("bins").alias("bins"), F.min("quality").alias("quality"))
+            .select("stratum_key", "bins", (F.col("quality") == 1).alias("good"),
+                    (F.pmod(F.xxhash64("text_md5"), F.lit(2)) == 0).alias("proposes")))
+    rows = cut(spark, rows, "quality-trials")
     hist = (rows.filter("good and proposes")
             .select("stratum_key", F.posexplode("bins").alias("rule", "bin"))
             .groupBy("stratum_key", "rule", "bin").count())
@@ -240,9 +267,17 @@ def _few(table: DataFrame) -> bool:
     return table.limit(MAX_BROADCAST_STRATA + 1).count() <= MAX_BROADCAST_STRATA
 
 
-def _cutoffs(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum, alpha, delta) -> tuple[DataFrame, DataFrame]:
-    counts = cut(spark, with_counts(docs, stratum).select("row.doc_id", "stratum", *COUNTS), "quality-counts")
-    return counts, cut(spark, learn_cutoffs(counts, labels, alpha, delta), "quality-cutoffs")
+def _counted(spark: SparkSession, docs: DataFrame, stratum: str | None, carry: tuple[str, ...]) -> DataFrame:
+    """(doc_id, text_md5, stratum, COUNTS, row struct of ``carry``), written once: learning reads
+    some of its columns, judging the rest."""
+    marked = docs.withColumn(_MD5, F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    rows = with_counts(marked, stratum, ("doc_id", _MD5, *[c for c in carry if c != "doc_id"]))
+    return cut(spark, rows.select("row.doc_id", F.col("row")[_MD5].alias("text_md5"), "stratum", *COUNTS,
+                                  *([F.struct(*[F.col("row")[c].alias(c) for c in carry]).alias("row")] if carry else [])),
+               "quality-counts")
+
+
+_MD5 = "_quality_text_md5"
 
 
 def _judged(counts: DataFrame, cutoffs: DataFrame) -> DataFrame:
@@ -254,16 +289,23 @@ def _judged(counts: DataFrame, cutoffs: DataFrame) -> DataFrame:
     return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & ~rejected)
 
 
+def _learned(spark: SparkSession, counts: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
+    return cut(spark, learn_cutoffs(spark, counts.select("doc_id", "text_md5", "stratum", *COUNTS), labels, alpha, delta),
+               "quality-cutoffs")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
                   alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
     """doc_id, COUNTS, base_failed, kept for every document (see module docstring)."""
-    counts, cutoffs = _cutoffs(spark, docs, labels, stratum, alpha, delta)
-    return _judged(counts, cutoffs).select("doc_id", *COUNTS, "base_failed", "kept")
+    counts = _counted(spark, docs, stratum, ())
+    return _judged(counts, _learned(spark, counts, labels, alpha, delta)).select("doc_id", *COUNTS, "base_failed", "kept")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
               alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
-    """The rows of ``docs`` that are kept, judged one by one; no text is shuffled."""
-    _, cutoffs = _cutoffs(spark, docs, labels, stratum, alpha, delta)
-    judged = _judged(with_counts(docs, stratum, tuple(docs.columns)), cutoffs)
+    """The rows of ``docs`` that are kept, judged one by one; no text is shuffled.
+
+    Texts are counted once: the rows are written with their counts, learned from, then judged."""
+    counts = _counted(spark, docs, stratum, tuple(docs.columns))
+    judged = _judged(counts, _learned(spark, counts, labels, alpha, delta))
     return judged.filter("kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])

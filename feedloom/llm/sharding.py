@@ -106,11 +106,17 @@ def extendible_shards(spark: SparkSession, docs: DataFrame, max_bytes: int = MAX
 
 
 def write_shards(spark: SparkSession, docs: DataFrame, path: str, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Write ``docs`` as one Parquet folder per shard; returns the directory."""
+    """Write ``docs`` as one Parquet folder per shard; returns the directory.
+
+    The folders are named by ``shard_bits`` (with underscores behind it where ``docs`` has a
+    column of that name)."""
+    name = "shard_bits"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
     sized = docs.select(hash_bits(F.col("doc_id")).alias("bits"),
                         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
     buckets = cut(spark, directory(spark, sized, max_bytes), "shard-all")
     placed = shard_of(docs.select(F.struct(*docs.columns).alias("_doc")), buckets, hash_bits(F.col("_doc.doc_id")))
-    (placed.select(F.concat(F.lit("p"), "shard").alias("shard_bits"), *[F.col("_doc")[c].alias(c) for c in docs.columns])
-     .repartition("shard_bits").write.partitionBy("shard_bits").parquet(path))
+    (placed.select(F.concat(F.lit("p"), "shard").alias(name), *[F.col("_doc")[c].alias(c) for c in docs.columns])
+     .repartition(name).write.partitionBy(name).parquet(path))
     return buckets

@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from feedloom.llm.common import binary, cut, lookup, slices, view
 
@@ -138,16 +139,18 @@ def fingerprints(arr: pa.LargeBinaryArray, shingle: int) -> np.ndarray:
     return out
 
 
-def with_fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long; no shuffle."""
+def with_fingerprints(docs: DataFrame, shingle: int = 3, name: str = "doc_id") -> DataFrame:
+    """(the column ``name``, fp): the 64 bits as a signed long; no shuffle."""
+    src = docs.select(name, "text")
+
     def run(batches):
         for batch in batches:
             for part, arr in slices(batch, binary(batch.column("text"))):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(fingerprints(arr, shingle).view(np.int64))],
-                    names=["doc_id", "fp"])
+                    [part.column(name), pa.array(fingerprints(arr, shingle).view(np.int64))], names=[name, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    schema = StructType([src.schema[name]]).add("fp", LongType())
+    return src.mapInArrow(run, schema if name != "doc_id" else "doc_id long, fp long")
 
 
 def walk(v: np.ndarray, lo1, hi1, lo2, hi2, diff, depth: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -356,12 +359,23 @@ def simhash_groups(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_b
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of their component.
 
-    Rows that share a doc_id are one document, of which one row stays; rows
-    without doc_id cannot be named by a component and stay."""
+    Of rows that share a doc_id and a fingerprint one stays; rows that share a doc_id only
+    are judged each by its own text.  Rows without doc_id cannot be named by a component
+    and stay."""
     groups = cut(spark, simhash_groups(spark, docs, shingle, max_bits), "simhash-groups")
+    again = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = not again.isEmpty()
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    if repeated:
+        again = cut(spark, again, "simhash-again")
+        gone = gone.unionByName(again).distinct()
     kept = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti")      # the same plan at every size
-    again = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if again.isEmpty():
+    if not repeated:
         return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    each = docs.join(again, "doc_id", "left_semi")
+    each = with_fingerprints(each.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"), shingle, "row")
+    ours = (groups.filter("doc_id = component_id").join(again, "doc_id", "left_semi")
+            .select(F.col("doc_id").alias("_id"), "fingerprint").distinct())
+    each = each.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).withColumn("_id", F.col("row.doc_id"))
+    each = each.join(ours, ["_id", "fingerprint"], "left_semi").dropDuplicates(["_id", "fingerprint"])
+    return kept.unionByName(each.select(*[F.col("row")[c].alias(c) for c in docs.columns]))

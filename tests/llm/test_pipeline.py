@@ -53,7 +53,7 @@ def test_stages_like_brute_force(spark):
 
     cut_down = stage("suffix-array dedup", single)
     rows = texts(single)
-    gone = brute.repeated_bytes([t.encode() for _, t in rows], 400)
+    gone = brute.repeated_bytes([t.encode() for _, t in rows], corpus_pipeline.REPEATED)
     assert texts(cut_down) == [(d, np.frombuffer(t.encode(), np.uint8)[~g].tobytes().decode("utf-8", "ignore"))
                                for (d, t), g in zip(rows, gone)]
 

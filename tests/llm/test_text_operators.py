@@ -57,8 +57,8 @@ def test_quality_counts_and_empty(spark, docs, none):
 
 def test_quality_cutoffs_hold_their_risk(spark):
     # good documents have no symbols, bad ones do; one stratum has too few labels
-    good = [(i, " ".join(f"w{(i * 7 + k) % 501}" for k in range(60)), "en") for i in range(1600)]
-    bad = [(2000 + i, " ".join(f"w{(i * 7 + k) % 501} #" for k in range(60)), "en") for i in range(200)]
+    good = [(i, " ".join(f"w{(i * 7 + k) % 5003}" for k in range(60)), "en") for i in range(1600)]
+    bad = [(2000 + i, " ".join(f"w{(i * 7 + k) % 5003} #" for k in range(60)), "en") for i in range(200)]
     few = [(3000 + i, good[i][1] + " #", None) for i in range(40)]
     d = spark.createDataFrame(good + bad + few, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(r[0], int(r[0] < 2000), 0) for r in good + bad], "doc_id long, quality int, toxic int")
@@ -263,3 +263,58 @@ def test_sharding(spark, docs, none, tmp_path):
     buckets = sharding.write_shards(spark, docs, path, max_bytes=5000)
     back = spark.read.parquet(path)
     assert back.count() == len(TEXTS) and back.select("shard_bits").distinct().count() == buckets.count()
+
+
+def test_binomial_tail_equals_the_sum():
+    from math import comb
+    for n, p in ((1, 0.5), (7, 0.01), (60, 0.3), (400, 0.01), (900, 0.97)):
+        for k in range(-1, n + 2, max(1, n // 30)):
+            want = sum(comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(0, min(k, n) + 1))
+            assert quality_rules.binomial_tail(k, n, p) == pytest.approx(min(1.0, want), rel=1e-9, abs=1e-13)
+    assert quality_rules.binomial_tail(10_000_000 // 100, 10_000_000, 0.01) == pytest.approx(0.5, abs=0.01)
+
+
+def test_copied_holdouts_are_one_trial(spark):
+    """Cutoffs do not change when labelled good texts are copied, under other ids and on other strata's names."""
+    def base(i):
+        return f"u{i} " + " ".join(f"w{(i * 37 + k * k) % 311}" for k in range(80))
+    good = [(i, base(i), "en") for i in range(700)]
+    bad = [(1000 + i, base(i) + " #!#" * (20 + i % 40), "en") for i in range(300)]
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in good] + [(i, 0) for i, _, _ in bad], "doc_id long, quality int")
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string, lang string")
+    copies = [(10_000 + 10 * i + k, t, s) for i, t, s in good[:30] for k in range(10)]
+    more_labels = labels.unionByName(spark.createDataFrame([(i, 1) for i, _, _ in copies], "doc_id long, quality int"))
+    more = docs.unionByName(spark.createDataFrame(copies, docs.schema))
+
+    def kept(d, y):
+        return {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(spark, d, y).collect()}
+    one, two = kept(docs, labels), kept(more, more_labels)
+    assert {i: two[i] for i in one} == one
+    assert sum(one[i] for i, _, _ in good) >= 0.98 * len(good) and sum(one[i] for i, _, _ in bad) < 0.2 * len(bad)
+    # a stream of copies alone certifies nothing: 300 rows, one trial
+    same = spark.createDataFrame([(i, base(1), "xx") for i in range(300)] + [(500 + i, base(2) + " #" * 20, "xx") for i in range(50)],
+                                 docs.schema)
+    y = spark.createDataFrame([(i, 1) for i in range(300)] + [(500 + i, 0) for i in range(50)], "doc_id long, quality int")
+    assert all(kept(same, y).values())
+    good_rows = quality_rules.keep_good(spark, more.withColumn("row", F.lit(1)), more_labels)
+    assert good_rows.columns == ["doc_id", "text", "lang", "row"]
+    assert sorted(r["doc_id"] for r in good_rows.collect()) == sorted(i for i, k in two.items() if k)
+
+
+def test_keep_one_judges_rows_of_a_doc_id_by_text(spark):
+    a, b = (" ".join(f"{s}{k * k % 97}" for k in range(60)) for s in "ab")
+    rows = [(2, b, 1), (5, a, 2), (5, b, 3), (7, a, 4), (None, a, 5), (9, None, 6), (9, None, 7), (9, "", 8), (5, a, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    kept = simhash_trie.keep_one(spark, docs)
+    assert kept.columns == docs.columns
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect())
+    assert got == sorted([(2, b), (5, a), (0, a), (9, "")])
+
+
+def test_shards_with_a_clashing_column(spark):
+    from feedloom.session import scratch_path
+    path = scratch_path(spark, "t-shards")
+    docs = spark.createDataFrame([(i, "x" * 50, i, "y") for i in range(40)], "doc_id long, text string, shard_bits int, `Shard_Bits_` string")
+    sharding.write_shards(spark, docs, path, max_bytes=500)
+    back = spark.read.parquet(path)
+    assert back.count() == 40 and back.filter("shard_bits <> doc_id").count() == 0
