@@ -30,3 +30,22 @@ def test_lost_records_fail_the_read(spark, monkeypatch):
     monkeypatch.setattr(warc, "read_warc", lambda files: read(files).filter("record_id <> 'urn:page:2'"))
     with pytest.raises(ValueError, match="written"):
         warc.archive_pages(spark, pages).collect()
+
+
+class Bytes:
+    def __init__(self, data):
+        self.data = data
+
+    def read_at(self, n, at):
+        return self.data[at:at + n]
+
+
+def test_records_are_found_wherever_the_read_buffer_ends(monkeypatch):
+    """A record may begin on the last one or two bytes of a buffer: its magic number is still seen whole."""
+    members = [warc.record(i, f"http://a/{i}", b"<p>%d</p>" % i, "0" * 64, None) for i in range(3)]
+    data = b"".join(members)
+    starts = [0, len(members[0]), len(members[0]) + len(members[1])]
+    monkeypatch.setattr(warc, "PIECE_BYTES", 16)
+    for buffer in range(16, len(members[0]) + 40):
+        monkeypatch.setattr(warc, "READ_BYTES", buffer)
+        assert [at for at, _, _ in warc.scan(warc.Window(Bytes(data), len(data)), 0, len(data))] == starts, buffer
