@@ -93,3 +93,19 @@ def test_tree_levels_cover_and_nest():
             assert d[1:].max(initial=0) <= far + 1e-7
             if 0 < k < len(tree.starts) - 1:
                 assert far <= 2.0 ** (1 - k) + 1e-7
+
+
+def test_wide_steps_work_out_few_distances_and_miss_none():
+    """Points that are all far apart meet as a whole: in single precision, with double for what is near."""
+    x = np.array([v for _, v in cloud(21, 3000, 48, 3000, 1.0)])
+    x[-40:] = x[:40] + 0.01 * np.random.default_rng(22).normal(size=(40, 48))
+    ids, one = np.arange(1500), np.ones(1500, np.int64)
+    t = float(ct.apart(np.float64(0.95)))
+    a, b = ct.Tree.built(x[:1500], ids, one, t), ct.Tree.built(x[1500:], 1500 + ids, one, t)
+    walk = ct.Walk(a, b, 0.95)
+    every, none = np.arange(1500), np.zeros(1500)
+    near = {(int(i), int(j)) for p, q, _ in walk.within(every, every, none, none) for i, j in zip(p, q)}
+    want = {(int(i), int(j)) for i, j in zip(*np.nonzero(ct.apart(a.u @ b.u.T) <= t))}
+    assert len(want) >= 40 and want <= near and len(near) < 2 * len(want)
+    cid, links, _ = walk.found()
+    assert sorted(cid.tolist()) == sorted([a.cid[i] for i, _ in want] + [b.cid[j] for _, j in want]) and set(links) == {1}
