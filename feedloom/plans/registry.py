@@ -203,8 +203,8 @@ def q_fanout_denorm(spark, sf_dir):
 
 
 def _receiver_rows(spark, sf_dir):
-    """The denormalized fan-out with what the queries show of each payload, worked out once a
-    version of a tweet."""
+    """The denormalized fan-out, payload and all, with what the queries show of the payload that each
+    row received."""
     return batch.denorm_rows(spark, sf_dir, CFG, {"payload_id": PL.payload_id(F.col("tweet")), **_digest()})
 
 
